@@ -25,7 +25,7 @@ SQL: dict[str, str] = {}
 
 SQL["op1_near_duplicates"] = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D]', ' ', 'g'), ' +'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D]', ' ', 'g'), ' +'), lambda x: x <> '') AS w
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
