@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.near_dedup import near_duplicates
+from tidegrid.llm.secret_scan import secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +28,12 @@ def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op4_contamination, op6_exact_duplicates)}
+    return {f.__name__: f for f in (op1_near_duplicates, op4_contamination, op6_exact_duplicates, op8_secrets)}
 
 
 SQL: dict[str, str] = {}
