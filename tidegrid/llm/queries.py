@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.near_dedup import near_duplicates
+from tidegrid.llm.packing import pack
 from tidegrid.llm.secret_scan import secrets
 
 
@@ -28,12 +30,16 @@ def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op4_contamination, op6_exact_duplicates, op8_secrets)}
+    return {f.__name__: f for f in (op1_near_duplicates, op4_contamination, op6_exact_duplicates, op7_packing, op8_secrets)}
 
 
 SQL: dict[str, str] = {}
