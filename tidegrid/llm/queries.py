@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
+from tidegrid.llm.language_id import languages
 from tidegrid.llm.near_dedup import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.secret_scan import secrets
@@ -38,8 +39,20 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(_table(spark, sf_dir, "documents"))
 
 
+def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op4_contamination, op6_exact_duplicates, op7_packing, op8_secrets)}
+    ops = (
+        op1_near_duplicates,
+        op4_contamination,
+        op6_exact_duplicates,
+        op7_packing,
+        op8_secrets,
+        op9_languages,
+    )
+    return {f.__name__: f for f in ops}
 
 
 SQL: dict[str, str] = {}
