@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.language_id import languages
+from tidegrid.llm.lm_scoring import scores
 from tidegrid.llm.near_dedup import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.secret_scan import secrets
@@ -27,6 +28,10 @@ def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_near_duplicates,
         op4_contamination,
+        op5_lm_scores,
         op6_exact_duplicates,
         op7_packing,
         op8_secrets,
