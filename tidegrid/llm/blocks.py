@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes of ``text``, one row at least."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > most:

@@ -13,6 +13,7 @@ from tidegrid.llm.language_id import languages
 from tidegrid.llm.lm_scoring import scores
 from tidegrid.llm.near_dedup import near_duplicates
 from tidegrid.llm.packing import pack
+from tidegrid.llm.pii import pseudonymised
 from tidegrid.llm.secret_scan import secrets
 
 
@@ -48,6 +49,10 @@ def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(_table(spark, sf_dir, "documents"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_near_duplicates,
@@ -57,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_packing,
         op8_secrets,
         op9_languages,
+        op10_surrogates,
     )
     return {f.__name__: f for f in ops}
 
