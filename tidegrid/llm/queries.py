@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegrid.llm.chat import repaired
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.language_id import languages
@@ -25,6 +26,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op2_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(_table(spark, sf_dir, "conversations"))
+
+
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +61,7 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_near_duplicates,
+        op2_chat_repair,
         op4_contamination,
         op5_lm_scores,
         op6_exact_duplicates,
