@@ -22,7 +22,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     """Which words of each document lie in a window of ``size`` words of a benchmark item.
 
     Returns one row per row of ``docs``: ``doc_id, n_words, n_hit, n_items,
-    items_sha256, contaminated`` (``n_hit > 0`` and ``share * n_hit >= n_words``).
+    items_sha256, contaminated`` (``n_hit > 0`` and ``share * n_hit >= n_words``),
+    and ``text_hash`` (``xxhash64`` of the text, to find the row again).
     Null texts and texts of separators only have no words; items of fewer than
     ``size`` words are one window, items without words none. Items without an id
     hit words but are not counted as items. Rows that repeat an id and a text get
@@ -113,4 +114,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
+        counted["h"].alias("text_hash"),
     )

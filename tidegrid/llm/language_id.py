@@ -145,13 +145,14 @@ def _predict(batches: Iterator[pa.RecordBatch], langs: list[str], logs: np.ndarr
             for i, k, p, c in zip(at, first, pi, chosen):
                 pred[i], score[i] = langs[k], min(1.0, max(0.0, p[k]))
                 shown[i] = ",".join(f"{langs[j]}:{c[j]:.2f}" for j in np.argsort(-c, kind="stable") if c[j] > 0)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out")), pa.array(pred, pa.string()), pa.array(score), pa.array(shown, pa.string())], ["doc_id", "held_out", "lang_pred", "score", "languages"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out")), pa.array(pred, pa.string()), pa.array(score), pa.array(shown, pa.string()), batch.column("text_hash")], ["doc_id", "held_out", "lang_pred", "score", "languages", "text_hash"])
 
 
 def languages(docs: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
     """Predicted language of every row of ``docs``, and the mixture it comes from.
 
-    Returns ``doc_id, held_out, lang_pred, score, languages``. Rows with a non-null
+    Returns ``doc_id, held_out, lang_pred, score, languages, text_hash`` (``xxhash64``
+    of the text, to find the row again). Rows with a non-null
     ``lang`` whose crc32(doc_id) modulo ``modulus`` is not ``held_out`` are learned
     from; a null doc_id is neither learned from nor held out. Words are runs of
     letters in lower case; a word's likelihood in a language is that of its
@@ -167,6 +168,6 @@ def languages(docs: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame
     langs, logs = learn(slim.where(~F.col("held_out") & F.col("doc_id").isNotNull()).select("text", "lang"))
     model = docs.sparkSession.sparkContext.broadcast((langs, logs))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return slim.select("doc_id", "held_out", "text").mapInArrow(
-        lambda batches: _predict(batches, *model.value), f"doc_id {kind}, held_out boolean, lang_pred string, score double, languages string"
+    return slim.select("doc_id", "held_out", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        lambda batches: _predict(batches, *model.value), f"doc_id {kind}, held_out boolean, lang_pred string, score double, languages string, text_hash long"
     )

@@ -11,6 +11,7 @@ from tidegrid.llm.chat import repaired
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.language_id import languages
+from tidegrid.llm.line_dedup import near_duplicate_lines
 from tidegrid.llm.lm_scoring import scores
 from tidegrid.llm.near_dedup import near_duplicates
 from tidegrid.llm.packing import pack
@@ -30,8 +31,12 @@ def op2_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(_table(spark, sf_dir, "conversations"))
 
 
+def op3_line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_lines(_table(spark, sf_dir, "documents"))
+
+
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +56,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return languages(_table(spark, sf_dir, "documents"))
+    return languages(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_near_duplicates,
         op2_chat_repair,
+        op3_line_duplicates,
         op4_contamination,
         op5_lm_scores,
         op6_exact_duplicates,
@@ -97,6 +103,32 @@ JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_i
 """
 
 
+SQL["op3_line_duplicates"] = r"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, generate_subscripts(x, 1)::INTEGER - 1 AS line_no, trim(unnest(x), E' \t\r') AS norm
+  FROM (SELECT doc_id, string_split(lower(coalesce(text, '')), E'\n') AS x FROM documents)),
+c AS (SELECT norm, min(ROW(doc_id, line_no)) AS f FROM l WHERE norm <> '' GROUP BY norm),
+s AS (SELECT DISTINCT norm, substring(norm, i, 9) AS g FROM (SELECT norm, unnest(range(1, greatest(length(norm) - 7, 2))) AS i FROM c)),
+n AS (SELECT norm, count(*) AS n FROM s GROUP BY norm),
+r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY t, g) AS p FROM (SELECT norm, g, count(*) OVER (PARTITION BY g) AS t FROM s)),
+k AS (SELECT r.norm, r.g FROM r JOIN n USING (norm) WHERE p <= n - ceil(0.8 * n) + 1),
+q AS (SELECT DISTINCT a.norm AS a, b.norm AS b FROM k a JOIN k b ON a.g = b.g AND a.norm < b.norm),
+o AS (SELECT q.a, q.b, count(*) AS c FROM q JOIN s x ON x.norm = q.a JOIN s y ON y.norm = q.b AND y.g = x.g GROUP BY ALL),
+e AS (
+  SELECT a, b FROM (
+    SELECT a, b FROM o JOIN n x ON x.norm = a JOIN n y ON y.norm = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+    UNION ALL
+    SELECT b, a FROM o JOIN n x ON x.norm = a JOIN n y ON y.norm = b WHERE 100 * c >= 80 * (x.n + y.n - c))),
+w(norm, f) AS (
+  SELECT norm, f FROM c
+  UNION
+  SELECT e.b, w.f FROM w JOIN e ON e.a = w.norm),
+m AS (SELECT norm, min(f) AS f FROM w GROUP BY norm)
+SELECT doc_id, line_no, CASE WHEN m.f IS NULL THEN doc_id ELSE m.f[1] END AS keep_doc, CASE WHEN m.f IS NULL THEN line_no ELSE m.f[2] END AS keep_line,
+  m.f IS NULL OR (doc_id = m.f[1] AND line_no = m.f[2]) AS kept
+FROM l LEFT JOIN m ON m.norm = l.norm
+"""
+
 SQL["op4_contamination"] = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
