@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % gru.RARE
 
 
-def _count(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], most: int = 250_000) -> Iterator[pa.RecordBatch]:
     found: Counter[bytes] = Counter()
 
     def out() -> pa.RecordBatch:
@@ -63,7 +64,7 @@ def _encode(batches: Iterator[pa.RecordBatch], table: tuple[list[bytes], np.ndar
         ids, n, n_known, base, rare, tails = [], [], [], [], [], []
         for text in batch.column("text").cast(pa.binary()).to_pylist():
             listed = tokens(text)
-            at = np.fromiter((known.get(w, -1) for w in listed), np.int64, len(listed))
+            at = np.fromiter(map(known.get, listed, repeat(-1)), np.int64, len(listed))
             out = np.flatnonzero(at < 0)
             tail = Counter(listed[i] for i in out)
             mid = at >= gru.VOCABULARY
@@ -90,16 +91,16 @@ def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 def _train(batches: Iterator[pa.RecordBatch], flat: np.ndarray, end: int, lr: float, block: int = 8192) -> Iterator[pa.RecordBatch]:
     flat, n = gru.train(flat, _ids(batches), end, lr)
     if n:
-        parts = [(flat[i : i + block].astype(np.float64) * n).tobytes() for i in range(0, gru.SIZE, block)]
+        parts = [(flat[i : i + block] * np.float32(n)).tobytes() for i in range(0, gru.SIZE, block)]
         arrays = [pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()), pa.array(parts, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["block", "n", "sums"])
 
 
 def _add(rows: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(len(rows["sums"].iat[0]) // 8)
+    total = np.zeros(len(rows["sums"].iat[0]) // 4)
     for x in rows["sums"]:
-        total += np.frombuffer(x)
-    return pd.DataFrame({"block": rows["block"].iloc[:1], "n": [rows["n"].sum()], "sums": [total.tobytes()]})
+        total += np.frombuffer(x, np.float32)
+    return pd.DataFrame({"block": rows["block"].iloc[:1], "n": [rows["n"].sum()], "sums": [total.astype(np.float32).tobytes()]})
 
 
 def _averaged(trained: DataFrame, current: np.ndarray) -> np.ndarray:
@@ -110,7 +111,7 @@ def _averaged(trained: DataFrame, current: np.ndarray) -> np.ndarray:
     rows = some.groupBy("block").applyInPandas(_add, kind).orderBy("block").collect()
     if not rows:
         return current
-    return np.concatenate([np.frombuffer(r["sums"]) / r["n"] for r in rows]).astype(np.float32)
+    return np.concatenate([np.frombuffer(r["sums"], np.float32) / np.float32(r["n"]) for r in rows])
 
 
 def _score(batches: Iterator[pa.RecordBatch], flat: np.ndarray, end: int, logs: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -121,7 +122,8 @@ def _score(batches: Iterator[pa.RecordBatch], flat: np.ndarray, end: int, logs:
         # words beyond the vocabulary: (count + 1) over the size of their class
         spread = np.array([logs[t[t >= gru.VOCABULARY] - gru.VOCABULARY].sum() for t in texts])
         value = natural / np.log(10) - spread + batch.column("rare").to_numpy()
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(value, pa.float64())], ["row", "value"])
+        keep = [c for c in batch.schema.names if c not in ("ids", "rare")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(value, pa.float64())], [*keep, "value"])
 
 
 def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
@@ -143,6 +145,7 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
+    id_kind = docs.schema["doc_id"].dataType.simpleString()
     named = F.col("doc_id").isNotNull()
     slim = docs.select(
         "doc_id",
@@ -183,7 +186,7 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sum(n for n, _ in ROUNDS)))
     encoded = slim.select("doc_id", "held_out", "learned", share.cast("int").alias("share"), "text").mapInArrow(
         lambda batches: _encode(batches, table.value),
-        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, learned boolean, share int, ids binary, n_tokens long, n_known long, base double, rare double, tail array<struct<word:binary,n:long>>",
+        f"doc_id {id_kind}, held_out boolean, learned boolean, share int, ids binary, n_tokens long, n_known long, base double, rare double, tail array<struct<word:binary,n:long>>",
     )
     encoded = materialise(encoded.withColumn("row", F.monotonically_increasing_id()), "encoded")
 
@@ -194,7 +197,9 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
         trained = part.mapInArrow(lambda b, held=held, lr=lr: _train(b, held.value, end, lr), "block int, n long, sums binary")
         flat = _averaged(trained, flat)
     model = spark.sparkContext.broadcast(flat)
-    value = encoded.select("row", "ids", "rare").mapInArrow(lambda b: _score(b, model.value, end, logs), "row long, value double")
+    scored = encoded.select("doc_id", "held_out", "row", "ids", "rare", "n_tokens", "n_known", "base").mapInArrow(
+        lambda b: _score(b, model.value, end, logs), f"doc_id {id_kind}, held_out boolean, row long, n_tokens long, n_known long, base double, value double"
+    )
 
     tail = encoded.select("row", F.explode("tail").alias("t")).select("row", "t.word", F.col("t.n").alias("times"))
     tail = tail.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(
@@ -203,17 +208,12 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
     )
     none = lambda c: F.coalesce(c, F.lit(0))
     total = float(np.log10(whole[0] + whole[1] + 1))
-    return (
-        encoded.drop("ids", "tail")
-        .join(value, "row")
-        .join(tail, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_known") + none(F.col("more"))).alias("n_known") if whole[0] else F.lit(0).cast("long").alias("n_known"),
-            F.lit(whole[0]).cast("long").alias("train_tokens"),
-            (F.col("base") + none(F.col("log1")) - F.col("n_tokens") * total).alias("base_score"),
-            (F.col("value") + none(F.col("log1"))).alias("score"),
-        )
+    return scored.join(tail, "row", "left").select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("n_known") + none(F.col("more"))).alias("n_known") if whole[0] else F.lit(0).cast("long").alias("n_known"),
+        F.lit(whole[0]).cast("long").alias("train_tokens"),
+        (F.col("base") + none(F.col("log1")) - F.col("n_tokens") * total).alias("base_score"),
+        (F.col("value") + none(F.col("log1"))).alias("score"),
     )
