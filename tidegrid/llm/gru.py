@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: State, word classes, words of a class, classes of words beyond the vocabulary.
-HIDDEN, CLASSES, WIDTH, RARE = 16, 64, 64, 32
+HIDDEN, CLASSES, WIDTH, RARE = 16, 48, 64, 16
 VOCABULARY = CLASSES * WIDTH
 OUT = CLASSES + RARE
 #: Streams trained side by side, and steps that gradients flow back over.
@@ -72,11 +72,13 @@ def outputs(p: Weights, h: np.ndarray, target: np.ndarray, grads: Weights | None
     at = np.arange(len(target))
     known = target < VOCABULARY
     kind = np.where(known, target % CLASSES, CLASSES + target - VOCABULARY)
-    e = np.exp(h @ p["c"] + p["cb"])
-    e /= e.sum(axis=1, keepdims=True)
-    logs = np.log(e[at, kind])
+    e = h @ p["c"] + p["cb"]
+    chosen = e[at, kind]
+    total = np.exp(e, out=e).sum(axis=1)
+    logs = chosen - np.log(total)
     dh = None
     if grads is not None:
+        e *= (1 / total)[:, None]
         e[at, kind] -= 1
         grads["c"] += h.T @ e
         grads["cb"] += e.sum(axis=0)
@@ -89,11 +91,12 @@ def outputs(p: Weights, h: np.ndarray, target: np.ndarray, grads: Weights | None
     for k, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends)):
         if a == b:
             continue
-        q = np.exp(hs[a:b] @ p["w"][k] + p["wb"][k])
-        q /= q.sum(axis=1, keepdims=True)
-        i = np.arange(b - a)
-        inner[a:b] = np.log(q[i, slot[a:b]])
+        q, i = hs[a:b] @ p["w"][k] + p["wb"][k], at[: b - a]
+        chosen = q[i, slot[a:b]]
+        total = np.exp(q, out=q).sum(axis=1)
+        inner[a:b] = chosen - np.log(total)
         if grads is not None:
+            q *= (1 / total)[:, None]
             q[i, slot[a:b]] -= 1
             grads["w"][k] += hs[a:b].T @ q
             grads["wb"][k] += q.sum(axis=0)

@@ -38,7 +38,7 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % gru.RARE
 
 
-def _count(batches: Iterator[pa.RecordBatch], most: int = 250_000) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
     found: Counter[bytes] = Counter()
 
     def out() -> pa.RecordBatch:
@@ -47,8 +47,9 @@ def _count(batches: Iterator[pa.RecordBatch], most: int = 250_000) -> Iterator[p
         return pa.RecordBatch.from_arrays(arrays, ["word", "kind", "n"])
 
     for batch in blocks(batches):
-        for text in batch.column("text").cast(pa.binary()).to_pylist():
-            found.update(tokens(text))
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        found.update(b"\n".join(x for x in texts if x).lower().split())
+        found[END] += len(texts)
         if len(found) > most:
             yield out()
             found.clear()
@@ -61,7 +62,7 @@ def _encode(batches: Iterator[pa.RecordBatch], table: tuple[list[bytes], np.ndar
     kinds = np.array([rare_class(w) for w in words], np.int64)
     log1 = np.log10(counts + 1.0)
     for batch in blocks(batches):
-        ids, n, n_known, base, rare, tails = [], [], [], [], [], []
+        ids, n, n_known, base, rare, ends, tail_words, tail_counts = [], [], [], [], [], [0], [], []
         for text in batch.column("text").cast(pa.binary()).to_pylist():
             listed = tokens(text)
             at = np.fromiter(map(known.get, listed, repeat(-1)), np.int64, len(listed))
@@ -75,9 +76,12 @@ def _encode(batches: Iterator[pa.RecordBatch], table: tuple[list[bytes], np.ndar
             n_known.append(len(listed) - len(out))
             base.append(float(log1[at[at >= 0]].sum()))
             rare.append(float(log1[at[mid]].sum()))
-            tails.append([{"word": w, "n": c} for w, c in tail.items()])
+            tail_words += tail.keys()
+            tail_counts += tail.values()
+            ends.append(len(tail_words))
+        tails = pa.StructArray.from_arrays([pa.array(tail_words, pa.binary()), pa.array(tail_counts, pa.int64())], ["word", "n"])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "held_out", "learned", "share")), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.float64()), pa.array(tails, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+            [*(batch.column(c) for c in ("doc_id", "held_out", "learned", "share")), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails)],
             ["doc_id", "held_out", "learned", "share", "ids", "n_tokens", "n_known", "base", "rare", "tail"],
         )
 
@@ -137,8 +141,8 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
     without any row to learn from, every word is unknown. Other columns of
     ``docs`` are not read.
 
-    Counts are taken over all training documents. The network reads the 4096 most
-    frequent words (in 64 classes) and 32 classes of other words by their endings;
+    Counts are taken over all training documents. The network reads the 3072 most
+    frequent words (in 48 classes) and 16 classes of other words by their endings;
     a word of these has the add-one probability within its class, where one more
     word stands for all unknown ones. Every training document is passed once, in
     three rounds; each task trains on its own documents and the weights are averaged.
