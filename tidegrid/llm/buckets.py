@@ -8,27 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.operators.components import connected_components
-from tidegrid.plans.shared import materialise
+from tidegrid.plans.shared import broadcast_if_small, materialise
 
 #: Rows of buckets whose pairs are listed outright, as a multiple of the items.
 LISTED = 2
+#: Shared bands, of 8 bytes each, that are broadcast at most.
+BROADCAST_BANDS = 1_000_000
 
 
 def shared_bands(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``band, id`` the rows of bands that several items have, and ``band, n, pivot``."""
     shared = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
-    return materialise(bands.join(shared.select("band"), "band", "left_semi"), "bands"), shared
+    shared = materialise(shared, "shared")
+    return materialise(bands.join(broadcast_if_small(shared.select("band"), BROADCAST_BANDS), "band", "left_semi"), "bands"), shared
 
 
-def linked(bands: DataFrame, items: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(bands: DataFrame, shared: DataFrame, items: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components ``node, component`` of the verified links between items of a band.
 
+    ``bands`` and ``shared`` are those of :func:`shared_bands`, ``items`` their number.
     In each band all items are held against one pivot; the links found merge them
     into components, and pairs are then formed only between components, from
     further pivots while a band still has many of them and outright once few are
     left. No pair of a band that could join two components is left out.
     """
-    bands, shared = shared_bands(bands)
     pairs = bands.join(shared, "band").where("id <> pivot")
     pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     tested = pairs = materialise(pairs, "pairs")
