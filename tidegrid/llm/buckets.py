@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tidegrid.operators.components import connected_components
 from tidegrid.plans.shared import broadcast_if_small, materialise
 
-#: Rows of buckets whose pairs are listed outright, as a multiple of the items.
-LISTED = 2
 #: Shared bands, of 8 bytes each, that are broadcast at most.
 BROADCAST_BANDS = 1_000_000
 
@@ -23,42 +21,36 @@ def shared_bands(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialise(bands.join(broadcast_if_small(shared.select("band"), BROADCAST_BANDS), "band", "left_semi"), "bands"), shared
 
 
-def linked(bands: DataFrame, shared: DataFrame, items: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(bands: DataFrame, shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components ``node, component`` of the verified links between items of a band.
 
-    ``bands`` and ``shared`` are those of :func:`shared_bands`, ``items`` their number.
-    In each band all items are held against one pivot; the links found merge them
-    into components, and pairs are then formed only between components, from
-    further pivots while a band still has many of them and outright once few are
-    left. No pair of a band that could join two components is left out.
+    ``bands`` and ``shared`` are those of :func:`shared_bands`. In each band all items
+    are held against a pivot; the links found merge them into components, and only
+    items of other components are held against further pivots, of which each turn
+    has twice as many. A pivot that was held against all others leaves its band.
+    Bands of one component are done, so no pair of a band that could join two
+    components is left out, and no band is gathered in one place.
     """
     pairs = bands.join(shared, "band").where("id <> pivot")
     pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     tested = pairs = materialise(pairs, "pairs")
-    links = verify(pairs)
-    turn = 0
+    links, used = verify(pairs), shared.select("band", F.col("pivot").alias("id"))
+    pivots = 1
     while True:
-        turn += 1
         parts = connected_components(links)
-        placed = bands.join(parts.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-        placed = materialise(placed, "placed")
-        sizes = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-        mixed = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.sum(F.col("n") * F.col("n")).alias("square"))
-        mixed = materialise(mixed.where("parts > 1 and n > 2"), "mixed")
-        left = mixed.agg(F.sum(F.expr("(n * n - square) / 2"))).first()[0] or 0
-        if not left:
+        placed = bands.join(used, ["band", "id"], "left_anti").join(parts.withColumnRenamed("node", "id"), "id", "left")
+        placed = placed.select("band", "id", F.coalesce("component", "id").alias("component"))
+        # least and largest component differ: the band is still mixed
+        ends = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+        placed = materialise(placed.join(ends, "band", "left_semi"), "placed")
+        if placed.isEmpty():
             return parts
-        x = placed.join(mixed.select("band"), "band", "left_semi")
-        if left <= LISTED * items:
-            y = x.toDF("band", "other", "its")
-            pairs = x.join(y, "band").where("id < other and component <> its")
-            pairs = pairs.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-        else:
-            order = F.struct(F.xxhash64("id", F.lit(turn)), "id", "component")
-            pivots = x.groupBy("band").agg(F.min(order).alias("p"))
-            pairs = placed.join(pivots, "band").where("component <> p.component")
-            pairs = pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+        bands, pivots = placed.select("band", "id"), 2 * pivots
+        order = F.struct(F.xxhash64("id"), "id", "component")
+        chosen = placed.groupBy("band", F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots)).alias("slot")).agg(F.min(order).alias("p"))
+        chosen = materialise(chosen.select("band", F.col("p.id").alias("pivot"), F.col("p.component").alias("its")), "pivots")
+        pairs = placed.join(chosen, "band").where("component <> its")
+        pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested, links = tested.unionByName(pairs), links.unionByName(verify(pairs))
-        if left <= LISTED * items:
-            return connected_components(links)
+        used = chosen.select("band", F.col("pivot").alias("id"))
