@@ -1,0 +1,113 @@
+"""Small cases worked out by hand."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegrid.functions.geometry import inside, interval_union, point, total_length
+from tidegrid.operators import bathymetry, grids, masks, nesting, obstruction, polygons
+from tidegrid.operators.components import connected_components
+from tidegrid.sources import text
+
+BOX = (0.0, 10.0, 0.0, 10.0)
+
+
+def _area(ring):
+    return sum(ax * by - bx * ay for (ax, ay), (bx, by) in zip(ring, ring[1:])) / 2
+
+
+def test_inside_is_closed_on_a_concave_ring(spark):
+    ring = F.array(*[point(x, y) for x, y in [(0, 0), (4, 0), (4, 4), (2, 2), (0, 4), (0, 0)]])
+    rows = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (2.0, 3.0), (4.0, 2.0), (3.0, 3.5), (5.0, 1.0)], "x double, y double")
+    found = [r[0] for r in rows.select(inside(ring, F.col("x"), F.col("y"))).collect()]
+    assert found == [True, True, False, True, False, False]
+
+
+@pytest.mark.parametrize("segs,union,total", [([(0, 1), (1, 2)], 1, 2), ([(0, 0.2), (0.5, 1)], 2, 0.7), ([(0, 1), (0.2, 0.3)], 1, 1), ([], 0, 0)])
+def test_interval_union(spark, segs, union, total):
+    row = spark.createDataFrame([([{"lo": float(a), "hi": float(b)} for a, b in segs],)], "s array<struct<lo:double,hi:double>>")
+    got = row.select(F.size(interval_union(F.col("s"))), total_length(F.col("s"))).first()
+    assert got[0] == union and math.isclose(got[1], total, abs_tol=1e-12)
+
+
+def test_corner_cells_mirror_or_turn(spark):
+    grid = grids.rectilinear(spark, 0.0, 2.0, 3, 0.0, 1.0, 3)
+    lone = {c: grids.cells(grid, compat=c).where("k = 1 and j = 1").first() for c in (False, True)}
+    assert lone[False]["c1"].asDict() == {"x": 1.0, "y": -0.5} and lone[False]["c3"].asDict() == {"x": -1.0, "y": 0.5}
+    assert lone[True]["c3"].asDict() == {"x": -0.5, "y": 1.0} and lone[True]["c1"].asDict() == {"x": 0.5, "y": -1.0}
+
+
+@pytest.mark.parametrize("ring,area,rings", [
+    ([(2, 2), (8, 2), (8, 8), (2, 8), (2, 2)], 36, 1),
+    ([(-5, -5), (20, -5), (20, 20), (-5, 20), (-5, -5)], 100, 1),
+    ([(5, 5), (15, 5), (15, 15), (5, 15), (5, 5)], 25, 1),
+    ([(20, 20), (30, 20), (30, 30), (20, 20)], 0, 0),
+    ([(-5, 2), (2, 2), (2, 3), (-4, 3), (-4, 6), (2, 6), (2, 7), (-5, 7), (-5, 2)], 4, 2),
+    ([(-5, 4), (15, 4), (15, 6), (-5, 6), (-5, 4)], 0, 0),
+])
+def test_clip(ring, area, rings):
+    found = polygons.clipped_rings([(float(x), float(y)) for x, y in ring], BOX)
+    assert len(found) == rings and math.isclose(sum(map(_area, found)), area, abs_tol=1e-9)
+    assert all(0 <= x <= 10 and 0 <= y <= 10 for r in found for x, y in r)
+
+
+@pytest.mark.parametrize("length,points", [(0.49, 2), (0.5, 2), (0.51, 3), (0.75, 4), (1.0, 5)])
+def test_densify(spark, length, points):
+    row = spark.createDataFrame([([{"x": 0.0, "y": 0.0}, {"x": length, "y": 0.0}],)], "ring array<struct<x:double,y:double>>")
+    assert polygons.densify(row).select(F.size("ring")).first()[0] == points
+
+
+def test_bodies_touch_by_sides_and_wrap(spark):
+    rows = ["11001", "00000", "00110", "00001", "10000"]
+    mask = spark.createDataFrame([(k, j, int(v)) for k, line in enumerate(rows, 1) for j, v in enumerate(line, 1)], "k int, j int, mask int")
+    apart = masks.water_bodies(mask, 5, 5)
+    assert masks.body_sizes(apart).count() == 5
+    assert masks.body_sizes(masks.water_bodies(mask, 5, 5, wrap=True)).agg(F.max("cells")).first()[0] == 3
+    assert {(r.k, r.j) for r in masks.keep_bodies(apart, -1).where("mask = 1").collect()} == {(1, 1), (1, 2)}
+    dry = mask.withColumn("mask", F.lit(0))
+    assert masks.keep_bodies(masks.water_bodies(dry, 5, 5), -1).where("mask = 1").count() == 0
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
+    found = {r.node: r.component for r in connected_components(edges).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_neighbour_fold_prefers_the_longer(spark):
+    rows = [(1, 1, 7, 0.1, 0.5), (1, 2, 7, 0.2, 0.6), (1, 3, 7, 0.0, 0.9), (1, 5, 7, 0.3, 0.4)]
+    found = spark.createDataFrame(rows, "k int, j int, poly_id long, x_lo double, x_hi double")
+    got = sorted((r.j, r.lo, r.hi) for r in obstruction.merge_neighbours(found, "x").collect())
+    assert got == [(1, 0.1, 0.6), (3, 0.0, 0.9), (5, 0.3, 0.4)]
+
+
+def test_equal_neighbours_shadow_each_other(spark):
+    cells = spark.createDataFrame([(1, j, 1) for j in range(1, 4)], "k int, j int, mask int")
+    segs = spark.createDataFrame([(1, 1, [{"lo": 0.2, "hi": 0.4}]), (1, 2, [{"lo": 0.2, "hi": 0.4}])], "k int, j int, segs array<struct<lo:double,hi:double>>")
+    got = {r.j: r.value for r in obstruction.obstruction(cells, cells, segs, "x", 1, 1).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 0.0}
+
+
+@pytest.mark.parametrize("ry,lost", [(0.04, False), (0.06, True)])
+def test_parent_of_little_weight_may_be_dry(spark, ry, lost):
+    parent = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (2, 1, 0), (2, 2, 1)], "k int, j int, mask int")
+    mask = spark.createDataFrame([(1, 1, 0.0, ry, 2)], "k int, j int, lon double, lat double, mask int")
+    got = nesting.parent_support(mask, parent, 0.0, 0.0, 1.0, 1.0, 2, 2).first()["mask"]
+    assert got == (3 if lost else 2)
+
+
+def test_averaging_needs_more_than_the_limit(spark):
+    base = spark.createDataFrame([(x / 4, y / 4, -8 if 4 * x + y < 8 else 5) for x in range(4) for y in range(4)], "lon double, lat double, z int")
+    ring = [{"x": float(x), "y": float(y)} for x, y in [(-0.1, -0.1), (0.9, -0.1), (0.9, 0.9), (-0.1, 0.9), (-0.1, -0.1)]]
+    cells = spark.createDataFrame([(1, 1, ring)], "k int, j int, ring array<struct<x:double,y:double>>")
+    for limit, depth in ((0.5, 99.0), (0.49, -8.0)):
+        assert bathymetry.cell_average(base, cells, 0.0, limit, 99.0, 1.0).first()["depth"] == depth
+
+
+def test_metadata_round_trip():
+    assert text.parse_metadata(text.metadata("RECT", 5, 7, -3.5, 44.0, 0.25, 0.5, "g")) == {"nx": 5, "ny": 7, "dx": 0.25, "dy": 0.5, "lon0": -3.5, "lat0": 44.0}
+    with pytest.raises(ValueError):
+        text.metadata("TRI", 5, 7, 0, 0, 1, 1, "g")
