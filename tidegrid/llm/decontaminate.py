@@ -38,10 +38,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     windows = materialise(_windows(benchmark, size), "windows")
     vocabulary = broadcast_if_small(windows.select(F.explode("words").alias("word")).distinct())
     text = F.col("text").cast("string")
-    keyed = docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    # the words of every text are found once and read back where they are needed
+    keyed = materialise(docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), alnum_words(F.col("text")).alias("w")), "words")
 
     rarity = (
-        keyed.select(F.explode(alnum_words(F.col("text"))).alias("word"))
+        keyed.select(F.explode("w").alias("word"))
         .join(vocabulary, "word", "left_semi")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
@@ -58,7 +59,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
 
     # position bound: the window starts where its rarest word puts it, not before the text
     starts = (
-        keyed.select("doc_id", "h", F.posexplode(alnum_words(F.col("text"))).alias("pos", "word"))
+        keyed.select("doc_id", "h", F.posexplode("w").alias("pos", "word"))
         .join(keys, "word")
         .where("pos >= offset")
         .groupBy("doc_id", "h", (F.col("pos") - F.col("offset")).alias("start"), "width")
@@ -69,10 +70,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     starts = materialise(starts, "starts")
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
     few = broadcast_if_small(starts, 20_000)
-    # explode(array(...)) keeps the words from being computed again for every start
     found = (
         keyed.join(few, same(keyed, few))
-        .select(keyed["doc_id"], keyed["h"], "starts", F.explode(F.array(alnum_words(keyed["text"]))).alias("w"))
+        .select(keyed["doc_id"], keyed["h"], "starts", "w")
         .select(
             "doc_id",
             "h",
@@ -105,7 +105,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     )
     covered = covered.join(items.toDF("d", "g", "items"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left").drop("d", "g")
     covered = broadcast_if_small(materialise(covered, "covered"), 20_000)
-    counted = keyed.select("doc_id", "h", F.size(alnum_words(F.col("text"))).cast("long").alias("n_words"))
+    counted = keyed.select("doc_id", "h", F.size("w").cast("long").alias("n_words"))
     n_hit, none = F.coalesce("n_hit", F.lit(0)), F.array().cast("array<string>")
     return counted.join(covered, same(counted, covered), "left").select(
         counted["doc_id"],
