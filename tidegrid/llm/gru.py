@@ -46,7 +46,7 @@ def initial(words: np.ndarray, rare: np.ndarray) -> np.ndarray:
     p["c"][:] = rng.normal(0, 0.1, p["c"].shape)
     p["w"][:] = rng.normal(0, 0.1, p["w"].shape)
     n = np.full(VOCABULARY, 1e-9)
-    n[: len(words)] = words
+    n[: len(words)] = np.maximum(words, 1e-9)
     grid = n.reshape(WIDTH, CLASSES).T
     p["wb"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
     mass = np.concatenate([grid.sum(axis=1), np.maximum(rare, 1)])
