@@ -30,11 +30,20 @@ ENDING = {("cyrillic", "m"): "ов", ("cyrillic", "f"): "ова", ("greek", "m")
 
 _GENDER = {name.casefold(): g for (_, g), names in GIVEN.items() for name in names}
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_WORD = re.compile(rf"\b{_NAME}\b")
+_POSSESSIVE = re.compile("(?<=.)['’][sS]$")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.?[ \t]+({_NAME})(?:[ \t]+({_NAME}))?")
 _PAIR = re.compile(rf"\b({'|'.join(n for names in GIVEN.values() for n in names)})[ \t]+({_NAME})", re.IGNORECASE)
+#: Length of an IBAN by country.
+IBAN_LENGTH = {
+    c: int(n)
+    for n, found in (x.split(":") for x in "15:NO 16:BE 18:DK,FI,FO,GL,NL,SD,FK 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK,MN 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,TL,SO 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU".split())
+    for c in found.split(",")
+}
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}))")
+_RUN = re.compile(r"(?<![\w.-])\d+(?:[ -]\d+)+(?![\w-])")
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _NUMBERS = [
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)")),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
@@ -67,6 +76,57 @@ def _valid(kind: str, text: str) -> bool:
     return kind != "phone" or 9 <= len(digits) <= 15
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Valid IBANs: first those of their country's length, then the longest valid ones that end with a word."""
+    starts = [m.span(1) for m in _IBAN.finditer(text)]
+    found: list[tuple[int, int]] = []
+    for known in (True, False):
+        for start, last in starts:
+            for stop in range(last, start + 14, -1):
+                after = text[stop : stop + 1]
+                if text[stop - 1] == " " or after.isascii() and after.isalnum() or any(start < b and a < stop for a, b in found):
+                    continue
+                value = text[start:stop].replace(" ", "")
+                if known and len(value) != IBAN_LENGTH.get(value[:2]) or not 15 <= len(value) <= 34:
+                    continue
+                if _valid("iban", value):
+                    found.append((start, stop))
+                    break
+    return found
+
+
+def _cards(text: str) -> list[tuple[int, int]]:
+    """Valid card numbers among groups of digits.
+
+    Windows of 13 to 19 digits in groups as cards have them come first, then any whose
+    groups but the last have four digits or more; those of one rank that overlap are
+    merged, so no digit of either stays.
+    """
+    ranks: tuple[list[tuple[int, int]], ...] = ([], [])
+    for run in _RUN.finditer(text):
+        groups = [(run.start() + g.start(), run.start() + g.end()) for g in re.finditer(r"\d+", run[0])]
+        for i, (start, _) in enumerate(groups):
+            lengths: list[int] = []
+            for a, stop in groups[i : i + 5]:
+                lengths.append(stop - a)
+                if sum(lengths) > 19:
+                    break
+                if sum(lengths) >= 13 and min(lengths[:-1], default=4) >= 4 and _valid("card", text[start:stop]):
+                    usual = len(lengths) == 1 or lengths in ([4, 4, 4, 4], [4, 6, 5], [4, 6, 4])
+                    ranks[not usual].append((start, stop))
+    found: list[tuple[int, int]] = []
+    for windows in ranks:
+        merged: list[tuple[int, int]] = []
+        for start, stop in sorted(windows):
+            if any(start < b and a < stop for a, b in found):
+                continue
+            if merged and start < merged[-1][1]:
+                start, stop = merged[-1][0], max(stop, merged.pop()[1])
+            merged.append((start, stop))
+        found += merged
+    return found
+
+
 def normal(kind: str, text: str) -> str:
     """What mentions of one entity have in common."""
     if kind in ("ip",):
@@ -90,6 +150,8 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         found += [(*m.span(), "email", m[0]) for m in _EMAIL.finditer(text)]
     if re.search(r"\d", text):
+        found += [(a, b, "iban", text[a:b]) for a, b in _ibans(text)]
+        found += [(a, b, "card", text[a:b]) for a, b in _cards(text)]
         for kind, pattern in _NUMBERS:
             found += [(*m.span(), kind, m[0]) for m in pattern.finditer(text) if _valid(kind, m[0])]
     for m in _TITLED.finditer(text):
@@ -107,6 +169,14 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         if _cased(m[1]) and _cased(m[2]):
             gender = _GENDER[m[1].casefold()]
             found += [(*m.span(1), f"given {gender} {script(m[1])}", m[1]), (*m.span(2), f"surname {gender} {script(m[2])}", m[2])]
+    # a surname that was found stands for its person wherever it is a word of its own
+    bare: dict[str, str] = {}
+    for _, _, kind, value in found:
+        if kind.startswith("surname") and len(value) > 1:
+            bare.setdefault(_POSSESSIVE.sub("", value).casefold(), kind)
+    if bare:
+        words = ((m.start(), _POSSESSIVE.sub("", m[0])) for m in _WORD.finditer(text))
+        found += [(i, i + len(w), bare[w.casefold()], w) for i, w in words if _cased(w) and w.casefold() in bare]
     out: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
     for start, stop, kind, value in found:  # kinds found first win
