@@ -16,6 +16,12 @@ TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 #: Natural language: chance that two letters agree, that three agree, and that the
 #: next character is of another class (lower case, upper case, digit, sign).
 COINCIDENCE, TRIPLE, CHANGE = 0.066, 0.0056, 0.08
+#: Alphabets from the smallest, each with its size. A token counts as drawn from the first
+#: that covers it; drawn evenly from a larger one, it would be even over that one too.
+ALPHABETS = [
+    ("hex", "[0-9a-f]+|[0-9A-F]+", 16), ("base26", "[a-z]+|[A-Z]+", 26), ("base32", "[a-z2-7]+|[A-Z2-7]+", 32), ("base36", "[a-z0-9]+|[A-Z0-9]+", 36),
+    ("base52", "[A-Za-z]+", 52), ("base62", "[A-Za-z0-9]+", 62), ("base64", ".+", 64),
+]
 #: A token must look random at this many standard errors in each test of uniformity.
 TOLERANCE = 3.3
 
@@ -49,14 +55,15 @@ def _battery(tokens: DataFrame) -> DataFrame:
     code = "ascii(c)"
     value = {  # place of a character in the encoding's alphabet
         "hex": f"CASE WHEN c BETWEEN '0' AND '9' THEN {code} - 48 ELSE {code} % 32 + 9 END",
-        "base32": f"CASE WHEN c BETWEEN '2' AND '7' THEN {code} - 24 ELSE {code} - 65 END",
+        "base26": f"{code} % 32 - 1",
+        "base32": f"CASE WHEN c BETWEEN '2' AND '7' THEN {code} - 24 ELSE {code} % 32 - 1 END",
+        "base36": f"CASE WHEN c BETWEEN '0' AND '9' THEN {code} - 48 ELSE {code} % 32 + 9 END",
         "base64": f"CASE WHEN c BETWEEN 'A' AND 'Z' THEN {code} - 65 WHEN c BETWEEN 'a' AND 'z' THEN {code} - 71 WHEN c BETWEEN '0' AND '9' THEN {code} + 4 WHEN c IN ('+', '-') THEN 62 ELSE 63 END",
     }
-    t = tokens.withColumn("body", F.rtrim(F.lit("="), "token")).where("length(body) >= 16")
-    t = t.withColumn(
-        "encoding",
-        F.expr("CASE WHEN body RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN 'hex' WHEN body RLIKE '^[A-Z2-7]+$' THEN 'base32' ELSE 'base64' END"),
-    ).withColumn("k", F.expr("CASE encoding WHEN 'hex' THEN 16 WHEN 'base32' THEN 32 ELSE 64 END"))
+    value |= {"base52": value["base64"], "base62": value["base64"]}
+    t = tokens.withColumn("body", F.expr("trim(TRAILING '=' FROM token)")).where("length(body) >= 16")
+    encoding = "CASE " + " ".join(f"WHEN body RLIKE '^({chars})$' THEN '{e}'" for e, chars, _ in ALPHABETS) + " END"
+    t = t.withColumn("encoding", F.expr(encoding)).withColumn("k", F.expr("CASE encoding " + " ".join(f"WHEN '{e}' THEN {k}" for e, _, k in ALPHABETS) + " END"))
     t = t.withColumn("c", F.explode(F.array(F.split("body", "", -1)))).withColumn("c", F.expr("filter(c, x -> x <> '')"))
     t = t.withColumn("n", F.size("c").cast("double"))
     values = "CASE encoding " + " ".join(f"WHEN '{e}' THEN transform(c, c -> {v})" for e, v in value.items()) + " END"
@@ -108,10 +115,11 @@ def secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     base_sha256, spans``. Places count code points, ends are exclusive, and a span
     is a whole match. Base kinds are ``assign``, ``access`` and ``hex``; ``random``
     spans are tokens of 20 or more characters outside base spans that look drawn
-    evenly from their encoding's alphabet (hexadecimal, base 32, base 64) in tests
+    evenly from the smallest alphabet that covers them (``ALPHABETS``) in tests
     of uniformity, runs and serial correlation, and whose unlikeness to text is a
     discovery at the false-discovery ``rate`` among tokens of their length in all
-    documents. Null and empty texts have no spans, repeated rows get equal
+    documents. Letters of one case only are too like text to be discovered.
+    Null and empty texts have no spans, repeated rows get equal
     results, and an empty table gives an empty result.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
