@@ -6,21 +6,29 @@ back, so a lost executor costs a re-read and never a recomputation of the loop.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-#: A side may be broadcast up to this many rows (callers state the row width).
-BROADCAST_ROWS = 200_000
+#: A side may be broadcast up to this many rows and this many bytes of them as text.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64_000_000
+#: Paths written since each open scope began, the innermost last.
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set."""
+    """The folder in ``spark.checkpoint.dir``; of one machine's own only where Spark runs on that machine alone."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     own = spark.conf.get("spark.tidegrid.shared.dir", None)
     if not own:
         own = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
@@ -35,18 +43,43 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidegrid_path = path
+    if _scopes:
+        _scopes[-1].append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`materialise` that nothing reads any more."""
     path = getattr(df, "_tidegrid_path", None)
     if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, *kept: str) -> Iterator[None]:
+    """Deletes, at its end, all tables that were materialised inside, but for those of the names ``kept``.
+
+    What leaves the block has to read tables of these names only.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            if re.fullmatch(r"(.*)-[0-9a-f]{32}", path.rpartition("/")[2])[1] not in kept:
+                _delete(spark, path)
+            elif _scopes:
+                _scopes[-1].append(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting ``df``; beyond ``rows`` leave the choice to Spark."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Hint a broadcast after measuring ``df``; beyond ``rows`` or ``BROADCAST_BYTES`` leave the choice to Spark."""
+    wide = any(isinstance(f.dataType, (ArrayType, BinaryType, MapType, StringType, StructType)) for f in df.schema)
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")) if wide else F.count("*") * 8 * len(df.columns)
+    n, held = df.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= BROADCAST_BYTES else df
