@@ -2,55 +2,135 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.operators.components import connected_components
-from tidegrid.plans.shared import broadcast_if_small, materialise
+from tidegrid.plans.shared import broadcast_if_small, discard, materialise
 
 #: Shared bands, of 8 bytes each, that are broadcast at most.
 BROADCAST_BANDS = 1_000_000
+#: Sizes of sets within one step of a geometric scale of this ratio meet in one join key.
+SCALE = 1.02
 
 
-def shared_bands(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of ``band, id`` the rows of bands that several items have, and ``band, n, pivot``."""
-    shared = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
-    shared = materialise(shared, "shared")
-    return materialise(bands.join(broadcast_if_small(shared.select("band"), BROADCAST_BANDS), "band", "left_semi"), "bands"), shared
+def shared_bands(bands: DataFrame) -> DataFrame:
+    """Of ``band, id`` the rows of bands that several items have."""
+    shared = materialise(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "shared")
+    return materialise(bands.join(broadcast_if_small(shared, BROADCAST_BANDS), "band", "left_semi"), "bands")
 
 
-def linked(bands: DataFrame, shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components ``node, component`` of the verified links between items of a band.
+def ranked(sets: DataFrame, percent: int) -> DataFrame:
+    """``id, n, c`` of the sets ``id, s`` that can have a link at all: size, and elements that another set has too.
 
-    ``bands`` and ``shared`` are those of :func:`shared_bands`. In each band all items
-    are held against a pivot; the links found merge them into components, and only
-    items of other components are held against further pivots, of which each turn
-    has twice as many. A pivot that was held against all others leaves its band.
-    Bands of one component are done, so no pair of a band that could join two
-    components is left out, and no band is gathered in one place.
+    Two sets have at most ``c`` elements in common, and a link needs ``percent`` of either.
     """
-    pairs = bands.join(shared, "band").where("id <> pivot")
-    pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    tested = pairs = materialise(pairs, "pairs")
-    links, used = verify(pairs), shared.select("band", F.col("pivot").alias("id"))
-    pivots = 1
+    one = sets.select("id", F.explode("s").alias("g")).groupBy("g").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 1")
+    alone = one.groupBy("id").agg(F.count("*").alias("alone"))
+    sized = sets.select("id", F.size("s").cast("long").alias("n")).join(alone, "id", "left")
+    sized = sized.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c"))
+    return materialise(sized.where(f"100 * c >= {percent} * n"), "ranked")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` with ``100 * intersection >= percent * union`` on full sets."""
+    both = F.size(F.array_intersect("sa", "sb"))
+    met = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+    return met.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+
+
+def _window(percent: int, n: Column, c: Column) -> tuple[Column, Column]:
+    """Least and largest size of a set that one of size ``n`` can be linked with, having ``c`` elements to share."""
+    high = F.least(F.floor(100 * n / percent), F.floor(c * (100 + percent) / percent) - n)
+    return F.ceil(percent * n / 100), high
+
+
+def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, component`` with new links: only the components they join are looked at again."""
+    if parts is None:
+        return materialise(connected_components(links), "parts")
+    of = lambda end: parts.toDF(end, f"c{end}")
+    named = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = materialise(connected_components(named).toDF("component", "least"), "joined")
+    moved = parts.join(joined, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+    added = joined.toDF("node", "component").join(parts.select("node"), "node", "left_anti")
+    return materialise(moved.unionByName(added), "parts")
+
+
+def linked(bands: DataFrame, sets: DataFrame, percent: int, screen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Components ``node, component`` of all links between items that share a band.
+
+    ``bands`` has ``band, id``, ``sets`` the elements ``s`` of each ``id`` there.
+    ``screen`` may drop pairs that have no hope before their sets are read.
+
+    An item leaves that can be linked with nothing, and two items only meet if their
+    sizes allow a link (``_window``). First all items of a band are held against the
+    one with the largest share of elements in common with others; links merge them
+    into components. Then the items outside their band's largest component are held
+    against all items of other components there. While these would be many pairs,
+    turns come first in which each has twice as many pivots, as long as that makes
+    the pairs fewer. So no pair is left out that could join two components, a band's
+    largest component is never paired with itself, and no band is gathered in one place.
+    """
+    rank = ranked(sets, percent)
+    placed = materialise(bands.join(rank, "id").select("band", "id", "n", "c"), "placed")
+    step = lambda n: F.floor(F.log(n) / math.log(SCALE)).cast("int")
+    first = F.struct((1 - F.col("c") / F.col("n")).alias("own"), "id", "n", "c")
+    tested: DataFrame | None = None
+    parts: DataFrame | None = None
+    pivots, before = 1, math.inf
+
+    def hold(pairs: DataFrame) -> None:
+        nonlocal tested, parts
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        likely = screen(pairs) if screen else pairs
+        links = materialise(confirmed(likely, sets, percent), "links")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        parts = _merged(parts, links)
+        discard(links)
+
+    def fits(x: str, y: str) -> Column:
+        low, high = _window(percent, F.col(f"{x}.n"), F.col(f"{x}.c"))
+        return F.col(f"{y}.n").between(low, high)
+
     while True:
-        parts = connected_components(links)
-        placed = bands.join(used, ["band", "id"], "left_anti").join(parts.withColumnRenamed("node", "id"), "id", "left")
-        placed = placed.select("band", "id", F.coalesce("component", "id").alias("component"))
-        # least and largest component differ: the band is still mixed
-        ends = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-        placed = materialise(placed.join(ends, "band", "left_semi"), "placed")
-        if placed.isEmpty():
+        slot = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
+        chosen = placed.groupBy("band", slot.alias("slot")).agg(F.min(first).alias("p")).select("band", "p.id", "p.n", "p.c")
+        chosen = materialise(chosen, "pivots")
+        met = placed.alias("x").join(chosen.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.id") != F.col("y.id")) & fits("x", "y") & fits("y", "x"))
+        hold(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+
+        # a pivot was held against all others of its band
+        rest = placed.join(chosen.select("band", "id"), ["band", "id"], "left_anti").join(parts.toDF("id", "of"), "id", "left")
+        rest = rest.select("band", "id", "n", "c", F.coalesce("of", "id").alias("component"))
+        sizes = rest.groupBy("band", "component").agg(F.count("*").alias("k"))
+        mixed = sizes.groupBy("band").agg(F.max(F.struct("k", "component")).alias("most"), F.sum("k").alias("all"), F.count("*").alias("kinds")).where("kinds > 1")
+        mixed = materialise(mixed.select("band", F.col("most.component").alias("main"), "all", (F.col("all") - F.col("most.k")).alias("others")), "mixed")
+        rest = materialise(rest.join(mixed.select("band", "main"), "band"), "mixed_items")
+        load, items = mixed.agg(F.coalesce(F.sum(F.col("all") * F.col("others")), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first()
+        if not items:
             return parts
-        bands, pivots = placed.select("band", "id"), 2 * pivots
-        order = F.struct(F.xxhash64("id"), "id", "component")
-        chosen = placed.groupBy("band", F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots)).alias("slot")).agg(F.min(order).alias("p"))
-        chosen = materialise(chosen.select("band", F.col("p.id").alias("pivot"), F.col("p.component").alias("its")), "pivots")
-        pairs = placed.join(chosen, "band").where("component <> its")
-        pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested, links = tested.unionByName(pairs), links.unionByName(verify(pairs))
-        used = chosen.select("band", F.col("pivot").alias("id"))
+        if load <= 16 * items or load > before / 2:
+            break
+        placed, pivots, before = rest.select("band", "id", "n", "c"), 2 * pivots, load
+
+    low, high = _window(percent, F.col("n"), F.col("c"))
+    lone = rest.where("component <> main").withColumn("low", low).withColumn("high", high).where("low <= high")
+    lone = lone.withColumn("step", F.explode(F.sequence(step(F.col("low")), step(F.col("high")))))
+    keyed = rest.withColumn("step", step(F.col("n")))
+    one_way = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
+    met = lone.alias("x").join(
+        keyed.alias("y"),
+        (F.col("x.band") == F.col("y.band"))
+        & (F.col("x.step") == F.col("y.step"))
+        & (F.col("x.component") != F.col("y.component"))
+        & F.col("y.n").between(F.col("x.low"), F.col("x.high"))
+        & fits("y", "x")
+        & one_way,
+    )
+    hold(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    return parts
