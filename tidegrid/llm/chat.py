@@ -191,7 +191,8 @@ def repaired(turns: DataFrame) -> DataFrame:
     cost the one is taken whose first choices come first in ``ACTIONS``.
 
     A turn is rendered as ``<|role|>``, its text and ``<|end|>`` on lines of their
-    own; ``rendered`` is what a row adds, so that a conversation is the ``rendered``
+    own; a line of a text that begins with ``<|``, or with backslashes before it, gets
+    one more backslash, so that the rendering can be read back. ``rendered`` is what a row adds, so that a conversation is the ``rendered``
     of its rows in order. Null texts render as empty, rows with a null conv_id are
     one conversation, repeated rows are turns of their own, an empty table gives an
     empty result, and other columns are not read.
@@ -225,5 +226,6 @@ def repaired(turns: DataFrame) -> DataFrame:
     empty: Callable[[str], Column] = lambda c: F.array_join(F.transform(c, lambda r: F.concat(head(r), tail)), "")
     before = F.concat(F.when(F.col("opens"), "").otherwise(tail), empty("inserted"), head(F.col("new_role")))
     after = F.when(F.col("ends"), F.concat(tail, empty("appended"))).otherwise("")
-    rendered = F.concat(F.when(F.col("merged"), F.lit("\n")).otherwise(before), "text", after)
+    shown = F.when(F.col("text").contains("<|"), F.regexp_replace("text", r"(?dm)^(\\*<\|)", r"\\$1")).otherwise(F.col("text"))
+    rendered = F.concat(F.when(F.col("merged"), F.lit("\n")).otherwise(before), shown, after)
     return dealt.join(fixed, "row").select("conv_id", "turn", "role", "new_role", "merged", "inserted", "appended", rendered.alias("rendered"))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tidegrid.llm.words import alnum_words
 from tidegrid.plans.shared import broadcast_if_small, materialise
 
+#: Words of the shingles that are ordered by rarity.
+PREFIX = 3
+
 
 def _windows(benchmark: DataFrame, size: int) -> DataFrame:
     """``item_id, win, width, words``: every window of every item."""
@@ -18,6 +21,12 @@ def _windows(benchmark: DataFrame, size: int) -> DataFrame:
     return items.withColumn("win", F.array_join("words", " "))
 
 
+def _grams(words: str, n: str, sizes: list[int]) -> str:
+    """Hashes of the shingles of ``n`` words, of each size after the other, as a SQL expression."""
+    of = lambda g: f"transform(sequence(0, {n} - {g}), i -> xxhash64({g}, {', '.join(f'{words}[i + {k}]' for k in range(g))}))"
+    return "concat(" + ", ".join(f"IF({n} >= {g}, {of(g)}, CAST(array() AS array<bigint>))" for g in sizes) + ")"
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
     """Which words of each document lie in a window of ``size`` words of a benchmark item.
 
@@ -30,59 +39,49 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     equal results; an empty table on either side gives no hits. No other column
     of either table is read.
 
-    The words of a window are its set elements, ordered by how rare they are in
-    all documents. A window that a document contains whole shares its rarest
-    word, so that word alone is the prefix to join on; where it stands bounds the
-    window's place, and the document's words there must then equal the window's.
+    The elements of a window are its shingles of three words (a shorter window is one
+    shingle), ordered by how rare they are in all documents. A document that contains
+    the window has all of them, so the rarest alone is the prefix to join on. Where it
+    stands bounds the window's place, the length of the text bounds its end, and the
+    words there must then equal the window's. Words of other documents are read but
+    neither stored nor moved: only shingles that the benchmark has leave the scan.
     """
     windows = materialise(_windows(benchmark, size), "windows")
-    vocabulary = broadcast_if_small(windows.select(F.explode("words").alias("word")).distinct())
-    text = F.col("text").cast("string")
-    # the words of every text are found once and read back where they are needed
-    keyed = materialise(docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), alnum_words(F.col("text")).alias("w")), "words")
-
-    rarity = (
-        keyed.select(F.explode("w").alias("word"))
-        .join(vocabulary, "word", "left_semi")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-    )
-    distinct = windows.select("win", "width", "words").dropDuplicates(["win"])
-    rarest = (
-        distinct.select("win", "width", F.posexplode("words").alias("offset", "word"))
-        .join(rarity, "word", "left")
-        .groupBy("win", "width")
-        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "offset")).alias("k"))
+    distinct = windows.select("win", "width", "words").dropDuplicates(["win"]).withColumn("g", F.least("width", F.lit(PREFIX)))
+    sizes = sorted(r["g"] for r in distinct.select("g").distinct().collect())
+    grams = materialise(
+        distinct.select("win", "width", "g", "words").select("win", "width", F.posexplode(F.expr("CASE g " + " ".join(f"WHEN {g} THEN {_grams('words', 'width', [g])}" for g in sizes or [1]) + " END")).alias("offset", "gram")),
+        "grams",
     )
-    keys = rarest.where("k.n > 0").select("k.word", "k.offset", "width").distinct()
-    keys = broadcast_if_small(materialise(keys, "prefixes"))
+    text = F.col("text").cast("string")
+    # explode(array(...)) finds the words once for all that use them
+    worded = docs.select("doc_id", F.xxhash64(text).alias("h"), F.explode(F.array(alnum_words(F.col("text")))).alias("w")).withColumn("n", F.size("w"))
+    place, before = "CASE", "0"
+    for g in sizes:
+        after = f"{before} + greatest(0, n - {g - 1})"
+        place, before = f"{place} WHEN at < {after} THEN at - ({before})", after
+    hits = worded.select("doc_id", "h", "n", F.posexplode(F.expr(_grams("w", "n", sizes or [1]))).alias("at", "gram"))
+    hits = hits.join(broadcast_if_small(materialise(grams.select("gram").distinct(), "vocabulary"), 2_000_000), "gram", "left_semi")
+    hits = materialise(hits.select("doc_id", "h", "n", "gram", (F.expr(f"{place} END") if sizes else F.col("at")).cast("int").alias("pos")), "shingle_hits")
 
-    # position bound: the window starts where its rarest word puts it, not before the text
+    rarity = hits.groupBy("gram").agg(F.count("*").alias("k"))
+    rarest = grams.join(rarity, "gram", "left").groupBy("win", "width").agg(F.min(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "gram", "offset")).alias("p"))
+    keys = broadcast_if_small(materialise(rarest.where("p.k > 0").select("p.gram", "p.offset", "width").distinct(), "prefixes"))
     starts = (
-        keyed.select("doc_id", "h", F.posexplode("w").alias("pos", "word"))
-        .join(keys, "word")
-        .where("pos >= offset")
-        .groupBy("doc_id", "h", (F.col("pos") - F.col("offset")).alias("start"), "width")
-        .agg(F.lit(1).alias("one"))
+        hits.join(keys, "gram")
+        .where("pos >= offset and pos - offset + width <= n")
         .groupBy("doc_id", "h")
-        .agg(F.collect_list(F.struct("start", "width")).alias("starts"))
+        .agg(F.collect_set(F.struct((F.col("pos") - F.col("offset")).alias("start"), "width")).alias("starts"))
     )
-    starts = materialise(starts, "starts")
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
-    few = broadcast_if_small(starts, 20_000)
+    starts = materialise(starts, "starts").toDF("d", "g", "starts")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))
+    read = docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text")).join(broadcast_if_small(starts), same)
+    read = read.select("doc_id", "h", "starts", F.explode(F.array(alnum_words(F.col("text")))).alias("w"))
     found = (
-        keyed.join(few, same(keyed, few))
-        .select(keyed["doc_id"], keyed["h"], "starts", "w")
-        .select(
-            "doc_id",
-            "h",
-            F.explode(
-                F.expr("transform(filter(starts, s -> s.start + s.width <= size(w)), s -> struct(s.start, s.width, array_join(slice(w, s.start + 1, s.width), ' ') AS win))")
-            ).alias("s"),
-        )
+        read.select("doc_id", "h", F.explode(F.expr("transform(starts, s -> struct(s.start, s.width, array_join(slice(w, s.start + 1, s.width), ' ') AS win))")).alias("s"))
         .select("doc_id", "h", "s.start", "s.width", "s.win")
-        .distinct()
         .join(broadcast_if_small(distinct.select("win")), "win", "left_semi")
+        .distinct()
     )
     found = materialise(found, "hits")
     covered = (
@@ -102,17 +101,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
         .agg(F.lit(1).alias("one"))
         .groupBy("doc_id", "h")
         .agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+        .select("doc_id", "h", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     )
-    covered = covered.join(items.toDF("d", "g", "items"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left").drop("d", "g")
-    covered = broadcast_if_small(materialise(covered, "covered"), 20_000)
-    counted = keyed.select("doc_id", "h", F.size("w").cast("long").alias("n_words"))
-    n_hit, none = F.coalesce("n_hit", F.lit(0)), F.array().cast("array<string>")
-    return counted.join(covered, same(counted, covered), "left").select(
-        counted["doc_id"],
+    covered = covered.join(items.toDF("d", "g", "n_items", "items_sha256"), same, "left").select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "n_hit", "n_items", "items_sha256")
+    covered = broadcast_if_small(materialise(covered, "covered"))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return worded.select("doc_id", "h", F.col("n").cast("long").alias("n_words")).join(covered, same, "left").select(
+        "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
-        counted["h"].alias("text_hash"),
+        F.col("h").alias("text_hash"),
     )

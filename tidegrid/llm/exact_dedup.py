@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm.words import SPACES
-from tidegrid.plans.shared import broadcast_if_small, materialise, shared_dir
+from tidegrid.plans.shared import broadcast_if_small, discard, materialise, new_folder
+
+#: Runs that the tasks of one batch are dealt to; parts that a hot digest's rows are split into.
+RUNS, SALTS = 4, 16
 
 
 def normalised(text: Column) -> Column:
@@ -17,62 +18,88 @@ def normalised(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Sorted runs of ``digest, doc_id, row`` in a folder, and the level they compact into.
+    """Sorted runs of ``digest, rest, doc_id, text_hash, row`` in a folder, and the level they compact into.
 
-    A memtable is what one task holds of a batch: it is sorted by digest and
-    flushed as one Parquet file, whose column statistics and Bloom filter tell a
-    reader which digests it can hold. :meth:`compact` merges all runs into one
-    level that keeps, for each digest, the row with the smallest identifier.
+    A memtable is what one task holds of a batch: it is sorted by digest and flushed as
+    one file of a run, whose column statistics and Bloom filter tell a reader which
+    digests it can hold. :meth:`compact` merges runs and levels two by two, each merge
+    a sort-merge join on the digest, and keeps for each digest the row with the smallest
+    identifier. :meth:`lookup` reads a few digests through statistics and filters.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, digest_chars: int = 64) -> None:
         self.spark, self.chars = spark, digest_chars
-        self.folder = folder or f"{shared_dir(spark)}/digests-{uuid.uuid4().hex}"
+        self.folder = folder or new_folder(spark, "digests")
         self.runs: list[str] = []
 
     def digest(self, text: Column) -> Column:
         return F.unhex(F.substring(F.sha2(normalised(text), 256), 1, self.chars))
 
-    def _write(self, rows: DataFrame, path: str) -> str:
-        rows.sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true").option(
-            "parquet.bloom.filter.expected.ndv#digest", "1000000"
-        ).option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
-        return path
-
-    def flush(self, docs: DataFrame) -> None:
-        """Add a batch of documents as one run."""
-        rows = docs.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("sha")).select(
-            "doc_id", "sha", F.unhex(F.substring("sha", 1, self.chars)).alias("digest"), F.monotonically_increasing_id().alias("row")
-        )
-        self.runs.append(self._write(rows, f"{self.folder}/run-{len(self.runs):05d}"))
+    def _write(self, rows: DataFrame, name: str, *parts: str) -> str:
+        writer = rows.sortWithinPartitions(*parts, "digest").write.option("parquet.bloom.filter.enabled#digest", "true")
+        writer = writer.option("parquet.bloom.filter.expected.ndv#digest", "1000000").option("parquet.bloom.filter.adaptive.enabled", "true")
+        (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.folder}/{name}")
+        return f"{self.folder}/{name}"
+
+    def flush(self, docs: DataFrame, runs: int = RUNS) -> None:
+        """Add a batch of documents: each task's rows are a memtable of one of ``runs`` runs."""
+        sha = F.sha2(normalised(F.col("text")), 256)
+        rows = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), sha.alias("sha"), F.monotonically_increasing_id().alias("row"))
+        cut = [F.unhex(F.substring("sha", 1, self.chars)).alias("digest"), F.unhex(F.substring("sha", self.chars + 1, 64)).alias("rest")]
+        rows = rows.select("doc_id", "text_hash", *cut, "row", F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"))
+        batch = self._write(rows, f"batch-{len(self.runs):05d}", "run")
+        kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "run")
+        fs = self.spark._jvm.org.apache.hadoop.fs.Path(batch).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        paths = (f"{batch}/run={i}" for i in range(runs))
+        self.runs += [(path, kind) for path in paths if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path))]
+        self.kind = kind
 
     def rows(self) -> DataFrame:
-        """All flushed rows: ``doc_id, sha, digest, row, run``."""
-        parts = [self.spark.read.parquet(path).withColumn("run", F.lit(i)) for i, path in enumerate(self.runs)]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
+        """All flushed rows: ``doc_id, text_hash, digest, rest, row, run``."""
+        out = self.spark.createDataFrame([], f"{self.kind}, run int")
+        for i, (path, kind) in enumerate(self.runs):
+            out = out.unionByName(self.spark.read.schema(kind).parquet(path).withColumn("run", F.lit(i)))
         return out
 
     def compact(self) -> DataFrame:
         """Merge the runs: ``digest, first, n`` where first is the row of the smallest doc_id."""
         least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "run", "row")).alias("first")
-        level = self.rows().groupBy("digest").agg(least, F.count("*").alias("n"))
-        return self.spark.read.schema(level.schema).parquet(self._write(level, f"{self.folder}/level-{uuid.uuid4().hex}"))
-
-    def lookup(self, level: DataFrame, docs: DataFrame, batch: int = 1000) -> DataFrame:
-        """The level's entries for the digests of ``docs``; small batches are read through the filters."""
-        wanted = docs.select(self.digest(F.col("text")).alias("digest")).distinct()
-        first = [r[0] for r in wanted.limit(batch + 1).collect()]
+        levels = [
+            self.spark.read.schema(kind).parquet(path).withColumn("run", F.lit(i)).groupBy("digest").agg(least, F.count("*").alias("n"))
+            for i, (path, kind) in enumerate(self.runs)
+        ] or [self.rows().groupBy("digest").agg(least, F.count("*").alias("n"))]
+        tier = 0
+        while len(levels) > 1 or not tier:
+            merged = [self._merge(*pair) for pair in zip(levels[::2], levels[1::2])] + levels[len(levels) // 2 * 2 :]
+            kind, tier = merged[0].schema, tier + 1
+            written = [self.spark.read.schema(kind).parquet(self._write(x, f"level-{tier}-{i}")) for i, x in enumerate(merged)]
+            for old in levels:
+                discard(old)
+            for new, i in zip(written, range(len(written))):
+                new._tidegrid_path = f"{self.folder}/level-{tier}-{i}"
+            levels = written
+        return levels[0]
+
+    @staticmethod
+    def _merge(a: DataFrame, b: DataFrame) -> DataFrame:
+        both = a.hint("merge").join(b.toDF("digest", "first_b", "n_b"), "digest", "full_outer")
+        none = lambda c: F.coalesce(c, F.lit(0))
+        return both.select("digest", F.least("first", "first_b").alias("first"), (none("n") + none("n_b")).alias("n"))
+
+    def lookup(self, rows: DataFrame, wanted: DataFrame, batch: int = 1000) -> DataFrame:
+        """Of rows or of a level those of the ``wanted`` digests; up to ``batch`` are read through the filters."""
+        wanted = wanted.select("digest").distinct()
+        first = [bytes(r[0]) for r in wanted.limit(batch + 1).collect()]
         if len(first) <= batch:
-            return level.where(F.col("digest").isin([bytes(d) for d in first])) if first else level.limit(0)
-        return level.join(wanted, "digest", "left_semi")
+            return rows.where(F.col("digest").isin(first)) if first else rows.limit(0)
+        return rows.join(wanted, "digest", "left_semi")
 
 
 def exact_duplicates(docs: DataFrame, digest_chars: int = 64) -> DataFrame:
     """For each row of ``docs``, which row of equal text stays.
 
-    Returns ``doc_id, keep_id, group_size, kept, text_sha256``. Texts are equal
+    Returns ``doc_id, keep_id, group_size, kept, text_sha256`` and ``text_hash``
+    (``xxhash64`` of the text as it is, to find the row again). Texts are equal
     when their bytes are after white space is normalised; null counts as empty.
     Of equal texts the smallest doc_id stays; of rows that repeat an id and a
     text exactly one is kept. Rows without an id lose to rows with one; among
@@ -82,27 +109,41 @@ def exact_duplicates(docs: DataFrame, digest_chars: int = 64) -> DataFrame:
 
     Digests held by several rows are hits. The bytes of all hits are compared by
     grouping on the text itself, which collapses copies before they are
-    shuffled; a digest found to hold different texts is resolved text by text.
+    shuffled; a digest found to hold different texts is looked up in the runs and
+    resolved text by text. Only hits are joined to rows, salted, so that the copies
+    of one text are spread over tasks.
     """
     index = DigestIndex(docs.sparkSession, digest_chars=digest_chars)
     index.flush(docs)
     level = index.compact()
-    hits = level.where("n > 1").select("digest")
-    text = docs.select("doc_id", normalised(F.col("text")).alias("norm"), index.digest(F.col("text")).alias("digest"))
-    read = text.join(broadcast_if_small(hits), "digest", "left_semi")
-    classes = read.groupBy("digest", "norm").agg(F.count("*").alias("n"))
-    clashes = classes.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1")
-    clashes = materialise(clashes.select("digest"), "clashes")
-
-    rows = index.rows().join(broadcast_if_small(clashes), "digest", "left_anti") if not clashes.isEmpty() else index.rows()
-    found = rows.join(level, "digest").select("doc_id", "sha", "run", "row", "first", "n")
-    if not clashes.isEmpty():
-        split = read.join(clashes, "digest", "left_semi").select("doc_id", "norm", F.sha2("norm", 256).alias("sha"), F.lit(-1).alias("run"), F.monotonically_increasing_id().alias("row"))
+    hits = materialise(level.where("n > 1"), "digest_hits")
+    text = docs.select("doc_id", normalised(F.col("text")).alias("norm"), F.col("text").cast("string").alias("text"), index.digest(F.col("text")).alias("digest"))
+    read = text.join(broadcast_if_small(hits.select("digest")), "digest", "left_semi")
+    classes = read.groupBy("digest", "norm").agg(F.lit(1).alias("one"))
+    clashes = materialise(classes.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1").select("digest"), "clashes")
+    clashing = not clashes.isEmpty()
+
+    if clashing:
+        hits = materialise(hits.join(clashes, "digest", "left_anti"), "digest_hits")
+    small = broadcast_if_small(hits)
+    rows = index.rows().withColumn("salt", F.pmod("row", F.lit(SALTS)))
+    if small is hits:
+        small = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.join(small, ["digest", "salt"], "left")
+    else:
+        rows = rows.join(small, "digest", "left")
+    found = rows.select("doc_id", "text_hash", F.lower(F.hex(F.concat("digest", "rest"))).alias("sha"), "run", "row", "first", F.coalesce("n", F.lit(1).cast("long")).alias("n"))
+    if clashing:
+        # single rows of a clashing digest's texts have no hit of their own
+        lost = index.lookup(index.rows(), clashes).select("run", "row")
+        found = found.join(broadcast_if_small(materialise(lost, "clash_rows")), ["run", "row"], "left_anti")
+        split = read.join(clashes, "digest", "left_semi")
+        split = split.select("doc_id", F.xxhash64("text").alias("text_hash"), "norm", F.sha2("norm", 256).alias("sha"), F.lit(-1).alias("run"), F.monotonically_increasing_id().alias("row"))
         split = materialise(split, "clashing")
         least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "run", "row")).alias("first")
         split = split.join(split.groupBy("norm").agg(least, F.count("*").alias("n")), "norm")
         found = found.unionByName(split.drop("norm"))
-    kept = (F.col("run") == F.col("first.run")) & (F.col("row") == F.col("first.row"))
-    return found.select(
-        "doc_id", F.col("first.doc_id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256")
-    )
+    alone = F.col("first").isNull()
+    kept = alone | ((F.col("run") == F.col("first.run")) & (F.col("row") == F.col("first.row")))
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return found.select("doc_id", keep_id.alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"), "text_hash")

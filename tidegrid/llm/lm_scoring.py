@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,6 +25,8 @@ TABLE = 262_144
 #: Shares of the training documents for each round, with its learning rate; weights
 #: are averaged over all tasks after a round.
 ROUNDS = ((1, 0.1), (4, 0.1), (11, 0.05))
+#: Tokens that one replica of the network learns from in a round, and replicas at most.
+REPLICA, REPLICAS = 1_000_000, 4096
 #: The end of a text counts as a token; no word is empty.
 END = b""
 
@@ -81,8 +84,8 @@ def _encode(batches: Iterator[pa.RecordBatch], table: tuple[list[bytes], np.ndar
             ends.append(len(tail_words))
         tails = pa.StructArray.from_arrays([pa.array(tail_words, pa.binary()), pa.array(tail_counts, pa.int64())], ["word", "n"])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "held_out", "learned", "share")), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails)],
-            ["doc_id", "held_out", "learned", "share", "ids", "n_tokens", "n_known", "base", "rare", "tail"],
+            [*(batch.column(c) for c in ("doc_id", "held_out", "learned", "share", "deal")), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails)],
+            ["doc_id", "held_out", "learned", "share", "deal", "ids", "n_tokens", "n_known", "base", "rare", "tail"],
         )
 
 
@@ -145,7 +148,9 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
     frequent words (in 48 classes) and 16 classes of other words by their endings;
     a word of these has the add-one probability within its class, where one more
     word stands for all unknown ones. Every training document is passed once, in
-    three rounds; each task trains on its own documents and the weights are averaged.
+    three rounds; documents are dealt by a hash to replicas of ``REPLICA`` tokens, each
+    of which trains on its own, and the weights are averaged after each round. So a
+    score follows from the rows, not from how they are cut into partitions.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -175,7 +180,8 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
         words.insert(0, words.pop(i))
         seen = np.concatenate([seen[i : i + 1], np.delete(seen, i)])
     else:
-        words, seen = [END, *words], np.append(0, seen)
+        n = counts.where(F.col("word") == F.lit(END)).select("n").first()
+        words, seen = [END, *words], np.append(n["n"] if n else 0, seen)
     table = spark.sparkContext.broadcast((words, seen))
     end = 0
 
@@ -187,16 +193,20 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
         mass[rare_class(w)] -= c
     logs = np.log10(mass + size + 1)
 
-    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sum(n for n, _ in ROUNDS)))
-    encoded = slim.select("doc_id", "held_out", "learned", share.cast("int").alias("share"), "text").mapInArrow(
+    deal = F.xxhash64("doc_id", "text")
+    share = F.pmod(deal, F.lit(sum(n for n, _ in ROUNDS)))
+    encoded = slim.select("doc_id", "held_out", "learned", share.cast("int").alias("share"), deal.alias("deal"), "text").mapInArrow(
         lambda batches: _encode(batches, table.value),
-        f"doc_id {id_kind}, held_out boolean, learned boolean, share int, ids binary, n_tokens long, n_known long, base double, rare double, tail array<struct<word:binary,n:long>>",
+        f"doc_id {id_kind}, held_out boolean, learned boolean, share int, deal long, ids binary, n_tokens long, n_known long, base double, rare double, tail array<struct<word:binary,n:long>>",
     )
     encoded = materialise(encoded.withColumn("row", F.monotonically_increasing_id()), "encoded")
 
     flat, start = gru.initial(seen[: gru.VOCABULARY], mass), 0
     for n, lr in ROUNDS:
-        part = encoded.where(f"learned and share >= {start} and share < {start + n}").select("ids")
+        part = encoded.where(f"learned and share >= {start} and share < {start + n}").select("deal", "ids")
+        # replicas follow from the number of tokens and not from how the table is cut
+        replicas = max(1, min(REPLICAS, math.ceil(whole[0] * n / sum(n for n, _ in ROUNDS) / REPLICA)))
+        part = part.repartition(replicas, "deal").sortWithinPartitions("deal", "ids").select("ids")
         held, start = spark.sparkContext.broadcast(flat), start + n
         trained = part.mapInArrow(lambda b, held=held, lr=lr: _train(b, held.value, end, lr), "block int, n long, sums binary")
         flat = _averaged(trained, flat)

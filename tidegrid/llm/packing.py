@@ -19,7 +19,7 @@ from tidegrid.plans.ship import ship
 
 #: Documents that one island holds at a time, islands for each shard, epochs with
 #: migration between them, individuals and generations of an epoch.
-SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 4, 3
+SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 24
 
 
 class _Encoder:
@@ -125,56 +125,80 @@ def _cross(a: tuple[Bins, list[int]], b: tuple[Bins, list[int]], sizes: list[int
     return bins, loads
 
 
-def _evolve(rows: pd.DataFrame, size: int, epoch: int) -> pd.DataFrame:
-    """One epoch of one island; ``bin`` and ``migrant`` are its own and its neighbour's best."""
-    rows = rows.sort_values("row", ignore_index=True)
-    sizes = rows["length"].tolist()
-    rng = random.Random(f"{rows['shard'].iat[0]}/{rows['island'].iat[0]}/{epoch}")
-    people = []
-    for known in ("bin", "migrant"):
-        if rows[known].iat[0] >= 0:
-            bins: Bins = [g.tolist() for g in rows.groupby(known).indices.values()]
-            people.append((bins, [sum(sizes[i] for i in g) for g in bins]))
+def best_fit_decreasing(sizes: list[int], size: int) -> tuple[Bins, list[int]]:
+    bins: Bins = []
+    loads: list[int] = []
+    _best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, bins, loads, size)
+    return bins, loads
+
+
+def evolved(sizes: list[int], size: int, people: list[tuple[Bins, list[int]]], rng: random.Random) -> list[tuple[Bins, list[int]]]:
+    """The population after an epoch, best first; an empty one begins with the best fit of decreasing sizes.
+
+    Others begin from blurred orders of sizes. A packing into the fewest bins that the
+    sum of sizes allows ends the search.
+    """
+    least = -(-sum(sizes) // size)
+    people = sorted(people or [best_fit_decreasing(sizes, size)], key=_worth, reverse=True)[:POPULATION]
+    if len(people[0][0]) == least:
+        return people
     while len(people) < POPULATION:
-        blur = 0.0 if not people and rows["island"].iat[0] == 0 else 0.15
-        order = sorted(range(len(sizes)), key=lambda i: -sizes[i] * (1 + blur * rng.random()))
-        bins, loads = [], []
+        order = sorted(range(len(sizes)), key=lambda i: -sizes[i] * (1 + 0.15 * rng.random()))
+        bins: Bins = []
+        loads: list[int] = []
         _best_fit(order, sizes, bins, loads, size)
         people.append((bins, loads))
-    least = -(-sum(sizes) // size)
     for _ in range(GENERATIONS):
         people.sort(key=_worth, reverse=True)
         if len(people[0][0]) == least:
             break
-        a, b = people[0], people[rng.randrange(1, len(people))]
-        people[-1] = _cross(*((a, b) if rng.random() < 0.5 else (b, a)), sizes, size, rng)
-    best = max(people, key=_worth)
-    place, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    load = np.zeros(len(rows), np.int64)
-    for n, items in enumerate(best[0]):
-        place[items] = n
-        load[items] = best[1][n]
+        a, b = rng.sample(people[: POPULATION // 2 + 1], 2)
+        people[-1] = _cross(a, b, sizes, size, rng)
+    return sorted(people, key=_worth, reverse=True)
+
+
+def _evolve(rows: pd.DataFrame, size: int, epoch: int) -> pd.DataFrame:
+    """One epoch of one island; ``people`` has each individual's bin of the row, ``migrant`` that of its neighbour's best."""
+    rows = rows.sort_values("row", ignore_index=True)
+    sizes = rows["length"].tolist()
+    rng = random.Random(f"{rows['shard'].iat[0]}/{rows['island'].iat[0]}/{epoch}")
+    known = []
+    if len(rows["people"].iat[0]):
+        for places in [*np.stack(rows["people"].to_list()).T, rows["migrant"].to_numpy()]:
+            bins: Bins = [[] for _ in range(int(places.max()) + 1)]
+            for i, b in enumerate(places.tolist()):
+                bins[b].append(i)
+            known.append((bins, [sum(sizes[i] for i in g) for g in bins]))
+    people = evolved(sizes, size, known, rng)
+    places = np.zeros((len(rows), len(people)), np.int32)
+    for k, (bins, _) in enumerate(people):
+        for n, items in enumerate(bins):
+            places[items, k] = n
+    offset, load = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+    for items, full in zip(*people[0]):
+        load[items] = full
         offset[items] = np.cumsum([0, *[sizes[i] for i in items]])[:-1]
-    return rows.assign(bin=place, offset=offset, load=load, bins=len(best[0]))[["row", "shard", "island", "length", "bin", "offset", "load", "bins"]]
+    out = rows.assign(people=list(places), bin=places[:, 0].astype(np.int64), offset=offset, load=load, bins=len(people[0][0]))
+    return out[["row", "shard", "island", "length", "people", "bin", "offset", "load", "bins"]]
 
 
 def _epoch(size: int, epoch: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return lambda rows: _evolve(rows, size, epoch)
 
 
-_EVOLVED = "row long, shard long, island int, length long, bin long, offset long, load long, bins long"
+_EVOLVED = "row long, shard long, island int, length long, people array<int>, bin long, offset long, load long, bins long"
 
 
 def _pack(items: DataFrame, shards: int, level: int, size: int) -> DataFrame:
     """Best packing of every shard: ``row, length, shard, bin, offset, load``."""
     dealt = items.select("row", "length", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(shards)).alias("shard"))
-    people = dealt.select("*", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"), F.lit(-1).cast("long").alias("bin"), F.lit(-1).cast("long").alias("migrant"))
+    people = dealt.select("*", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"), F.array().cast("array<int>").alias("people"), F.lit(-1).cast("long").alias("migrant"))
     for epoch in range(EPOCHS):
-        evolved = materialise(people.groupBy("shard", "island").applyInPandas(_epoch(size, epoch), _EVOLVED), "islands")
-        elite = evolved.select("row", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("bin").alias("migrant"))
-        people = evolved.select("row", "length", "shard", "island", "bin").join(elite, ["row", "island"])
-    best = evolved.groupBy("shard").agg(F.min(F.struct("bins", "island")).alias("best"))
-    return evolved.join(best, "shard").where("island = best.island").select("row", "length", "shard", "bin", "offset", "load")
+        after = materialise(people.groupBy("shard", "island").applyInPandas(_epoch(size, epoch), _EVOLVED), "islands")
+        elite = after.select("row", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("bin").alias("migrant"))
+        people = after.select("row", "length", "shard", "island", "people").join(elite, ["row", "island"])
+    best = after.groupBy("shard").agg(F.min(F.struct("bins", "island")).alias("best"))
+    return after.join(best, "shard").where("island = best.island").select("row", "length", "shard", "bin", "offset", "load")
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end: int = 2) -> DataFrame:
@@ -188,8 +212,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end: int = 2) -> Dat
     empty table gives no sequence; other columns are not read.
 
     Full pieces are sequences already. The others are dealt by a hash to shards of
-    about 4096, each evolved on two islands that exchange their best packing
-    between epochs. Sequences with room left in the best packing are emptied, and
+    about 4096, each evolved on two islands, which keep their populations and exchange
+    their best packing between epochs. Sequences with room left in the best packing are emptied, and
     their pieces from all shards are dealt anew, until one shard holds what is
     left or nothing more is gained.
     """

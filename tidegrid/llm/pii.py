@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm.blocks import blocks
-from tidegrid.llm.surrogates import mentions, splice, surrogate
+from tidegrid.llm.surrogates import LAST, mentions, splice, surrogate
 from tidegrid.plans.shared import broadcast_if_small, materialise
 from tidegrid.plans.ship import ship
 
@@ -50,7 +50,8 @@ def assigned(entities: DataFrame, key: bytes) -> DataFrame:
     """``type, value, surrogate``: an injective choice of surrogates for ``type, kind, value``.
 
     In each round every open entity draws one; the first by value takes it unless
-    it was taken before or is itself an entity of the corpus. The others draw anew.
+    it was taken before or is itself an entity of the corpus. The others draw anew,
+    from larger spaces; it is an error if the space of a format is used up.
     """
     entities = materialise(entities, "entities")
     settled, pending, attempt = None, entities, 0
@@ -67,6 +68,8 @@ def assigned(entities: DataFrame, key: bytes) -> DataFrame:
         if pending.isEmpty():
             return settled
         attempt += 1
+        if attempt > LAST:
+            raise ValueError(f"no surrogate is left for {[tuple(r) for r in pending.select('type').distinct().collect()]}")
 
 
 def pseudonymised(docs: DataFrame, key: bytes = b"tidegrid") -> DataFrame:
@@ -75,10 +78,12 @@ def pseudonymised(docs: DataFrame, key: bytes = b"tidegrid") -> DataFrame:
     Returns ``doc_id, n_entities, text`` for every row of ``docs``. Entities are
     e-mail addresses, telephone and card numbers, social-security numbers, IBANs,
     IPv4 addresses, names that follow a title or begin with a known given name,
-    and bare surnames of names found in the same text. One entity has one surrogate in all documents, no two entities of a type
-    share one, and none is itself an entity of the corpus. Surrogates depend on
-    ``key`` and on the corpus's entities only; they keep separators, case, length
-    of numbers, check digits, script and gender. Null stays null and empty stays
+    and bare surnames of names found in the same text. One entity has one surrogate
+    in all documents, no two entities of a type share one, and none is itself an
+    entity of the corpus. Surrogates depend on ``key`` and on the corpus's entities
+    only; they keep separators, case, length of numbers, check digits, script and
+    gender. Given names come from the list that detects them while some of it does
+    not occur in the corpus, and are made of syllables otherwise. Null stays null and empty stays
     empty; repeated rows get equal results; an empty table gives an empty result;
     other columns are not read.
     """
@@ -93,7 +98,7 @@ def pseudonymised(docs: DataFrame, key: bytes = b"tidegrid") -> DataFrame:
     edit = F.struct("start", "stop", "kind", "surrogate")
     edits = found.dropDuplicates(["doc_id", "h", "start"]).join(chosen, ["type", "value"])
     edits = edits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(edit)).alias("edits"))
-    edits = broadcast_if_small(materialise(edits, "edits").toDF("d", "g", "edits"), 100_000)
+    edits = broadcast_if_small(materialise(edits, "edits").toDF("d", "g", "edits"))
     return (
         slim.join(edits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left")
         .select("doc_id", "text", "edits")

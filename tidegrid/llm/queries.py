@@ -44,7 +44,7 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(_table(spark, sf_dir, "documents"))
+    return exact_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

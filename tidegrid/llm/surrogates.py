@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 # Titles with their gender, and given names by script and gender.
@@ -178,14 +179,21 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         words = ((m.start(), _POSSESSIVE.sub("", m[0])) for m in _WORD.finditer(text))
         found += [(i, i + len(w), bare[w.casefold()], w) for i, w in words if _cased(w) and w.casefold() in bare]
     out: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
-    for start, stop, kind, value in found:  # kinds found first win
-        if all(stop <= a or b <= start for a, b in taken):
-            taken.append((start, stop))
+    starts: list[int] = []
+    stops: list[int] = []
+    for start, stop, kind, value in found:  # kinds found first win; those that stay do not overlap, so both lists ascend
+        i = bisect_left(stops, start + 1)
+        if i == len(starts) or stop <= starts[i]:
+            starts.insert(i, start)
+            stops.insert(i, stop)
             out.append((start, stop, kind, normal(kind, value)))
     return sorted(out)
 
 
+#: Attempts after which numbers leave their reserved ranges, and after which there is no surrogate.
+WIDE, LAST = 16, 64
+
+
 class Draw:
     """A keyed stream of numbers for one entity and attempt."""
 
@@ -214,17 +222,20 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         # one domain has one surrogate domain, reserved for examples, until attempts run out
         host = Draw(key, "domain", domain, attempt // 8).syllables(3 + attempt // 8, "latin")
         name = "".join(str(draw.below(10)) if c.isdigit() else chr(97 + draw.below(26)) if c.isalpha() else c for c in local)
-        return f"{name}{draw.syllables(attempt // 2, 'latin')}@{host}.example.{domain.rpartition('.')[2]}"
+        ending = domain.rpartition(".")[2]
+        # fixed values: of the endings below these, example.<ending> is reserved, and so is the ending "example"
+        return f"{name}{draw.syllables(attempt // 2, 'latin')}@{host}.example{f'.{ending}' if ending in ('com', 'net', 'org') else ''}"
     if kind == "ip":
         octets = [int(x) for x in value.split(".")]
         private = octets[0] == 10 or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32
-        first = 10 if private else (lambda x: x + (x >= 10) + (x >= 126))(1 + draw.below(221))
+        first = 10 if private and attempt < WIDE else (lambda x: x + (x >= 10) + (x >= 126))(1 + draw.below(221))
         return ".".join(map(str, (first, draw.below(256), draw.below(256), 1 + draw.below(254))))
     if kind == "card":
         body = value[0] + draw.digits(value[1:-1])
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
     if kind == "ssn":  # areas from 900 are never issued
-        return f"9{draw.digits('00')}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
+        area = f"9{draw.digits('00')}" if attempt < WIDE else f"{1 + draw.below(899):03d}"
+        return f"{area}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
     if kind == "iban":
         body = draw.digits(value[4:])
         return f"{value[:2]}{98 - _mod97(value[:2] + '00' + body):02d}{body}"
