@@ -36,15 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing has used."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidegrid_path = path
-    if _scopes:
-        _scopes[-1].append(path)
     return out
 
 
@@ -62,7 +68,7 @@ def discard(df: DataFrame) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession, *kept: str) -> Iterator[None]:
-    """Deletes, at its end, all tables that were materialised inside, but for those of the names ``kept``.
+    """Deletes, at its end, all folders that were begun inside, but for those of the names ``kept``.
 
     What leaves the block has to read tables of these names only.
     """
