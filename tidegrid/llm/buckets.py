@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +12,6 @@ from tidegrid.plans.shared import broadcast_if_small, discard, materialise
 
 #: Shared bands, of 8 bytes each, that are broadcast at most.
 BROADCAST_BANDS = 1_000_000
-#: Sizes of sets within one step of a geometric scale of this ratio meet in one join key.
-SCALE = 1.02
 
 
 def shared_bands(bands: DataFrame) -> DataFrame:
@@ -42,12 +39,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-def _window(percent: int, n: Column, c: Column) -> tuple[Column, Column]:
-    """Least and largest size of a set that one of size ``n`` can be linked with, having ``c`` elements to share."""
-    high = F.least(F.floor(100 * n / percent), F.floor(c * (100 + percent) / percent) - n)
-    return F.ceil(percent * n / 100), high
-
-
 def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """``node, component`` with new links: only the components they join are looked at again."""
     if parts is None:
@@ -60,77 +51,90 @@ def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialise(moved.unionByName(added), "parts")
 
 
+def _fits(percent: int) -> Column:
+    """Whether sizes, and elements to share, of the sets ``x`` and ``y`` allow a link."""
+    n = [F.col("x.n"), F.col("y.n")]
+    shared = F.least("x.c", "y.c") * (100 + percent) >= percent * (n[0] + n[1])
+    return (100 * F.least(*n) >= percent * F.greatest(*n)) & shared
+
+
+def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of items of one ``ref`` and of two components that can be linked, by how they differ from it.
+
+    ``rows`` has ``ref, id, n, c, component``. Let an item's difference be what it has
+    and its reference has not, or the other way round; two items differ in what is in
+    one difference only. So for a link the differences have to overlap by
+    ``(d + d' - k * (n + n')) / 2`` with ``k = (100 - percent) / (100 + percent)``; where
+    that is no bound, both are linked with the reference. It is at least
+    ``(d - k * (n + r)) / 2``, whatever the other item is. Hence a join on the rarest
+    elements of the differences, as many as that leaves, finds all such pairs.
+    """
+    k = (100 - percent) / (100 + percent)
+    own = rows.join(sets.toDF("id", "s"), "id").join(sets.toDF("ref", "r"), "ref")
+    own = own.select("ref", "id", "n", "c", "component", F.size("r").alias("m"), F.array_union(F.array_except("s", "r"), F.array_except("r", "s")).alias("e"))
+    own = materialise(own, "differences")
+    each = own.select("ref", "id", F.explode("e").alias("e"))
+    often = each.groupBy("ref", "e").agg(F.count("*").alias("often")).where("often > 1")
+    # elements of one difference only come first in the order and meet nothing: they need no row
+    common = each.join(often, ["ref", "e"]).groupBy("ref", "id").agg(F.array_sort(F.collect_list(F.struct("often", "e"))).alias("l"))
+    slim = own.select("ref", "id", "n", "c", "component", "m", F.size("e").alias("d")).join(common, ["ref", "id"])
+    slim = slim.withColumn("alone", F.expr("d - size(l)")).withColumn("need", F.expr(f"greatest(1, ceil((d - {k}D * (n + m)) / 2 - 1e-9))"))
+    slim = slim.withColumn("keep", F.expr("d - need + 1 - alone")).where("keep > 0")
+    keyed = slim.select("ref", "id", "n", "c", "component", "d", "alone", F.posexplode(F.expr("slice(l, 1, cast(keep AS int))")).alias("at", "x"))
+    keyed = materialise(keyed.select("ref", "id", "n", "c", "component", "d", F.expr("d - alone - at").alias("left"), "x.e"), "prefixes")
+    met = keyed.alias("x").join(
+        keyed.alias("y"),
+        (F.col("x.ref") == F.col("y.ref"))
+        & (F.col("x.e") == F.col("y.e"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.component") != F.col("y.component"))
+        & _fits(percent)
+        & F.expr(f"2 * least(x.left, y.left) >= x.d + y.d - {k}D * (x.n + y.n) - 1e-9"),
+    )
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def linked(bands: DataFrame, sets: DataFrame, percent: int, screen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components ``node, component`` of all links between items that share a band.
 
     ``bands`` has ``band, id``, ``sets`` the elements ``s`` of each ``id`` there.
     ``screen`` may drop pairs that have no hope before their sets are read.
 
-    An item leaves that can be linked with nothing, and two items only meet if their
-    sizes allow a link (``_window``). First all items of a band are held against the
-    one with the largest share of elements in common with others; links merge them
-    into components. Then the items outside their band's largest component are held
-    against all items of other components there. While these would be many pairs,
-    turns come first in which each has twice as many pivots, as long as that makes
-    the pairs fewer. So no pair is left out that could join two components, a band's
-    largest component is never paired with itself, and no band is gathered in one place.
+    An item leaves that can be linked with nothing. All items of a band are first held
+    against the one that has the largest share of elements in common with others; links
+    merge them into components. In bands that still have several, the best item of the
+    largest component is the reference, and items of different components meet by how
+    they differ from it (``_apart``). So no pair that could join two components is left
+    out, copies of one text with changes of their own do not meet each other, and no
+    band is gathered in one place.
     """
     rank = ranked(sets, percent)
     placed = materialise(bands.join(rank, "id").select("band", "id", "n", "c"), "placed")
-    step = lambda n: F.floor(F.log(n) / math.log(SCALE)).cast("int")
-    first = F.struct((1 - F.col("c") / F.col("n")).alias("own"), "id", "n", "c")
-    tested: DataFrame | None = None
-    parts: DataFrame | None = None
-    pivots, before = 1, math.inf
-
-    def hold(pairs: DataFrame) -> None:
-        nonlocal tested, parts
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        likely = screen(pairs) if screen else pairs
-        links = materialise(confirmed(likely, sets, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        parts = _merged(parts, links)
-        discard(links)
-
-    def fits(x: str, y: str) -> Column:
-        low, high = _window(percent, F.col(f"{x}.n"), F.col(f"{x}.c"))
-        return F.col(f"{y}.n").between(low, high)
-
-    while True:
-        slot = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
-        chosen = placed.groupBy("band", slot.alias("slot")).agg(F.min(first).alias("p")).select("band", "p.id", "p.n", "p.c")
-        chosen = materialise(chosen, "pivots")
-        met = placed.alias("x").join(chosen.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.id") != F.col("y.id")) & fits("x", "y") & fits("y", "x"))
-        hold(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-
-        # a pivot was held against all others of its band
-        rest = placed.join(chosen.select("band", "id"), ["band", "id"], "left_anti").join(parts.toDF("id", "of"), "id", "left")
-        rest = rest.select("band", "id", "n", "c", F.coalesce("of", "id").alias("component"))
-        sizes = rest.groupBy("band", "component").agg(F.count("*").alias("k"))
-        mixed = sizes.groupBy("band").agg(F.max(F.struct("k", "component")).alias("most"), F.sum("k").alias("all"), F.count("*").alias("kinds")).where("kinds > 1")
-        mixed = materialise(mixed.select("band", F.col("most.component").alias("main"), "all", (F.col("all") - F.col("most.k")).alias("others")), "mixed")
-        rest = materialise(rest.join(mixed.select("band", "main"), "band"), "mixed_items")
-        load, items = mixed.agg(F.coalesce(F.sum(F.col("all") * F.col("others")), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first()
-        if not items:
-            return parts
-        if load <= 16 * items or load > before / 2:
-            break
-        placed, pivots, before = rest.select("band", "id", "n", "c"), 2 * pivots, load
-
-    low, high = _window(percent, F.col("n"), F.col("c"))
-    lone = rest.where("component <> main").withColumn("low", low).withColumn("high", high).where("low <= high")
-    lone = lone.withColumn("step", F.explode(F.sequence(step(F.col("low")), step(F.col("high")))))
-    keyed = rest.withColumn("step", step(F.col("n")))
-    one_way = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    met = lone.alias("x").join(
-        keyed.alias("y"),
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.step") == F.col("y.step"))
-        & (F.col("x.component") != F.col("y.component"))
-        & F.col("y.n").between(F.col("x.low"), F.col("x.high"))
-        & fits("y", "x")
-        & one_way,
-    )
-    hold(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-    return parts
+    best = F.min(F.struct((1 - F.col("c") / F.col("n")).alias("own"), "id", "n", "c")).alias("p")
+
+    def found(pairs: DataFrame) -> DataFrame:
+        return materialise(confirmed(screen(pairs) if screen else pairs, sets, percent), "links")
+
+    def against(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        met = rows.alias("x").join(chosen.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.id") != F.col("y.id")) & _fits(percent))
+        return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+    chosen = materialise(placed.groupBy("band").agg(best).select("band", "p.id", "p.n", "p.c"), "pivots")
+    tested = materialise(against(placed, chosen).distinct(), "pairs")
+    links = found(tested)
+    parts = _merged(None, links)
+    discard(links)
+
+    rest = placed.join(parts.toDF("id", "of"), "id", "left").select("band", "id", "n", "c", F.coalesce("of", "id").alias("component"))
+    sizes = rest.groupBy("band", "component").agg(F.count("*").alias("k"), best)
+    main = F.max(F.struct("k", F.struct((-F.col("p.own")).alias("own"), F.col("p.id").alias("id"), F.col("p.n").alias("n"), F.col("p.c").alias("c")).alias("p"), "component")).alias("m")
+    mixed = sizes.groupBy("band").agg(main, F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = materialise(mixed.select("band", "m.p.id", "m.p.n", "m.p.c", "m.component"), "mixed")
+    if mixed.isEmpty():
+        return parts
+    others = rest.join(mixed.select("band", F.col("id").alias("ref"), F.col("component").alias("main")), "band").where("id <> ref")
+    others = materialise(others, "others")
+    apart = _apart(others.select("ref", "id", "n", "c", "component").distinct(), sets, percent)
+    pairs = apart.unionByName(against(others.where("component <> main"), mixed)).distinct()
+    pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    return _merged(parts, found(pairs))
