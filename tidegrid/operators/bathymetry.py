@@ -12,15 +12,18 @@ def window(bathy: DataFrame, lon0: float, lat0: float, dx: float, dy: float, nx:
     """Base points within two cells of ``box`` (lon_start, lon_end, lat_start, lat_end).
 
     A box outside the base raster is an error. Indices count from 0; the filter is on
-    stored columns and reaches the scan.
+    stored columns and reaches the scan. A box whose west lies beyond its east crosses
+    the ends of a raster that goes round: both ends are read (S1c).
     """
     west, east, south, north = box
-    if west < lon0 or south < lat0 or east > lon0 + dx * (nx - 1) or north > lat0 + dy * (ny - 1):
+    if min(west, east) < lon0 or south < lat0 or max(west, east) > lon0 + dx * (nx - 1) or north > lat0 + dy * (ny - 1):
         raise ValueError("the target reaches beyond the base raster")
     low = lambda a, base, d, c: max(0, int((a - 2 * c - base) // d))
     high = lambda a, base, d, c, n: min(n - 1, -int(-(a + 2 * c - base) // d))
+    first, last = low(west, lon0, dx, cell[0]), high(east, lon0, dx, cell[0], nx)
+    across = F.col("ilon").between(first, last) if west <= east else (F.col("ilon") >= first) | (F.col("ilon") <= last)
     return bathy.where(
-        F.col("ilon").between(low(west, lon0, dx, cell[0]), high(east, lon0, dx, cell[0], nx))
+        across
         & F.col("ilat").between(low(south, lat0, dy, cell[1]), high(north, lat0, dy, cell[1], ny))
     )
 
@@ -65,9 +68,12 @@ def cell_average(bathy: DataFrame, cells: DataFrame, cut_off: float, limit: floa
     return cells.select("k", "j").join(found, ["k", "j"], "left").select("k", "j", n("n"), n("n_wet"), depth.alias("depth"))
 
 
-def bilinear(bathy: DataFrame, grid: DataFrame, lon0: float, lat0: float, dx: float, dy: float, compat: bool = False) -> DataFrame:
+def bilinear(bathy: DataFrame, grid: DataFrame, lon0: float, lat0: float, dx: float, dy: float, compat: bool = False, wrap: int | None = None) -> DataFrame:
     """Depth of each node from its four base points; null beyond the raster.
 
+    ``wrap`` is the number of columns of a raster that closes in longitude: the last
+    one and the first are then neighbours, and a node may lie on any turn.
+
     With ``compat`` a node nearer to its left (lower) base point is extrapolated
     from the pair before it.
     """
@@ -76,7 +82,8 @@ def bilinear(bathy: DataFrame, grid: DataFrame, lon0: float, lat0: float, dx: fl
     u, v = part("lon", lon0, dx), part("lat", lat0, dy)
     at = grid.select("k", "j", index(u).alias("a"), index(v).alias("b"), u.alias("u"), v.alias("v"))
     at = at.withColumn("fx", F.col("u") - F.col("a")).withColumn("fy", F.col("v") - F.col("b"))
-    four = [F.struct((F.col("a") + i).alias("ilon"), (F.col("b") + n).alias("ilat"), ((F.col("fx") if i else 1 - F.col("fx")) * (F.col("fy") if n else 1 - F.col("fy"))).alias("w")) for i in (0, 1) for n in (0, 1)]
+    column = lambda i: F.pmod(F.col("a") + i, F.lit(wrap)) if wrap else F.col("a") + i
+    four = [F.struct(column(i).alias("ilon"), (F.col("b") + n).alias("ilat"), ((F.col("fx") if i else 1 - F.col("fx")) * (F.col("fy") if n else 1 - F.col("fy"))).alias("w")) for i in (0, 1) for n in (0, 1)]
     needed = at.select("k", "j", F.explode(F.array(*four)).alias("p")).where("p.w <> 0")
     needed = needed.select("k", "j", F.col("p.ilon").alias("ilon"), F.col("p.ilat").alias("ilat"), F.col("p.w").alias("w"))
     met = needed.join(bathy.select("ilon", "ilat", "z"), ["ilon", "ilat"], "left").groupBy("k", "j")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import inside, ring_box, with_tile, with_tiles
 from tidegrid.operators.components import connected_components
+from tidegrid.operators.ordering import numbered
+from tidegrid.plans.shared import materialise
 
 
 def initial_mask(depth: DataFrame, dry: float) -> DataFrame:
@@ -14,12 +16,21 @@ def initial_mask(depth: DataFrame, dry: float) -> DataFrame:
     return depth.withColumn("mask", F.when(F.col("depth") == dry, 0).otherwise(1))
 
 
+def _sample_points(ring: Column, n: int) -> Column:
+    """``pt, x, y`` of ``n`` x ``n`` points over the box of a ring, those within it."""
+    west, east, south, north = ("b.west", "b.east", "b.south", "b.north")
+    at = lambda low, high, i: F.col(low) + (F.col(high) - F.col(low)) * i / (n - 1)
+    all_ = F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: F.struct(i.alias("pt"), at(west, east, i % n).alias("x"), at(south, north, F.floor(i / n)).alias("y")))
+    return F.filter(all_, lambda p: inside(ring, p["x"], p["y"]))
+
+
+def _sampled(cells: DataFrame, n: int) -> DataFrame:
+    return cells.withColumn("b", F.struct(*ring_box(F.col("ring")))).withColumn("points", _sample_points(F.col("ring"), n)).drop("b", "ring")
+
+
 def samples(cells: DataFrame, n: int = 6) -> DataFrame:
     """M4: ``n`` x ``n`` points over the box of each cell, those within its ring: ``pt, x, y``."""
-    boxed = cells.select("k", "j", "ring", *ring_box(F.col("ring")), F.explode(F.sequence(F.lit(0), F.lit(n * n - 1))).alias("pt"))
-    at = lambda low, high, i: F.col(low) + (F.col(high) - F.col(low)) * i / (n - 1)
-    x, y = at("west", "east", F.col("pt") % n), at("south", "north", F.floor(F.col("pt") / n))
-    return boxed.select("k", "j", "ring", "pt", x.alias("x"), y.alias("y")).where(inside(F.col("ring"), F.col("x"), F.col("y"))).drop("ring")
+    return _sampled(cells.select("k", "j", "ring"), n).select("k", "j", F.explode("points").alias("p")).select("k", "j", "p.pt", "p.x", "p.y")
 
 
 def clean_mask(cells: DataFrame, mask: DataFrame, polygons: DataFrame, limit: float, offset: float, tile: float, n: int = 6) -> DataFrame:
@@ -28,20 +39,34 @@ def clean_mask(cells: DataFrame, mask: DataFrame, polygons: DataFrame, limit: fl
     Only polygons whose box, widened by ``offset``, holds the cell's node count. A
     sample is covered by any of them, so the order of polygons has no effect. The
     share is rounded to tenths. ``cells`` has ``lon, lat, ring``; ``polygons`` has
-    ``poly_id, ring``. Candidates are found by tiles of boxes.
+    ``poly_id, ring`` (ids may repeat, as the pieces of a polygon do). ``mask`` is
+    read twice.
+
+    Candidates are found by tiles of boxes, which rings do not go to. Samples meet the
+    edges of their candidates in bands of latitude, and whether one lies inside follows
+    from how many edges it has on its right: a long ring is as many rows as it has edges.
     """
-    wet = cells.join(mask.where("mask = 1").select("k", "j"), ["k", "j"])
-    points = samples(wet, n)
-    boxed = polygons.select("poly_id", F.col("ring").alias("shore"), *ring_box(F.col("ring")))
+    wet = _sampled(cells.join(mask.where("mask = 1").select("k", "j"), ["k", "j"]), n)
+    rings = materialise(polygons.select(F.monotonically_increasing_id().alias("piece"), "ring"), "rings")
+    boxed = rings.select("piece", *ring_box(F.col("ring")))
     wide = with_tiles(boxed, F.col("west") - offset, F.col("east") + offset, F.col("south") - offset, F.col("north") + offset, tile)
-    at = with_tile(wet.select("k", "j", "lon", "lat"), F.col("lon"), F.col("lat"), tile)
-    near = at.join(wide, ["tx", "ty"]).where(
+    near = with_tile(wet, F.col("lon"), F.col("lat"), tile).join(wide, ["tx", "ty"]).where(
         F.col("lon").between(F.col("west") - offset, F.col("east") + offset) & F.col("lat").between(F.col("south") - offset, F.col("north") + offset)
     )
-    covered = points.join(near.select("k", "j", "shore", "west", "east", "south", "north"), ["k", "j"])
-    covered = covered.where(F.col("x").between(F.col("west"), F.col("east")) & F.col("y").between(F.col("south"), F.col("north")))
-    covered = covered.where(inside(F.col("shore"), F.col("x"), F.col("y"))).select("k", "j", "pt").distinct().groupBy("k", "j").agg(F.count("*").alias("n"))
-    share = points.groupBy("k", "j").agg(F.count("*").alias("all")).join(covered, ["k", "j"])
+    held = F.expr("filter(points, p -> p.x BETWEEN west AND east AND p.y BETWEEN south AND north)")
+    asked = near.select("k", "j", F.size("points").alias("all"), "piece", F.explode(held).alias("p")).select("k", "j", "all", "piece", "p.pt", "p.x", "p.y")
+
+    size = tile / 8
+    ends = F.transform(F.sequence(F.lit(1), F.size("ring") - 1), lambda i: F.struct(F.col("ring")[i - 1].alias("a"), F.col("ring")[i].alias("b")))
+    edges = rings.select("piece", F.explode(ends).alias("e")).select("piece", *[F.col(f"e.{c}.{v}").alias(f"{c}{v}") for c in "ab" for v in "xy"])
+    band = lambda c: F.floor(c / size).cast("long")
+    edges = edges.withColumn("band", F.explode(F.sequence(band(F.least("ay", "by")), band(F.greatest("ay", "by")))))
+    met = asked.withColumn("band", band(F.col("y"))).join(edges, ["piece", "band"])
+    cross = "(bx - ax) * (y - ay) - (x - ax) * (by - ay)"
+    on = F.expr(f"{cross} = 0 AND x BETWEEN least(ax, bx) AND greatest(ax, bx) AND y BETWEEN least(ay, by) AND greatest(ay, by)")
+    crossed = F.expr(f"(ay > y) <> (by > y) AND ({cross} > 0) = (by > ay)")
+    within = met.groupBy("k", "j", "all", "piece", "pt").agg(F.count_if(crossed).alias("times"), F.max(on).alias("on")).where("on OR times % 2 = 1")
+    share = within.select("k", "j", "all", "pt").distinct().groupBy("k", "j", "all").agg(F.count("*").alias("n"))
     dried = share.where(F.round(F.col("n") / F.col("all") * 10) / 10 >= limit).select("k", "j", F.lit(True).alias("dried"))
     return mask.join(dried, ["k", "j"], "left").select("k", "j", F.when(F.col("dried"), 0).otherwise(F.col("mask")).alias("mask"))
 
@@ -64,8 +89,7 @@ def water_bodies(mask: DataFrame, nx: int, ny: int, wrap: bool = False) -> DataF
     edges = next_.join(wet.withColumnRenamed("lin", "b"), ["k", "j"]).select("a", "b")
     edges = edges.unionByName(wet.select(F.col("lin").alias("a"), F.col("lin").alias("b")))
     parts = connected_components(edges)
-    # bodies are few next to cells; they alone are numbered in one order
-    names = parts.select("component").distinct().select("component", F.dense_rank().over(Window.orderBy("component")).alias("body_id"))
+    names = numbered(parts.select("component").distinct(), "component").select("component", (F.col("n") + 1).cast("int").alias("body_id"))
     found = parts.join(names, "component").select(F.col("node").alias("lin"), "body_id")
     return mask.select("k", "j", "mask", _lin(ny)).join(found, "lin", "left").select("k", "j", F.coalesce("body_id", F.lit(-1)).alias("body_id"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import inside
+from tidegrid.plans.shared import materialise
 
 
 def zone(mask: DataFrame, ring: Column) -> DataFrame:
@@ -76,6 +77,7 @@ def reconcile(first: DataFrame, second: DataFrame, spacing: tuple[float, float])
     neither is 2. Once a node of the other grid has been in conflict, later nodes in
     column-major order compare with 0.
     """
+    first, second = materialise(first, "first"), materialise(second, "second")
     swap = second.count() < first.count()
     driver, base = (second, first) if swap else (first, second)
     axes = {}

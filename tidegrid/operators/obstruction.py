@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.geometry import interval_union, total_length
+from tidegrid.functions.geometry import total_length
 from tidegrid.operators.bathymetry import points_in_cells
+from tidegrid.plans.shared import materialise
 
 _SEGS = "array<struct<lo:double,hi:double>>"
 
@@ -58,8 +59,17 @@ def merge_neighbours(found: DataFrame, axis: str) -> DataFrame:
 
 
 def net_segments(merged: DataFrame) -> DataFrame:
-    """Disjoint spans of each cell: ``k, j, segs``."""
-    return merged.groupBy("k", "j").agg(interval_union(F.collect_list(F.struct("lo", "hi"))).alias("segs"))
+    """Disjoint spans of each cell: ``k, j, segs``.
+
+    A span that begins beyond all before it starts an island; only islands are
+    gathered, of which a cell has few however many polygons touch it.
+    """
+    order = Window.partitionBy("k", "j").orderBy("lo", "hi")
+    reached = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = merged.withColumn("begins", F.coalesce((F.col("lo") > reached).cast("int"), F.lit(1)))
+    islands = begun.withColumn("island", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = islands.groupBy("k", "j", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return islands.groupBy("k", "j").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("segs"))
 
 
 def _shadow(own: Column, other: Column) -> Column:
@@ -91,8 +101,12 @@ def obstruction(cells: DataFrame, mask: DataFrame, segments: DataFrame, axis: st
 
 
 def sub_grid(polygons: DataFrame, cells: DataFrame, mask: DataFrame, tile: float, before: int = 0, after: int = 0) -> DataFrame:
-    """``k, j, sx, sy`` of every cell."""
-    found = extents(polygons, cells, mask, tile)
+    """``k, j, sx, sy`` of every cell.
+
+    Both axes start from the same spans, which are stored; ``cells`` and ``mask`` are
+    read several times.
+    """
+    found = materialise(extents(polygons, cells, mask, tile), "extents")
     both = [
         obstruction(cells, mask, net_segments(merge_neighbours(found, axis)), axis, before, after).withColumnRenamed("value", f"s{axis}") for axis in "xy"
     ]

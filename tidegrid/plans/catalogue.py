@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +11,8 @@ from tidegrid.functions.geometry import total_length
 from tidegrid.operators import bathymetry, grids, masks, nesting, obstruction, polygons
 from tidegrid.plans import fixtures as fx
 from tidegrid.plans.fixtures import with_
-from tidegrid.plans.shared import materialise, shared_dir
-from tidegrid.sources import text
+from tidegrid.plans.shared import materialise, new_folder
+from tidegrid.sources import rasters, text
 
 FLAGSHIP = "pipeline_regional"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,32 +118,39 @@ def cell_corners_rect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.grid_cells(spark, sf_dir).select("k", "j", *[F.col(f"c{i}.{a}").alias(f"c{i}{a}") for i in range(1, 5) for a in "xy"])
 
 
-# in SQL every node sees its neighbours through a window over (k, j) as lists
+# in SQL every node sees its diagonal neighbours through windows along both diagonals
 _CURV = (
-    f"WITH {_ANNULUS}, "
-    + "n AS (SELECT a.k, a.j, a.lon AS x, a.lat AS y, "
-    + ", ".join(f"(m{i}.lon + a.lon) / 2 AS x{i}, (m{i}.lat + a.lat) / 2 AS y{i}" for i in range(1, 5))
-    + " FROM ann a "
-    + " ".join(f"LEFT JOIN ann m{i} ON m{i}.k = a.k + {dk} AND m{i}.j = a.j + {dj}" for i, dk, dj in ((1, -1, 1), (2, 1, 1), (3, 1, -1), (4, -1, -1)))
-    + ") SELECT k, j, "
+    f"WITH {_ANNULUS}, n AS (SELECT k, j, lon AS x, lat AS y, "
+    + ", ".join(f"({f}(lon) OVER {w} + lon) / 2 AS x{i}, ({f}(lat) OVER {w} + lat) / 2 AS y{i}" for i, f, w in ((1, "lag", "p"), (2, "lead", "m"), (3, "lead", "p"), (4, "lag", "m")))
+    + " FROM ann WINDOW p AS (PARTITION BY k + j ORDER BY k), m AS (PARTITION BY k - j ORDER BY k)), c AS (SELECT k, j, "
     + ", ".join(
-        m(f"coalesce({a}{i}, 2 * {a} - {a}{(i + 1) % 4 + 1}, " + (f"{a}{s}, 2 * {a} - {a}{o})" if a == "x" else f"{a}{o}, 2 * {a} - {a}{s})"), f"c{i}{a}")
+        f"coalesce({a}{i}, 2 * {a} - {a}{(i + 1) % 4 + 1}, " + (f"{a}{s}, 2 * {a} - {a}{o})" if a == "x" else f"{a}{o}, 2 * {a} - {a}{s})") + f" AS {a}{i}"
         # of a corner node: s has the same x, o the same y
         for i, s, o in ((1, 2, 4), (2, 1, 3), (3, 4, 2), (4, 3, 1))
         for a in "xy"
     )
-    + " FROM n"
+    + " FROM n)"
 )
 
 
-@query(_CURV)
+@query(_CURV + " SELECT k, j, " + ", ".join(m(f"{a}{i}", f"c{i}{a}") for i in range(1, 5) for a in "xy") + " FROM c")
 def cell_corners_curv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.cells(_annulus(spark)).select("k", "j", *[micro(f"c{i}.{a}").alias(f"c{i}{a}") for i in range(1, 5) for a in "xy"])
 
 
-@query(_CURV.replace(" FROM n", "") and _CURV.split(" SELECT k, j, floor")[0] + f" SELECT k, j, {m('sqrt(pow(x1 - x4, 2) + pow(y1 - y4, 2))', 'width')}, {m('sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2))', 'height')}, {m('atan2(y1 - y4, x1 - x4)', 'angle')} FROM n WHERE k BETWEEN 2 AND 120 AND j BETWEEN 2 AND 120")
+@query(_CURV + f" SELECT k, j, {m('sqrt(pow(x1 - x4, 2) + pow(y1 - y4, 2))', 'width')}, {m('sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2))', 'height')}, {m('atan2(y1 - y4, x1 - x4)', 'angle')} FROM c")
 def cell_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _micros(grids.cells(_annulus(spark)).where("k between 2 and 120 and j between 2 and 120"), "width", "height", "angle")
+    return _micros(grids.cells(_annulus(spark)), "width", "height", "angle")
+
+
+# the grid goes over the meridian where longitudes begin again
+@query(
+    "WITH g AS (SELECT k::INT AS k, j::INT AS j, (350 + 2.0::DOUBLE * (j - 1)) % 360 AS lon, 40 + 1.0::DOUBLE * (k - 1) AS lat FROM (SELECT unnest(range(1, 8)) AS k), (SELECT unnest(range(1, 13)) AS j)) "
+    "SELECT k, j, lon + 1 AS c1x, lat - 0.5 AS c1y, lon + 1 AS c2x, lat + 0.5 AS c2y, lon - 1 AS c3x, lat + 0.5 AS c3y, lon - 1 AS c4x, lat - 0.5 AS c4y FROM g"
+)
+def cell_corners_meridian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = grids.rectilinear(spark, 350.0, 2.0, 12, 40.0, 1.0, 7).withColumn("lon", F.pmod("lon", F.lit(360.0)))
+    return grids.cells(g).select("k", "j", *[F.col(f"c{i}.{a}").alias(f"c{i}{a}") for i in range(1, 5) for a in "xy"])
 
 
 # ---- base raster ----
@@ -216,6 +222,55 @@ def bathy_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", "j", micro("depth").alias("depth"), "mode")
 
 
+@query(_bilinear_sql("floor({} / 0.0625)::INT").replace("AS depth FROM p", "AS depth, 'interpolate' AS mode FROM p"))
+def bathy_auto_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1's other branch: cells finer than the base raster."""
+    out = bathymetry.resample(fx.bathy(spark, sf_dir), grids.cells(_fine(spark, sf_dir)), 0.0, 0.0, fx.STEP, fx.STEP, 0.0, 0.7, DRY, TILE)
+    return out.select("k", "j", micro("depth").alias("depth"), "mode")
+
+
+_TURN = "nodes AS (SELECT k::INT AS k, j::INT AS j, 1.2::DOUBLE + 5.76::DOUBLE * (j - 1) AS lon, 0.140625 + 0.25 * (k - 1) AS lat FROM (SELECT unnest(range(1, n // 4)) AS k FROM size), (SELECT unnest(range(1, 63)) AS j)), located AS (SELECT k, j, floor(lon / 3.6)::INT AS a, floor(lat / 0.0625)::INT AS b, lon / 3.6 AS u, lat / 0.0625 AS v FROM nodes)"
+_TURNED = ", ".join(f"z{a}{b}.z AS z{a}{b}" for a in (0, 1) for b in (0, 1))
+_TURNS = " ".join(f"JOIN bathy z{a}{b} ON z{a}{b}.ilon = (l.a + {a}) % 100 AND z{a}{b}.ilat = l.b + {b}" for a in (0, 1) for b in (0, 1))
+
+
+@query(
+    with_("bathy", "size", extra=f"{_TURN}, p AS (SELECT k, j, u - a AS fx, v - b AS fy, {_TURNED} FROM located l {_TURNS})")
+    + f"SELECT k, j, {m('(1 - fy) * (z00 * (1 - fx) + z10 * fx) + fy * (z01 * (1 - fx) + z11 * fx)', 'depth')} FROM p"
+)
+def bathy_bilinear_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster goes round, so nodes after its last column lie between that and the first."""
+    nodes = grids.rectilinear(spark, 1.2, 5.76, 62, 0.140625, 0.25, fx.rows(spark, sf_dir) // 4 - 1)
+    return _micros(bathymetry.bilinear(fx.bathy(spark, sf_dir), nodes, 0.0, 0.0, 3.6, fx.STEP, wrap=100), "depth")
+
+
+@query(with_("bathy") + "SELECT ilon, ilat, z FROM bathy WHERE (ilon >= 92 OR ilon <= 11) AND ilat BETWEEN 0 AND 16")
+def bathy_window_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window over both ends of a raster that goes round."""
+    n = fx.rows(spark, sf_dir)
+    return bathymetry.window(fx.bathy(spark, sf_dir), 0.0, 0.0, 3.6, fx.STEP, 100, n, (346.0, 25.0, 0.2, 0.5), (7.2, 0.25)).select("ilon", "ilat", "z")
+
+
+@query(with_("bathy") + "SELECT s.source, ilon, ilat, lon, lat, z FROM bathy, (VALUES ('etopo2'), ('own')) s(source)")
+def bathy_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1e: a raster known by name, and one whose variables the caller names."""
+    folder = new_folder(spark, "rasters")
+    base = fx.bathy(spark, sf_dir)
+    base.withColumnsRenamed({"lon": "x", "lat": "y"}).write.parquet(f"{folder}/etopo2")
+    base.withColumnsRenamed({"lon": "east", "lat": "north", "z": "depth"}).write.parquet(f"{folder}/own")
+    own = [rasters.read_raster(spark, folder, name, ("east", "north", "depth")).withColumn("source", F.lit(name)) for name in ("etopo2", "own")]
+    return own[0].unionByName(own[1])
+
+
+@query(with_("poly") + "SELECT poly_id, level FROM poly WHERE poly_id % 3 = 0")
+def shoreline_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One resolution of a shoreline, here every third polygon."""
+    path, shores = new_folder(spark, "shoreline"), fx.polygons(spark, sf_dir)
+    rasters.write_shoreline(shores, "full", path)
+    rasters.write_shoreline(shores.where("poly_id % 3 = 0"), "low", path)
+    return rasters.read_shoreline(spark, path, "low").select("poly_id", "level")
+
+
 # ---- polygons ----
 
 
@@ -246,6 +301,18 @@ def poly_vertex_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polygons.vertex_flags(fx.polygons(spark, sf_dir), fx.BOX)
 
 
+_TOUCHED = "f AS (SELECT poly_id, seq, vx, vy, vx BETWEEN 1.0078125 AND 5.0078125 AND vy BETWEEN 0.26171875 AND 4.01171875 AS w FROM vertex WHERE seq < 8)"
+
+
+@query(
+    with_("vertex", extra=_TOUCHED + ", o AS (SELECT *, w AND (vx IN (1.0078125, 5.0078125) OR vy IN (0.26171875, 4.01171875)) AS e FROM f)")
+    + "SELECT o.poly_id, o.seq, o.w AS in_box, o.e AS on_box, o.e AND NOT a.w AND NOT b.w AS grazing FROM o JOIN f a ON a.poly_id = o.poly_id AND a.seq = (o.seq + 7) % 8 JOIN f b ON b.poly_id = o.poly_id AND b.seq = (o.seq + 1) % 8"
+)
+def poly_grazing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box on whose sides vertices lie, some of them alone."""
+    return polygons.vertex_flags(fx.polygons(spark, sf_dir), fx.TOUCHED)
+
+
 _CROSSED = _FLAGGED + ", e AS (SELECT a.poly_id, b.seq, a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS by_, a.w AS aw FROM f a JOIN f b ON b.poly_id = a.poly_id AND b.seq = a.seq + 1 WHERE a.w <> b.w)"
 
 
@@ -270,6 +337,28 @@ def poly_edge_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("poly_id", "seq", "way", *[micro(c).alias(c) for c in ("x", "y", "position")])
 
 
+# octagons around the meridian, whose western vertices have longitudes of almost 360; SQL counts these from below 0
+_ROUND_BOX = (357.0, 359.984375, 0.2, 4.0)
+_LONG = """f AS (SELECT poly_id, seq, vx - 3 AS vx, vy, vx - 3 BETWEEN -3 AND -0.015625 AND vy BETWEEN 0.2 AND 4 AS w FROM vertex),
+e AS (SELECT a.poly_id, b.seq, a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS by_, a.w AS aw FROM f a JOIN f b ON b.poly_id = a.poly_id AND b.seq = a.seq + 1 WHERE a.w <> b.w),
+t AS (SELECT *, ay + (-3 - ax) / nullif(bx - ax, 0) * (by_ - ay) AS yw, ay + (-0.015625 - ax) / nullif(bx - ax, 0) * (by_ - ay) AS ye,
+  ax + (0.2 - ay) / nullif(by_ - ay, 0) * (bx - ax) AS xs, ax + (4 - ay) / nullif(by_ - ay, 0) * (bx - ax) AS xn FROM e),
+p AS (SELECT poly_id, seq, CASE WHEN aw THEN 'out' ELSE 'in' END AS way,
+  CASE WHEN least(ay, by_) <= 0.2 AND greatest(ay, by_) >= 0.2 AND xs BETWEEN -3 AND -0.015625 THEN 0 WHEN least(ax, bx) <= -0.015625 AND greatest(ax, bx) >= -0.015625 AND ye BETWEEN 0.2 AND 4 THEN 1
+    WHEN least(ay, by_) <= 4 AND greatest(ay, by_) >= 4 AND xn BETWEEN -3 AND -0.015625 THEN 2 ELSE 3 END AS side, yw, ye, xs, xn FROM t)"""
+
+
+@query(
+    with_("vertex", extra=_LONG)
+    + f"SELECT poly_id, seq, way, {m('360 + CASE side WHEN 0 THEN xs WHEN 1 THEN -0.015625 WHEN 2 THEN xn ELSE -3 END', 'x')}, {m('CASE side WHEN 0 THEN 0.2 WHEN 1 THEN ye WHEN 2 THEN 4 ELSE yw END', 'y')} FROM p"
+)
+def poly_long_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that seem to go round the globe."""
+    turned = fx.polygons(spark, sf_dir).withColumn("ring", F.transform("ring", lambda p: fx.point(F.pmod(p["x"] - 3, F.lit(360.0)), p["y"])))
+    found = polygons.edge_points(polygons.crossings(turned, _ROUND_BOX), _ROUND_BOX)
+    return found.select("poly_id", "seq", "way", micro("x").alias("x"), micro("y").alias("y"))
+
+
 @query(with_("users") + "SELECT poly_id FROM users WHERE abs(2.5 - x) <= r AND abs(2.6 - x) <= r AND abs(0.4 - y) <= r AND abs(0.5 - y) <= r AND greatest(abs(2.5 - x), abs(2.6 - x)) + greatest(abs(0.4 - y), abs(0.5 - y)) <= 1.5 * r")
 def poly_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polygons.covers_box(fx.user_polygons(spark, sf_dir), (2.5, 2.6, 0.4, 0.5)).select("poly_id")
@@ -290,28 +379,61 @@ def _half_plane(src: str, dst: str, axis: str, bound: float, sign: str) -> str:
     SELECT 0 AS z, * FROM {dst}p UNION ALL SELECT 1, poly_id, seq, vx, vy FROM (SELECT DISTINCT ON (poly_id) * FROM {dst}p ORDER BY poly_id, seq)))"""
 
 
-_CLIPPED = ",\n".join(
-    [
-        "cand AS (SELECT v.poly_id, seq, vx, vy FROM vertex v JOIN poly USING (poly_id) WHERE poly_id IN (SELECT poly_id FROM vertex WHERE vx BETWEEN 1 AND 5 AND vy BETWEEN 0.2 AND 4))",
-        _half_plane("cand", "h1", "vx", 1, ">="),
-        _half_plane("h1", "h2", "vx", 5, "<="),
-        _half_plane("h2", "h3", "vy", 0.2, ">="),
-        _half_plane("h3", "h4", "vy", 4, "<="),
-        "l AS (SELECT poly_id, vx, vy, lead(vx) OVER w AS nx, lead(vy) OVER w AS ny FROM h4 WINDOW w AS (PARTITION BY poly_id ORDER BY seq))",
-    ]
-)
+def _clipped_sql(source: str, box: tuple[float, float, float, float]) -> str:
+    west, east, south, north = box
+    return ",\n".join(
+        [
+            f"cand AS (SELECT poly_id, seq, vx, vy FROM {source})",
+            _half_plane("cand", "h1", "vx", west, ">="),
+            _half_plane("h1", "h2", "vx", east, "<="),
+            _half_plane("h2", "h3", "vy", south, ">="),
+            _half_plane("h3", "h4", "vy", north, "<="),
+            "l AS (SELECT poly_id, vx, vy, lead(vx) OVER w AS nx, lead(vy) OVER w AS ny FROM h4 WINDOW w AS (PARTITION BY poly_id ORDER BY seq))",
+        ]
+    )
+
+
+_AREAS = f"SELECT poly_id, {m('sum(vx * ny - nx * vy) / 2', 'area')} FROM l WHERE nx IS NOT NULL GROUP BY poly_id HAVING abs(sum(vx * ny - nx * vy)) > 1e-9"
+
+
+def _areas(pieces: DataFrame) -> DataFrame:
+    return pieces.groupBy("poly_id").agg(micro(F.sum(polygons.ring_area(F.col("ring")))).alias("area"))
 
 
-@query(with_("vertex", extra=_CLIPPED) + f"SELECT poly_id, {m('sum(vx * ny - nx * vy) / 2', 'area')} FROM l WHERE nx IS NOT NULL GROUP BY poly_id")
+@query(with_("vertex", extra=_clipped_sql("vertex", fx.BOX)) + _AREAS)
 def poly_clip_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clipped = polygons.clip(fx.polygons(spark, sf_dir), fx.BOX)
-    return clipped.groupBy("poly_id").agg(micro(F.sum(polygons.ring_area(F.col("ring")))).alias("area"))
+    return _areas(polygons.clip(fx.polygons(spark, sf_dir), fx.BOX))
+
+
+@query(with_("vertex", extra=_clipped_sql("vertex WHERE poly_id IN (SELECT poly_id FROM vertex WHERE vx BETWEEN 1 AND 5 AND vy BETWEEN 0.2 AND 4)", fx.BOX)) + _AREAS)
+def poly_clip_area_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only polygons with a vertex in the box; octagons are convex, so none of these loses a part."""
+    return _areas(polygons.clip(fx.polygons(spark, sf_dir), fx.BOX, compat=True))
+
 
+@query(with_("star", extra=_clipped_sql("star", fx.BOX)) + _AREAS)
+def poly_clip_concave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stars: parts without a vertex in the box, and several parts of one polygon."""
+    return _areas(polygons.clip(fx.shores(spark, sf_dir), fx.BOX))
 
-@query(None)
+
+@query(with_("star", extra=_clipped_sql("star", fx.BOX)) + _AREAS)
+def poly_two_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of two halves of a domain, put together."""
+    west, east, south, north = fx.BOX
+    halves = [polygons.clip(fx.shores(spark, sf_dir), box) for box in ((west, 3.0, south, north), (3.0, east, south, north))]
+    return _areas(halves[0].unionByName(halves[1]))
+
+
+@query(
+    with_("vertex", extra=_clipped_sql("vertex", fx.BOX))
+    + f"SELECT DISTINCT l.poly_id, level, 0::INT AS part, {_WITHIN} AS whole, {m('vx', 'x')}, {m('vy', 'y')} FROM l JOIN poly ON poly.poly_id = l.poly_id WHERE l.poly_id IN (SELECT poly_id FROM l WHERE nx IS NOT NULL GROUP BY poly_id HAVING abs(sum(vx * ny - nx * vy)) > 1e-9)"
+)
 def poly_clip_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vertices of clipped rings; no side of these is long enough for more points."""
     clipped = polygons.densify(polygons.clip(fx.polygons(spark, sf_dir), fx.BOX))
-    return clipped.select("poly_id", "level", "part", "whole", F.posexplode("ring").alias("seq", "p")).select("poly_id", "level", "part", "whole", "seq", "p.x", "p.y")
+    points = clipped.select("poly_id", "level", "part", "whole", F.explode("ring").alias("p"))
+    return points.select("poly_id", "level", "part", "whole", micro("p.x").alias("x"), micro("p.y").alias("y")).distinct()
 
 
 _DENSE = """e AS (SELECT a.poly_id, a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS by_, sqrt(pow(b.vx - a.vx, 2) + pow(b.vy - a.vy, 2)) AS d FROM uv a JOIN uv b ON b.poly_id = a.poly_id AND b.seq = a.seq + 1),
@@ -333,11 +455,10 @@ def poly_split_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polygons.split_tiles(known, 0.75).select("poly_id", *ends)
 
 
-@query(with_("users") + f"SELECT poly_id, {m('r * r * 3.5', 'area')} FROM users")
+@query(with_("shores") + f"SELECT poly_id, {m('r * r', 'area')} FROM shores")
 def poly_split_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of tiles in which a polygon has a vertex; whole areas need sides within a tile's reach."""
-    pieces = polygons.split(fx.user_polygons(spark, sf_dir), 64.0)
-    return pieces.groupBy("poly_id").agg(micro(F.sum(polygons.ring_area(F.col("ring")))).alias("area"))
+    """Stars cut at tiles, in many of which they have no vertex: the pieces make up the whole."""
+    return _areas(polygons.split(fx.shores(spark, sf_dir), 0.75))
 
 
 @query(with_("users") + "SELECT poly_id, s_name AS label FROM users WHERE poly_id % 2 = 1")
@@ -373,29 +494,32 @@ def _clean_sql(src: str, dst: str, shapes: str) -> str:
 
 
 _LAND = "land AS (SELECT * FROM poly WHERE level = 1)"
-_USED = "used AS (SELECT * FROM users WHERE poly_id % 10 = 1)"
+_USED = "used AS (SELECT * FROM users WHERE poly_id % 2 = 1)"
 _CLEAN = f"{_SAMPLES}, {_LAND}, {_clean_sql('mask', 'clean', 'land')}"
 _CLEAN2 = f"{_CLEAN}, {_USED}, {_clean_sql('clean', 'clean2', 'used')}"
+#: Side of the pieces that polygons are cut into before masks are cleaned.
+PIECE = 0.25
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    land = polygons.split(polygons.of_level(fx.polygons(spark, sf_dir)), 10.0)
-    return masks.clean_mask(fx.grid_cells(spark, sf_dir), _mask(spark, sf_dir), land, 0.3, 0.25, TILE)
+def _cleaned(spark: SparkSession, sf_dir: str, cells: DataFrame) -> DataFrame:
+    land = polygons.split(polygons.of_level(fx.polygons(spark, sf_dir)), PIECE)
+    return masks.clean_mask(cells, materialise(_mask(spark, sf_dir), "mask"), land, 0.3, 0.25, TILE)
 
 
-def _cleaned_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = fx.user_polygons(spark, sf_dir).where("poly_id % 10 = 1")
-    return masks.clean_mask(fx.grid_cells(spark, sf_dir), _cleaned(spark, sf_dir), used, 0.3, 0.25, TILE)
+def _enabled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: the user polygons that are switched on."""
+    return polygons.enabled(fx.user_polygons(spark, sf_dir), fx.flags(spark, sf_dir)).select("poly_id", "ring")
 
 
 @query(with_("mask", "poly", extra=_CLEAN) + "SELECT k, j, mask FROM clean")
 def mask_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cleaned(spark, sf_dir)
+    return _cleaned(spark, sf_dir, materialise(fx.grid_cells(spark, sf_dir), "cells"))
 
 
 @query(with_("mask", "poly", "users", extra=_CLEAN2) + "SELECT k, j, mask FROM clean2")
 def mask_clean_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cleaned_twice(spark, sf_dir)
+    cells = materialise(fx.grid_cells(spark, sf_dir), "cells")
+    return masks.clean_mask(cells, materialise(_cleaned(spark, sf_dir, cells), "mask"), _enabled(spark, sf_dir), 0.3, 0.25, TILE)
 
 
 # ---- water bodies of the base raster ----
@@ -511,7 +635,8 @@ def _extents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _obstr(spark: SparkSession, sf_dir: str, before: int, after: int) -> DataFrame:
-    out = obstruction.sub_grid(fx.polygons(spark, sf_dir), fx.grid_cells(spark, sf_dir), _mask(spark, sf_dir), TILE, before, after)
+    cells, mask = materialise(fx.grid_cells(spark, sf_dir), "cells"), materialise(_mask(spark, sf_dir), "mask")
+    out = obstruction.sub_grid(fx.polygons(spark, sf_dir), cells, mask, TILE, before, after)
     return _micros(out, "sx", "sy")
 
 
@@ -621,6 +746,7 @@ def _support_sql(src: str, dst: str) -> str:
 
 
 def _parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coarse parent grid: its nodes are every eighth of the raster's."""
     at = fx.bathy(spark, sf_dir).where("ilat >= 4 and ilon >= 4 and (ilat - 4) % 8 = 0 and (ilon - 4) % 8 = 0")
     parent = at.select(F.expr("cast((ilat - 4) div 8 + 1 as int)").alias("k"), F.expr("cast((ilon - 4) div 8 + 1 as int)").alias("j"), F.when(F.col("z") <= 0, 1).otherwise(0).alias("mask"))
     return parent.where((F.col("k") <= fx.rows(spark, sf_dir) // 8) & (F.col("j") <= 12))
@@ -638,6 +764,25 @@ def nested_parent_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _supported(spark, sf_dir).select("k", "j", "mask")
 
 
+# the grid goes round the globe here, and its parent has twelve columns from 15 degrees
+_AROUND = "around AS (SELECT k, j, 1.8::DOUBLE + 14.4::DOUBLE * (j - 1) AS lon, lat, mask FROM bound)"
+
+
+def _around_sql() -> str:
+    low, weights = "floor(rx)::INT", {0: "(1 - (rx - floor(rx)))", 1: "(rx - floor(rx))"}
+    bad = " OR ".join(
+        f"({weights[i]} * {'wy' if n else '(1 - wy)'} >= 0.05 AND NOT EXISTS (SELECT 1 FROM parent p WHERE p.k = py + {n} AND p.j = (({low} + {i}) % 12 + 12) % 12 + 1 AND p.mask IN (1, 2)))" for i in (0, 1) for n in (0, 1)
+    )
+    return _support_sql("around", "unused").split("unused AS")[0].replace("(lon - 0.25) / 0.5 AS rx", "(lon - 15) / 30 AS rx") + f"turned AS (SELECT k, j, (CASE WHEN mask = 2 AND (py IS NULL OR {bad}) THEN 3 ELSE mask END)::INT AS mask FROM unusedp)"
+
+
+@query(with_("mask", extra=f"{_ZONE}, {_boundary_sql('zone', 'bound')}, {_PARENT}, {_AROUND}, {_around_sql()}") + "SELECT k, j, mask FROM turned")
+def nested_parent_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parent that closes in longitude."""
+    around = _bounded(spark, sf_dir).withColumn("lon", F.lit(1.8) + 14.4 * (F.col("j") - 1))
+    return nesting.parent_support(around, _parent(spark, sf_dir), 15.0, 0.25, 30.0, 0.5, 12, fx.rows(spark, sf_dir) // 8, wrap=True).select("k", "j", "mask")
+
+
 _ZONE2 = "zone2 AS (SELECT g.k, g.j, lon, lat, (CASE WHEN lon BETWEEN 4 AND 6 AND lat BETWEEN 0 AND 1.5 THEN mask ELSE 3 END)::INT AS mask FROM grid g JOIN mask USING (k, j))"
 _OVER = "SELECT a.k, a.j, (CASE WHEN b.mask <> 3 THEN b.mask ELSE a.mask END)::INT AS mask FROM {} a JOIN {} b ON b.k = a.k AND b.j = a.j"
 
@@ -675,6 +820,7 @@ done AS (SELECT met.k, met.j, (CASE WHEN f IS NOT NULL AND (met.j, met.k) >= f T
 
 @query(with_("mask", extra=_MANY) + "SELECT 1::INT AS side, k, j, mask FROM done UNION ALL SELECT 2::INT, m.k, m.j, (CASE WHEN f IS NOT NULL THEN 0 ELSE mask END)::INT FROM mask m LEFT JOIN first ON bk = m.k AND bj = m.j")
 def reconcile_many_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small fine grid, a part of the raster so that it has fewer nodes than the other and drives."""
     n = fx.rows(spark, sf_dir)
     small = fx.bathy(spark, sf_dir).where(f"ilon between 2 and 21 and ilat between 2 and {n // 8 + 1}")
     small = small.select((F.col("ilat") - 1).alias("k"), (F.col("ilon") - 1).alias("j"), "lon", "lat", F.when(F.col("z") <= 0, 1).otherwise(0).alias("mask"))
@@ -700,18 +846,37 @@ def ascii_obstr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_("mask") + "SELECT k, j, mask::BIGINT AS mask FROM mask")
 def mask_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/mask-{uuid.uuid4().hex}"
+    path = new_folder(spark, "mask")
     text.write_lines(text.lines(_mask(spark, sf_dir), "mask"), path)
     return text.read_block(spark, path, 25, fx.rows(spark, sf_dir) // 4).select("k", "j", F.col("value").alias("mask"))
 
 
 @query(with_("mask", extra=_PAIR) + "SELECT s::INT AS block, k, j, (CASE s WHEN 0 THEN sx ELSE sy END)::BIGINT AS value FROM pair, (VALUES (0), (1)) t(s)")
 def obstr_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/obstr-{uuid.uuid4().hex}"
+    path = new_folder(spark, "obstr")
     text.write_lines(ascii_obstr_lines(spark, sf_dir), path)
     return text.read_block(spark, path, 25, fx.rows(spark, sf_dir) // 4)
 
 
+@query(with_("size", "corner") + f"SELECT seq::INT AS seq, {m('3 + 2 * a', 'x')}, {m('n * 0.03125 + 2 * b', 'y')} FROM corner, size")
+def zone_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone written as lines of longitude and latitude, and read as a ring."""
+    ring = fx.octagon(F.lit(3.0), F.lit(_middle(spark, sf_dir)), F.lit(2.0))
+    points = spark.range(1).select(F.posexplode(ring).alias("k", "p")).select(F.lit(0).alias("block"), "k", F.concat_ws("   ", "p.x", "p.y").alias("line"))
+    path = new_folder(spark, "zone")
+    text.write_lines(points, path)
+    return text.read_zone(spark, path).select(F.posexplode("ring").alias("seq", "p")).select("seq", micro("p.x").alias("x"), micro("p.y").alias("y"))
+
+
+@query("SELECT s_suppkey AS id, (s_suppkey % 2)::INT AS flag, s_name || ' of ' || s_nationkey AS label FROM supplier")
+def flags_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the switches of user polygons as lines of number, flag and label."""
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.lit(0).alias("block"), F.col("s_suppkey").alias("k"), F.concat_ws(" ", "s_suppkey", F.col("s_suppkey") % 2, "s_name", F.lit("of"), "s_nationkey").alias("line"))
+    path = new_folder(spark, "flags")
+    text.write_lines(rows, path)
+    return text.read_flags(spark, path)
+
+
 @query(with_("size") + "SELECT 25::BIGINT AS nx, n // 4 AS ny, 0.25::DOUBLE AS dx, 0.25::DOUBLE AS dy, 0.0938::DOUBLE AS lon0, 0.0938::DOUBLE AS lat0 FROM size")
 def meta_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = text.metadata("RECT", 25, fx.rows(spark, sf_dir) // 4, 0.09375, 0.09375, 0.25, 0.25, "regional")
@@ -744,8 +909,8 @@ def pipeline_regional(spark: SparkSession, sf_dir: str) -> DataFrame:
     shores = fx.polygons(spark, sf_dir)
     depth = materialise(bathymetry.cell_average(fx.bathy(spark, sf_dir), cells, 0.0, 0.7, DRY, TILE), "depth")
     mask = masks.initial_mask(depth, DRY).select("k", "j", "mask")
-    mask = masks.clean_mask(cells, mask, polygons.split(polygons.of_level(shores), 10.0), 0.3, 0.25, TILE)
-    mask = materialise(masks.clean_mask(cells, mask, fx.user_polygons(spark, sf_dir).where("poly_id % 10 = 1"), 0.3, 0.25, TILE), "mask")
+    mask = materialise(masks.clean_mask(cells, mask, polygons.split(polygons.of_level(shores), PIECE), 0.3, 0.25, TILE), "mask")
+    mask = materialise(masks.clean_mask(cells, mask, _enabled(spark, sf_dir), 0.3, 0.25, TILE), "mask")
     mask = materialise(masks.keep_bodies(masks.water_bodies(mask, 25, fx.rows(spark, sf_dir) // 4), -1), "mask")
     blocked = obstruction.sub_grid(shores, cells, mask, TILE, 1, 1)
     return depth.join(mask, ["k", "j"]).join(blocked, ["k", "j"]).select("k", "j", micro("depth").alias("depth"), "mask", micro("sx").alias("sx"), micro("sy").alias("sy"))

@@ -59,7 +59,21 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 2).cast("int").alias("flag"), F.col("s_name").alias("label"))
 
 
+#: A star with four points: concave, of area 1.
+STAR = [(1, 0), (0.25, 0.25), (0, 1), (-0.25, 0.25), (-1, 0), (-0.25, -0.25), (0, -1), (0.25, -0.25), (1, 0)]
+
+
+def shores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large concave polygons, of one to three degrees."""
+    key, n = F.col("s_suppkey"), rows(spark, sf_dir)
+    x, y, r = (key * 37 % 100) * STEP + 1 / 128, (key * 7 % n) * STEP + 3 / 256, (F.col("s_nationkey") % 3 + 1).cast("double")
+    ring = F.array(*[point(x + r * a, y + r * b) for a, b in STAR])
+    return _table(spark, sf_dir, "supplier").select(key.alias("poly_id"), F.lit(1).alias("level"), ring.alias("ring"))
+
+
 BOX = (1.0, 5.0, 0.2, 4.0)
+#: A box on whose sides some vertices of octagons lie.
+TOUCHED = (1.0078125, 5.0078125, 0.26171875, 4.01171875)
 
 #: The same fixtures for DuckDB, as common table expressions.
 CTE = {
@@ -69,11 +83,13 @@ CTE = {
     "poly": "poly AS (SELECT c_custkey AS poly_id, (c_nationkey % 3 + 1)::INT AS level, (c_custkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 AS x, (c_custkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 AS y, (floor(abs(c_acctbal) * 100 + 0.5)::BIGINT % 7 + 1) / 32.0::DOUBLE AS r FROM customer, size)",
     "users": "users AS (SELECT s_suppkey AS poly_id, s_name, (s_suppkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 AS x, (s_suppkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 AS y, (s_nationkey % 5 + 2) / 8.0::DOUBLE AS r FROM supplier, size)",
     "corner": "corner AS (SELECT * FROM (VALUES (0, 1.0::DOUBLE, -0.5::DOUBLE), (1, 1, 0.5), (2, 0.5, 1), (3, -0.5, 1), (4, -1, 0.5), (5, -1, -0.5), (6, -0.5, -1), (7, 0.5, -1), (8, 1, -0.5)) t(seq, a, b))",
+    "shores": "shores AS (SELECT s_suppkey AS poly_id, (s_suppkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 AS x, (s_suppkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 AS y, (s_nationkey % 3 + 1)::DOUBLE AS r FROM supplier, size)",
+    "star": "star AS (SELECT poly_id, seq, x + r * a AS vx, y + r * b AS vy FROM shores, (VALUES (0, 1.0::DOUBLE, 0.0::DOUBLE), (1, 0.25, 0.25), (2, 0, 1), (3, -0.25, 0.25), (4, -1, 0), (5, -0.25, -0.25), (6, 0, -1), (7, 0.25, -0.25), (8, 1, 0)) t(seq, a, b))",
     "vertex": "vertex AS (SELECT poly_id, level, seq, x + r * a AS vx, y + r * b AS vy FROM poly, corner)",
     "cellavg": "cellavg AS (SELECT k, j, count(z) AS n, count(z) FILTER (z <= 0) AS n_wet, CASE WHEN count(z) FILTER (z <= 0) > 0.7 * count(z) THEN avg(z) FILTER (z <= 0) ELSE 999999 END AS depth FROM grid g LEFT JOIN bathy b ON b.lon BETWEEN g.lon - 0.125 AND g.lon + 0.125 AND b.lat BETWEEN g.lat - 0.125 AND g.lat + 0.125 GROUP BY k, j)",
     "mask": "mask AS (SELECT k, j, (CASE WHEN depth = 999999 THEN 0 ELSE 1 END)::INT AS mask FROM cellavg)",
 }
-_NEEDS = {"grid": ["size"], "poly": ["size"], "users": ["size"], "vertex": ["poly", "corner"], "cellavg": ["grid", "bathy"], "mask": ["cellavg"]}
+_NEEDS = {"grid": ["size"], "poly": ["size"], "users": ["size"], "shores": ["size"], "star": ["shores"], "vertex": ["poly", "corner"], "cellavg": ["grid", "bathy"], "mask": ["cellavg"]}
 
 
 def with_(*names: str, extra: str = "", recursive: bool = False) -> str:

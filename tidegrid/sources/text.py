@@ -34,11 +34,18 @@ def write_lines(rows: DataFrame, path: str) -> None:
 
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files in order: ``n`` from 0, ``line``. Files follow each other by name."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", "\\n$", ""), "\n").alias("l"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("file", F.size("l").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    return files.select("file", F.posexplode("l").alias("at", "line")).join(starts.select("file", "start"), "file").select((F.col("start") + F.col("at")).alias("n"), "line")
+    """Lines of text files that are not blank, in order: ``n`` from 0, ``line``. Files follow each other by name.
+
+    Lines are numbered within the blocks they are read in; the lines of the blocks
+    before, one row for each block, are added.
+    """
+    read = spark.read.text(path).where(F.trim("value") != "")
+    block = ["file", "block"]
+    read = read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    before = F.sum("lines").over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1))
+    starts = read.groupBy(*block).agg(F.count("*").alias("lines")).select(*block, F.coalesce(before, F.lit(0)).alias("start"))
+    at = F.row_number().over(Window.partitionBy(*block).orderBy("id")) - 1
+    return read.withColumn("at", at).join(F.broadcast(starts), block).select((F.col("start") + F.col("at")).alias("n"), F.col("value").alias("line"))
 
 
 def read_block(spark: SparkSession, path: str, nx: int, ny: int) -> DataFrame:
@@ -46,26 +53,31 @@ def read_block(spark: SparkSession, path: str, nx: int, ny: int) -> DataFrame:
 
     Blank lines count for nothing; a second block of ``nx`` x ``ny`` values is block 1.
     """
-    filled = _numbered(spark, path).where(F.trim("line") != "")
-    row = F.row_number().over(Window.orderBy("n")) - 1
-    at = filled.select(row.alias("row"), "line").select("row", F.posexplode(F.split(F.trim("line"), "\\s+")).alias("i", "v"))
+    at = _numbered(spark, path).select(F.col("n").alias("row"), F.posexplode(F.split(F.trim("line"), "\\s+")).alias("i", "v"))
     return at.select(
         F.floor(F.col("row") / ny).cast("int").alias("block"), (F.col("row") % ny + 1).cast("int").alias("k"), (F.col("i") + 1).cast("int").alias("j"), F.col("v").cast("long").alias("value")
     ).where(F.col("j") <= nx)
 
 
-def metadata(kind: str, nx: int, ny: int, lon0: float, lat0: float, dx: float, dy: float, name: str, scales: tuple[float, float] = (0.001, 0.01)) -> str:
-    """K3: the metadata of a grid; ``RECT`` has its spacing in minutes, ``CURV`` names coordinate files."""
+def metadata(
+    kind: str, nx: int, ny: int, lon0: float, lat0: float, dx: float, dy: float, name: str, scales: tuple[float, float] = (0.001, 0.01),
+    place_scale: float = 1.0, endings: tuple[str, str, str] = (".depth_ascii", ".obstr_lev1", ".mask"),
+) -> str:
+    """K3: the metadata of a grid; ``RECT`` has its spacing in minutes, ``CURV`` names coordinate files.
+
+    ``scales`` turn the numbers of the depth and obstruction files into values, and
+    ``place_scale`` those of the coordinate files.
+    """
     if kind not in ("RECT", "CURV"):
         raise ValueError(f"unknown grid type {kind}")
     out = ["$ "] * HEADER_LINES + [f"'{kind}' T 'NONE'", f"{nx} \t {ny}"]
     if kind == "RECT":
         out += [f"{dx * 60:5.2f} \t {dy * 60:5.2f} \t {60:5.2f}", f"{lon0:8.4f} \t {lat0:8.4f} \t {1:5.2f}"]
     else:
-        out += [f"{unit} {scales[0]} 0.0 1 1 '(....)' NAME '{name}.{axis}'" for unit, axis in ((20, "lon"), (30, "lat"))]
-    out += ["$ Bottom bathymetry", f"-0.10 2.50 40 {scales[0]} 1 1 '(....)' NAME '{name}.depth_ascii'"]
-    out += ["$ Sub-grid obstructions", f"50 {scales[1]} 1 1 '(....)' NAME '{name}.obstr_lev1'"]
-    return "\n".join([*out, "$ Mask", f"60 1 1 '(....)' NAME '{name}.mask'"]) + "\n"
+        out += [f"{unit} {place_scale} 0.0 1 1 '(....)' NAME '{name}.{axis}'" for unit, axis in ((20, "lon"), (30, "lat"))]
+    out += ["$ Bottom bathymetry", f"-0.10 2.50 40 {scales[0]} 1 1 '(....)' NAME '{name}{endings[0]}'"]
+    out += ["$ Sub-grid obstructions", f"50 {scales[1]} 1 1 '(....)' NAME '{name}{endings[1]}'"]
+    return "\n".join([*out, "$ Mask", f"60 1 1 '(....)' NAME '{name}{endings[2]}'"]) + "\n"
 
 
 def parse_metadata(text: str) -> dict[str, float]:
@@ -79,7 +91,7 @@ def parse_metadata(text: str) -> dict[str, float]:
 
 def read_zone(spark: SparkSession, path: str) -> DataFrame:
     """One row with the ring of a zone, from lines of longitude and latitude."""
-    numbers = _numbered(spark, path).where(F.trim("line") != "").select("n", F.split(F.trim("line"), "\\s+").cast("array<double>").alias("v"))
+    numbers = _numbered(spark, path).select("n", F.split(F.trim("line"), "\\s+").cast("array<double>").alias("v"))
     flat = numbers.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "v"))), lambda x: x["v"])).alias("v"))
     return flat.select(F.transform(F.sequence(F.lit(0), F.floor(F.size("v") / 2).cast("int") - 1), lambda i: F.struct(F.col("v")[2 * i].alias("x"), F.col("v")[2 * i + 1].alias("y"))).alias("ring"))
 
