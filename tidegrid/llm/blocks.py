@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes of ``text``, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

@@ -60,9 +60,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     for g in sizes:
         after = f"{before} + greatest(0, n - {g - 1})"
         place, before = f"{place} WHEN at < {after} THEN at - ({before})", after
-    hits = worded.select("doc_id", "h", "n", F.posexplode(F.expr(_grams("w", "n", sizes or [1]))).alias("at", "gram"))
-    hits = hits.join(broadcast_if_small(materialise(grams.select("gram").distinct(), "vocabulary"), 2_000_000), "gram", "left_semi")
-    hits = materialise(hits.select("doc_id", "h", "n", "gram", (F.expr(f"{place} END") if sizes else F.col("at")).cast("int").alias("pos")), "shingle_hits")
+    known = materialise(grams.select("gram").distinct(), "vocabulary").withColumn("known", F.lit(True))
+    hits = worded.select("doc_id", "h", "n", F.posexplode_outer(F.expr(_grams("w", "n", sizes or [1]))).alias("at", "gram"))
+    # one row of each text stays for its number of words, so that one scan gives both
+    hits = hits.withColumn("first", F.coalesce(F.col("at") == 0, F.lit(True))).join(broadcast_if_small(known, 2_000_000), "gram", "left").where("known or first")
+    pos = (F.expr(f"{place} END") if sizes else F.col("at")).cast("int")
+    hits = materialise(hits.select("doc_id", "h", "n", "first", "known", "gram", pos.alias("pos")), "shingle_hits")
+    counted, hits = hits.where("first").select("doc_id", "h", F.col("n").cast("long").alias("n_words")), hits.where("known")
 
     rarity = hits.groupBy("gram").agg(F.count("*").alias("k"))
     rarest = grams.join(rarity, "gram", "left").groupBy("win", "width").agg(F.min(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "gram", "offset")).alias("p"))
@@ -106,7 +110,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     covered = covered.join(items.toDF("d", "g", "n_items", "items_sha256"), same, "left").select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "n_hit", "n_items", "items_sha256")
     covered = broadcast_if_small(materialise(covered, "covered"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return worded.select("doc_id", "h", F.col("n").cast("long").alias("n_words")).join(covered, same, "left").select(
+    return counted.join(covered, same, "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
