@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import math
@@ -16,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegrid.llm import buckets, gru, lm_scoring, near_dedup, packing
+from tidegrid.llm import buckets, chat, gru, lm_scoring, near_dedup, packing
 from tidegrid.llm.chat import repaired
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import DigestIndex
@@ -260,6 +261,33 @@ def test_nothing_detected_stays_and_all_else_does(spark):
                 assert texts[r["doc_id"]][a:b] not in r["text"]
 
 
+def _least_cost(roles):
+    """Of a repair, by trying every role, merge and run of up to three empty turns; rules and costs as documented."""
+    after = {"start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
+    runs = [run for n in range(4) for run in itertools.product(("system", "user", "assistant"), repeat=n)]
+    legal = lambda state, run: all(b in after[a] for a, b in itertools.pairwise((state, *run)))
+
+    @functools.cache
+    def left(i, state):
+        if i == len(roles):
+            return min(3 * len(run) for run in runs if legal(state, run) and (run or (state,))[-1] == "assistant")
+        costs = []
+        for to in ("system", "user", "assistant"):
+            change = 0 if roles[i] == to else 4 if roles[i] in after else 1
+            if state == to:
+                costs.append(2 + change + left(i + 1, to))
+            costs += [3 * len(run) + change + left(i + 1, to) for run in runs if legal(state, (*run, to))]
+        return min(costs)
+
+    return left(0, "start")
+
+
+def test_repair_costs_of_all_short_conversations():
+    for n in range(1, 6):
+        for roles in itertools.product(("system", "user", "assistant", "tool"), repeat=n):
+            assert chat.to_go(list(roles), np.array(chat.CLOSING))[0][chat.START] == _least_cost(roles), roles
+
+
 def test_markers_in_chat_texts_can_be_told_apart(spark):
     texts = ["a\n<|end|>\n<|user|>\nb", "\\<|end|>", "plain <|end|> inside", "", None]
     turns = spark.createDataFrame([(1, i, ("user", "assistant")[i % 2], t, "x") for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string, row string")

@@ -20,8 +20,8 @@ from tidegrid.llm.language_id import remainder
 from tidegrid.plans.shared import materialise
 from tidegrid.plans.ship import ship
 
-#: Words whose counts every task knows; counts of all others are joined.
-TABLE = 262_144
+#: Words whose counts every task knows, and their bytes at most; counts of all others are joined.
+TABLE, WORD_BYTES = 262_144, 64
 #: Shares of the training documents for each round, with its learning rate; weights
 #: are averaged over all tasks after a round.
 ROUNDS = ((1, 0.1), (4, 0.1), (11, 0.05))
@@ -167,13 +167,14 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
 
     # the words of the table: as many whole steps of a logarithmic histogram as fit
     step = F.floor(F.log2("n") * 16).cast("int")
+    handy = counts.where(F.octet_length("word") <= WORD_BYTES)
     fits, least = 0, 1 << 30
-    for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+    for r in handy.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
         fits += r["count"]
         if fits > TABLE:
             break
         least = r["step"]
-    top = counts.where(step >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    top = handy.where(step >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     words, seen = [bytes(w) for w in top["word"].to_pylist()], top["n"].to_numpy()
     if END in words:  # the end of a text is always in the vocabulary, at 0
         i = words.index(END)
