@@ -62,7 +62,8 @@ def test_items_of_a_bucket_are_linked_as_by_all_pairs(spark):
     sets = [sorted(set(s)) for s in sets]
     links = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if 100 * (k := len({*sets[i]} & {*sets[j]})) >= 85 * (len(sets[i]) + len(sets[j]) - k)]
     rows = spark.createDataFrame(list(enumerate(sets)), "id long, s array<long>")
-    found = {r["node"]: r["component"] for r in buckets.linked(rows.select(F.lit(1).cast("long").alias("band"), "id"), rows, 85).collect()}
+    bands = rows.select(F.lit(1).cast("long").alias("band"), "id")
+    found = {r["node"]: r["component"] for r in buckets.linked(bands, buckets.ranked(rows, 85), 85, lambda pairs: buckets.confirmed(pairs, rows, 85), lambda ids: rows).collect()}
     wanted = _components(len(sets), links)
     assert len({*wanted}) > 20 and [found.get(i, i) for i in range(len(sets))] == wanted
 

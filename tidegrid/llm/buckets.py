@@ -94,13 +94,15 @@ def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def linked(bands: DataFrame, sets: DataFrame, percent: int, screen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def linked(bands: DataFrame, rank: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components ``node, component`` of all links between items that share a band.
 
-    ``bands`` has ``band, id``, ``sets`` the elements ``s`` of each ``id`` there.
-    ``screen`` may drop pairs that have no hope before their sets are read.
+    ``bands`` has ``band, id``; ``rank`` has of each ``id`` there that can be linked
+    ``n``, the size of its set, and ``c``, how many of these elements others may have.
+    ``verify`` gives the linked ones of pairs ``a, b``, and ``sets_of`` the sets
+    ``id, s`` of a table of ids.
 
-    An item leaves that can be linked with nothing. All items of a band are first held
+    All items of a band are first held
     against the one that has the largest share of elements in common with others; links
     merge them into components. In bands that still have several, the best item of the
     largest component is the reference, and items of different components meet by how
@@ -108,12 +110,11 @@ def linked(bands: DataFrame, sets: DataFrame, percent: int, screen: Callable[[Da
     out, copies of one text with changes of their own do not meet each other, and no
     band is gathered in one place.
     """
-    rank = ranked(sets, percent)
     placed = materialise(bands.join(rank, "id").select("band", "id", "n", "c"), "placed")
     best = F.min(F.struct((1 - F.col("c") / F.col("n")).alias("own"), "id", "n", "c")).alias("p")
 
     def found(pairs: DataFrame) -> DataFrame:
-        return materialise(confirmed(screen(pairs) if screen else pairs, sets, percent), "links")
+        return materialise(verify(pairs), "links")
 
     def against(rows: DataFrame, chosen: DataFrame) -> DataFrame:
         met = rows.alias("x").join(chosen.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.id") != F.col("y.id")) & _fits(percent))
@@ -134,7 +135,11 @@ def linked(bands: DataFrame, sets: DataFrame, percent: int, screen: Callable[[Da
         return parts
     others = rest.join(mixed.select("band", F.col("id").alias("ref"), F.col("component").alias("main")), "band").where("id <> ref")
     others = materialise(others, "others")
-    apart = _apart(others.select("ref", "id", "n", "c", "component").distinct(), sets, percent)
+    # pairs with the reference aside, a band has pairs where others are of several components
+    several = others.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    rows = materialise(others.join(several, "band", "left_semi").select("ref", "id", "n", "c", "component").distinct(), "rows")
+    ends = rows.select("id").unionByName(rows.select(F.col("ref").alias("id"))).distinct()
+    apart = _apart(rows, sets_of(ends), percent)
     pairs = apart.unionByName(against(others.where("component <> main"), mixed)).distinct()
     pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     return _merged(parts, found(pairs))
