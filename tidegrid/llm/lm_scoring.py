@@ -204,10 +204,10 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
 
     flat, start = gru.initial(seen[: gru.VOCABULARY], mass), 0
     for n, lr in ROUNDS:
-        part = encoded.where(f"learned and share >= {start} and share < {start + n}").select("deal", "ids")
+        part = encoded.where(f"learned and share >= {start} and share < {start + n}").select("doc_id", "deal", "ids")
         # replicas follow from the number of tokens and not from how the table is cut
         replicas = max(1, min(REPLICAS, math.ceil(whole[0] * n / sum(n for n, _ in ROUNDS) / REPLICA)))
-        part = part.repartition(replicas, "deal").sortWithinPartitions("deal", "ids").select("ids")
+        part = part.repartition(replicas, "deal").sortWithinPartitions("doc_id", "deal").select("ids")
         held, start = spark.sparkContext.broadcast(flat), start + n
         trained = part.mapInArrow(lambda b, held=held, lr=lr: _train(b, held.value, end, lr), "block int, n long, sums binary")
         flat = _averaged(trained, flat)
