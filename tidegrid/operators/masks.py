@@ -46,7 +46,7 @@ def clean_mask(cells: DataFrame, mask: DataFrame, polygons: DataFrame, limit: fl
     edges of their candidates in bands of latitude, and whether one lies inside follows
     from how many edges it has on its right: a long ring is as many rows as it has edges.
     """
-    wet = _sampled(cells.join(mask.where("mask = 1").select("k", "j"), ["k", "j"]), n)
+    wet = materialise(_sampled(cells.join(mask.where("mask = 1").select("k", "j"), ["k", "j"]), n), "sampled")
     rings = materialise(polygons.select(F.monotonically_increasing_id().alias("piece"), "ring"), "rings")
     boxed = rings.select("piece", *ring_box(F.col("ring")))
     wide = with_tiles(boxed, F.col("west") - offset, F.col("east") + offset, F.col("south") - offset, F.col("north") + offset, tile)
