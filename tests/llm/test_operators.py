@@ -21,6 +21,8 @@ from tidegrid.llm.lm_scoring import scores
 from tidegrid.llm.near_dedup import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.pii import pseudonymised
+from tidegrid.llm.quality import qualities
+from tidegrid.llm.resampling import resampled
 from tidegrid.llm.secret_scan import secrets
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -41,6 +43,8 @@ OPERATORS = {
     "pack": lambda d: pack(d, TOKENIZER),
     "secrets": secrets,
     "pii": pseudonymised,
+    "resampling": lambda d: resampled(d, d.selectExpr("doc_id as item_id", "text")),
+    "quality": lambda d: qualities(d, d.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")),
     "contamination": lambda d: contamination(d, d.selectExpr("doc_id as item_id", "substring(text, 1, 400) as text", "n")),
 }
 

@@ -1,4 +1,4 @@
-"""Queries of the ten text operators over whole tables, and SQL for those that SQL can express."""
+"""Queries of the text operators over whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -16,7 +16,10 @@ from tidegrid.llm.lm_scoring import scores
 from tidegrid.llm.near_dedup import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.pii import pseudonymised
+from tidegrid.llm.quality import qualities
+from tidegrid.llm.resampling import resampled
 from tidegrid.llm.secret_scan import secrets
+from tidegrid.llm.variants import spelling_variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +66,18 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymised(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), least=7, often=2, ratio=10, drop=31)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), grams=1)
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualities(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_near_duplicates,
@@ -75,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secrets,
         op9_languages,
         op10_surrogates,
+        op11_spelling_variants,
+        op12_resampling,
+        op13_quality,
     )
     return {f.__name__: f for f in ops}
 
@@ -156,5 +174,64 @@ FROM n
 """
 
 
+#: crc32 of ``hex``, the bytes of a text as hexadecimal digits, by its table of 256 remainders.
+_CRC = r"""
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def _crc(hex_: str) -> str:
+    octets = f"list_transform(range(length({hex_}) // 2), lambda i: ('0x' || substr({hex_}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295)"
+
+
+SQL["op11_spelling_variants"] = rf"""
+WITH RECURSIVE {_CRC},
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents),
+g AS (SELECT doc_id, w, count(*) AS n FROM r WHERE length(w) >= 7 GROUP BY ALL),
+h AS (SELECT w, n, {_crc("hex(encode(doc_id || ':' || w))")} AS h FROM g, crc_table),
+d AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM d WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS cut FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+p AS (
+  SELECT a.word AS a, b.word AS b FROM x a JOIN x b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT x.word, v.word FROM x JOIN v ON v.word = x.cut
+  UNION
+  SELECT v.word, x.word FROM x JOIN v ON v.word = x.cut),
+m AS (SELECT a, count(*) AS n_near, max(n) AS best FROM p JOIN v ON v.word = b GROUP BY a),
+f AS (SELECT p.a AS word, min(b) AS form FROM p JOIN v ON v.word = b JOIN m ON m.a = p.a AND m.best = v.n JOIN v w ON w.word = p.a WHERE m.best >= 10 * w.n GROUP BY p.a),
+c(word, root) AS (
+  SELECT word, word FROM v
+  UNION ALL
+  SELECT c.word, f.form FROM c JOIN f ON f.word = c.root)
+SELECT v.word, f.form, c.root, v.n, coalesce(m.n_near, 0)::BIGINT AS n_near, CASE WHEN f.form IS NOT NULL THEN m.best END AS form_n
+FROM v LEFT JOIN m ON m.a = v.word LEFT JOIN f ON f.word = v.word JOIN c ON c.word = v.word AND NOT EXISTS (SELECT 1 FROM f z WHERE z.word = c.root)
+"""
+
+#: Words of a text between white space and punctuation of ASCII.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op12_resampling"] = rf"""
+WITH {_CRC},
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+x AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY ALL),
+y AS (SELECT w, count(*) AS n FROM (SELECT unnest({_WORDS}) AS w FROM benchmark) GROUP BY w),
+b AS (SELECT w, {_crc("hex(encode(w))")} % 10000 AS b FROM (SELECT w FROM x UNION SELECT w FROM y), crc_table),
+s AS (SELECT b, sum(n) AS s FROM x JOIN b USING (w) GROUP BY b),
+t AS (SELECT b, sum(n) AS t FROM y JOIN b USING (w) GROUP BY b),
+g AS (
+  SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS g
+  FROM (SELECT DISTINCT b FROM b) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+m AS (SELECT doc_id, sum(n * g)::BIGINT AS total FROM x JOIN b USING (w) JOIN g USING (b) GROUP BY doc_id),
+h AS (SELECT doc_id, len(w)::BIGINT AS n, ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM d),
+f AS (
+  SELECT doc_id, n, CASE WHEN n = 0 THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight, floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS z
+  FROM h LEFT JOIN m USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY weight + z DESC, doc_id) AS rank, count(*) OVER () AS e FROM f WHERE n >= 20)
+SELECT f.doc_id, f.n AS n_features, weight::BIGINT AS weight, (weight + z)::BIGINT AS score, CASE WHEN rank <= 10 * e // 100 THEN rank END AS rank
+FROM f LEFT JOIN r USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
