@@ -46,8 +46,10 @@ def _components(n, links):
     return [find(i) for i in range(n)]
 
 
-def test_items_of_a_bucket_are_linked_as_by_all_pairs(spark):
+@pytest.mark.parametrize("hot", [256, 6, 2])
+def test_items_of_a_bucket_are_linked_as_by_all_pairs(spark, monkeypatch, hot):
     """One bucket for all: copies with changes of their own, with shared changes, around the threshold."""
+    monkeypatch.setattr(buckets, "HOT", hot)
     draw = random.Random(5)
     sets = []
     for family in range(6):
@@ -68,6 +70,28 @@ def test_items_of_a_bucket_are_linked_as_by_all_pairs(spark):
     assert len({*wanted}) > 20 and [found.get(i, i) for i in range(len(sets))] == wanted
 
 
+@pytest.mark.parametrize("kinds", [1, 3])
+def test_bucket_of_items_just_below_the_threshold_is_no_list_of_pairs(spark, kinds):
+    """8000 sets that share 180 of 200 elements with a template, or with one of a few: no pair is linked."""
+    import time
+
+    draw = random.Random(6)
+    sets = [[*range(170), *range(10**6 * (i % kinds + 1), 10**6 * (i % kinds + 1) + 10), *(draw.randrange(10**9, 10**15) for _ in range(20))] for i in range(8000)]
+    rows = spark.createDataFrame(list(enumerate(sets)), "id long, s array<long>")
+    bands = rows.select(F.lit(1).cast("long").alias("band"), "id")
+    rank = rows.select("id", F.size("s").cast("long").alias("n"), F.size("s").cast("long").alias("c"))
+    began = time.time()
+    found = buckets.linked(bands, rank, 85, lambda pairs: buckets.confirmed(pairs, rows, 85), lambda ids: rows).count()
+    assert found == 0 and time.time() - began < 120
+
+
+def test_string_ids_stay_strings(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([("b", text), ("a", text + " end"), ("x-1", "other"), (None, text), ("c", None)], "doc_id string, text string")
+    found = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()}
+    assert found == {("a", "a", True), ("b", "a", False), ("x-1", "x-1", True), (None, None, True), ("c", "c", True)}
+
+
 def test_near_pairs_at_the_threshold_are_all_found(spark):
     """Pairs of exactly 85 of 100 shingles, of several sizes."""
     draw, rows = random.Random(9), []

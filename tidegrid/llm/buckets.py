@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from tidegrid.plans.shared import broadcast_if_small, discard, materialise
 
 #: Shared bands, of 8 bytes each, that are broadcast at most.
 BROADCAST_BANDS = 1_000_000
+#: Items that meet pairwise over one element at most; more make a group of their own.
+HOT = 256
 
 
 def shared_bands(bands: DataFrame) -> DataFrame:
@@ -61,37 +64,79 @@ def _fits(percent: int) -> Column:
 def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of items of one ``ref`` and of two components that can be linked, by how they differ from it.
 
-    ``rows`` has ``ref, id, n, c, component``. Let an item's difference be what it has
-    and its reference has not, or the other way round; two items differ in what is in
-    one difference only. So for a link the differences have to overlap by
-    ``(d + d' - k * (n + n')) / 2`` with ``k = (100 - percent) / (100 + percent)``; where
-    that is no bound, both are linked with the reference. It is at least
-    ``(d - k * (n + r)) / 2``, whatever the other item is. Hence a join on the rarest
-    elements of the differences, as many as that leaves, finds all such pairs.
+    ``rows`` has ``ref, id, n, c, component``. An item's difference is what it has and its
+    reference has not, or the other way round; two items differ in what is in one
+    difference only. ``_round`` looks at groups of such items; an element that too many
+    differences of a group share makes a group of its own, whose differences are then
+    counted from what most of its own items have. Such a group has half the items at
+    most, so rounds are few.
     """
     k = (100 - percent) / (100 + percent)
     own = rows.join(sets.toDF("id", "s"), "id").join(sets.toDF("ref", "r"), "ref")
-    own = own.select("ref", "id", "n", "c", "component", F.size("r").alias("m"), F.array_union(F.array_except("s", "r"), F.array_except("r", "s")).alias("e"))
-    own = materialise(own, "differences")
-    each = own.select("ref", "id", F.explode("e").alias("e"))
-    often = each.groupBy("ref", "e").agg(F.count("*").alias("often")).where("often > 1")
+    now = own.select(F.col("ref").alias("g"), "id", "n", "c", "component", F.array_union(F.array_except("s", "r"), F.array_except("r", "s")).alias("e"))
+    now, found = materialise(now, "differences"), []
+    while True:
+        pairs, deeper = _round(now, percent, k)
+        found.append(pairs)
+        discard(now)
+        if deeper.isEmpty():
+            return reduce(DataFrame.unionByName, found).distinct()
+        now = deeper
+
+
+def _round(now: DataFrame, percent: int, k: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of groups ``g, id, n, c, component, e``, and the groups that hot elements make.
+
+    Elements that more than half of a group's differences ``e`` have change sides: the
+    differences are then counted from what most items have, and no element is in more than
+    half of them. With ``t = d - k * n`` of an item of ``n`` elements and a difference of
+    ``d``, a link needs differences to overlap by ``(t + t') / 2``. Where that is no bound the
+    item of the least ``t`` is linked with both, so all others are held against that one.
+    What overlap any other item allows at least, from the least ``t`` among them, says how
+    many of the rarest elements of a difference have to be looked at: these are joined.
+    """
+    each = now.select("g", "id", F.explode("e").alias("x"))
+    most = each.groupBy("g", "x").agg(F.count("*").alias("k")).join(now.groupBy("g").agg(F.count("*").alias("all")), "g").where("2 * k > all")
+    most = most.groupBy("g").agg(F.collect_list("x").alias("h"))
+    turned = now.join(most, "g", "left").withColumn("h", F.coalesce("h", F.expr("cast(array() as array<bigint>)")))
+    turned = turned.withColumn("e", F.array_union(F.array_except("e", "h"), F.array_except("h", "e"))).drop("h")
+    turned = materialise(turned.withColumn("d", F.size("e")).withColumn("t", F.expr(f"d - {k}D * n")), "turned")
+
+    first = turned.groupBy("g").agg(F.min(F.struct("t", "id", "n", "c", "d", "component")).alias("y"))
+    held = materialise(turned.join(first, "g").where("id <> y.id"), "held")
+    against = held.select("y", F.struct("id", "n", "c", "d", "component").alias("x")).where(F.col("x.component") != F.col("y.component"))
+    against = against.where(_fits(percent) & F.expr(f"abs(x.d - y.d) <= {k}D * (x.n + y.n) + 1e-9"))
+    pairs = against.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+    least = held.groupBy("g").agg(F.min("t").alias("low"))
+    each = held.select("g", "id", F.explode("e").alias("e"))
+    often = each.groupBy("g", "e").agg(F.count("*").alias("often")).where("often > 1")
     # elements of one difference only come first in the order and meet nothing: they need no row
-    common = each.join(often, ["ref", "e"]).groupBy("ref", "id").agg(F.array_sort(F.collect_list(F.struct("often", "e"))).alias("l"))
-    slim = own.select("ref", "id", "n", "c", "component", "m", F.size("e").alias("d")).join(common, ["ref", "id"])
-    slim = slim.withColumn("alone", F.expr("d - size(l)")).withColumn("need", F.expr(f"greatest(1, ceil((d - {k}D * (n + m)) / 2 - 1e-9))"))
+    common = each.join(often, ["g", "e"]).groupBy("g", "id").agg(F.array_sort(F.collect_list(F.struct("often", "e"))).alias("l"))
+    slim = held.select("g", "id", "n", "c", "component", "d", "t").join(least, "g").join(common, ["g", "id"])
+    slim = slim.withColumn("alone", F.expr("d - size(l)")).withColumn("need", F.expr("greatest(1, ceil((t + low) / 2 - 1e-9))"))
     slim = slim.withColumn("keep", F.expr("d - need + 1 - alone")).where("keep > 0")
-    keyed = slim.select("ref", "id", "n", "c", "component", "d", "alone", F.posexplode(F.expr("slice(l, 1, cast(keep AS int))")).alias("at", "x"))
-    keyed = materialise(keyed.select("ref", "id", "n", "c", "component", "d", F.expr("d - alone - at").alias("left"), "x.e"), "prefixes")
-    met = keyed.alias("x").join(
-        keyed.alias("y"),
-        (F.col("x.ref") == F.col("y.ref"))
+    keyed = slim.select("g", "id", "n", "c", "component", "t", "d", "alone", F.posexplode(F.expr("slice(l, 1, cast(keep AS int))")).alias("at", "x"))
+    keyed = materialise(keyed.select("g", "id", "n", "c", "component", "t", F.expr("d - alone - at").alias("left"), "x.e"), "prefixes")
+
+    # the same items make the same group, whichever element they share
+    same = F.xxhash64("g", F.count("*"), F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64(F.lit(5), "id"))).alias("group")
+    keys = keyed.groupBy("g", "e").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"), same).where("low < high")
+    keys = materialise(keys.select("g", "e", "group", (F.col("rows") > HOT).alias("hot")), "keys")
+    of = keyed.join(keys, ["g", "e"])
+    cool = of.where("not hot")
+    met = cool.alias("x").join(
+        cool.alias("y"),
+        (F.col("x.g") == F.col("y.g"))
         & (F.col("x.e") == F.col("y.e"))
         & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.component") != F.col("y.component"))
         & _fits(percent)
-        & F.expr(f"2 * least(x.left, y.left) >= x.d + y.d - {k}D * (x.n + y.n) - 1e-9"),
+        & F.expr("2 * least(x.left, y.left) >= x.t + y.t - 1e-9"),
     )
-    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    pairs = materialise(pairs.unionByName(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct(), "apart")
+    deeper = of.where("hot").select("g", "group", "id").distinct().join(turned, ["g", "id"])
+    return pairs, materialise(deeper.select(F.col("group").alias("g"), "id", "n", "c", "component", "e"), "differences")
 
 
 def linked(bands: DataFrame, rank: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
