@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import plain_rings
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def test_corner_cells_mirror_or_turn(spark):
 ])
 def test_clip(ring, area, rings, older):
     points = [(float(x), float(y)) for x, y in ring]
-    for clipped, wanted in ((polygons.clipped_rings, (area, rings)), (polygons.vertex_clipped_rings, older)):
+    for clipped, wanted in ((plain_rings.clipped_rings, (area, rings)), (polygons.vertex_clipped_rings, older)):
         found = clipped(points, BOX)
         assert len(found) == wanted[1] and math.isclose(sum(map(_area, found)), wanted[0], abs_tol=1e-9)
         assert all(0 <= x <= 10 and 0 <= y <= 10 for r in found for x, y in r)
@@ -83,14 +84,14 @@ def test_concave_clips_have_the_area_of_half_plane_cuts():
         reach = [r * draw.uniform(0.2, 1) for _ in range(n)]
         ring = [(x + d * math.cos(2 * math.pi * i / n), y + d * math.sin(2 * math.pi * i / n)) for i, d in enumerate(reach)]
         ring.append(ring[0])
-        found = polygons.clipped_rings(ring, BOX)
+        found = plain_rings.clipped_rings(ring, BOX)
         assert math.isclose(sum(map(_area, found)), _half_planes(ring), abs_tol=1e-7), seed
         assert all(0 <= px <= 10 and 0 <= py <= 10 for piece in found for px, py in piece)
 
 
 def test_pieces_of_a_long_edge_lie_on_both_sides_of_the_meridian():
     ring = [(350.0, 2.0), (10.0, 2.0), (10.0, 4.0), (350.0, 4.0), (350.0, 2.0)]
-    areas = [sum(map(_area, polygons.clipped_rings(ring, (west, west + 20, 0.0, 10.0)))) for west in (345.0, -5.0)]
+    areas = [sum(map(_area, plain_rings.clipped_rings(ring, (west, west + 20, 0.0, 10.0)))) for west in (345.0, -5.0)]
     assert areas == [pytest.approx(30), pytest.approx(30)]
 
 
@@ -189,3 +190,24 @@ def test_metadata_round_trip():
     assert text.parse_metadata(text.metadata("RECT", 5, 7, -3.5, 44.0, 0.25, 0.5, "g")) == {"nx": 5, "ny": 7, "dx": 0.25, "dy": 0.5, "lon0": -3.5, "lat0": 44.0}
     with pytest.raises(ValueError):
         text.metadata("TRI", 5, 7, 0, 0, 1, 1, "g")
+
+
+@pytest.mark.parametrize("tile", [64, 5, 1])
+@pytest.mark.parametrize("wrap", [False, True])
+def test_bodies_equal_a_flood_fill(spark, tile, wrap):
+    nx, ny, draw = 23, 17, random.Random(tile)
+    wet = {(k, j) for k in range(1, ny + 1) for j in range(1, nx + 1) if draw.random() < 0.6}
+    bodies, left = {}, sorted(wet, key=lambda c: (c[1], c[0]))
+    for cell in left:
+        if cell in bodies:
+            continue
+        number, todo = max(bodies.values(), default=0) + 1, [cell]
+        while todo:
+            k, j = todo.pop()
+            if (k, j) in wet and (k, j) not in bodies:
+                bodies[k, j] = number
+                todo += [(k + 1, j), (k - 1, j), *(((k, (j + d - 1) % nx + 1) if wrap else (k, j + d)) for d in (1, -1))]
+    mask = spark.createDataFrame([(k, j, int((k, j) in wet)) for k in range(1, ny + 1) for j in range(1, nx + 1)], "k int, j int, mask int")
+    found = {(r.k, r.j): r.body_id for r in masks.water_bodies(mask, nx, ny, wrap, tile).collect()}
+    assert found == {(k, j): bodies.get((k, j), -1) for k in range(1, ny + 1) for j in range(1, nx + 1)}
+    assert masks.water_bodies(mask.limit(0), nx, ny, wrap, tile).count() == 0

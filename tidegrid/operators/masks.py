@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import inside, ring_box, with_tile, with_tiles
 from tidegrid.operators.components import connected_components
 from tidegrid.operators.ordering import numbered
-from tidegrid.plans.shared import materialise
+from tidegrid.plans.shared import broadcast_if_small, materialise
+from tidegrid.plans.ship import ship
 
 
 def initial_mask(depth: DataFrame, dry: float) -> DataFrame:
@@ -71,27 +74,59 @@ def clean_mask(cells: DataFrame, mask: DataFrame, polygons: DataFrame, limit: fl
     return mask.join(dried, ["k", "j"], "left").select("k", "j", F.when(F.col("dried"), 0).otherwise(F.col("mask")).alias("mask"))
 
 
-def _lin(ny: int) -> Column:
-    return ((F.col("j") - 1).cast("long") * ny + F.col("k")).alias("lin")
-
-
-def water_bodies(mask: DataFrame, nx: int, ny: int, wrap: bool = False) -> DataFrame:
+def _tile_labels(table: pa.Table, ny: int) -> pa.Table:
+    """``k, j, mask, label`` of a tile: the least cell number of each cell's body within the tile; null where dry."""
+    k, j = (table[c].to_numpy().astype(np.int64) for c in "kj")
+    wet = np.flatnonzero(table["mask"].to_numpy() == 1)
+    lin = (j[wet] - 1) * ny + k[wet]
+    order = np.argsort(lin)
+    lin, wet = lin[order], wet[order]
+    least = np.arange(len(lin))
+    # neighbours above follow in the number, those on the right by a column
+    sides = []
+    for step, near in ((1, k[wet] < ny), (ny, np.ones(len(lin), bool))):
+        at = np.minimum(np.searchsorted(lin, lin + step), max(len(lin) - 1, 0))
+        a = np.flatnonzero(near & (lin[at] == lin + step)) if len(lin) else at
+        sides.append((a, at[a]))
+    a, b = (np.concatenate(x) for x in zip(*sides))
+    while len(a):
+        pa_, pb = least[a], least[b]
+        if (pa_ == pb).all():
+            break
+        np.minimum.at(least, np.maximum(pa_, pb), np.minimum(pa_, pb))
+        while not (least == least[least]).all():
+            least = least[least]
+    label = np.zeros(len(k), np.int64)
+    label[wet] = lin[least]
+    return pa.table({"k": table["k"], "j": table["j"], "mask": table["mask"], "label": pa.array(label, mask=label == 0)})
+
+
+def water_bodies(mask: DataFrame, nx: int, ny: int, wrap: bool = False, tile: int = 64) -> DataFrame:
     """``body_id`` of each wet cell's body, -1 for dry cells.
 
     Bodies are connected by sides; with ``wrap`` the last column touches the first.
-    Numbers follow the first cell of a body in column-major order. Neighbours meet
-    by an equi-join on their index; see ``connected_components`` for the rest.
+    Numbers follow the first cell of a body in column-major order.
+
+    Cells are dealt out by tiles of ``tile`` cells a side, which one task labels at once.
+    Only cells on borders of tiles then meet their neighbours, and only labels that these
+    join are looked at again, see ``connected_components``.
     """
-    wet = mask.where("mask = 1").select("k", "j", _lin(ny))
-    right = F.when(F.lit(wrap) & (F.col("j") == nx), 1).otherwise(F.col("j") + 1)
-    to = F.explode(F.array(F.struct(F.col("k"), right.alias("j")), F.struct((F.col("k") + 1).alias("k"), F.col("j"))))
-    next_ = wet.select(F.col("lin").alias("a"), to.alias("t")).select("a", "t.k", "t.j")
-    edges = next_.join(wet.withColumnRenamed("lin", "b"), ["k", "j"]).select("a", "b")
-    edges = edges.unionByName(wet.select(F.col("lin").alias("a"), F.col("lin").alias("b")))
-    parts = connected_components(edges)
-    names = numbered(parts.select("component").distinct(), "component").select("component", (F.col("n") + 1).cast("int").alias("body_id"))
-    found = parts.join(names, "component").select(F.col("node").alias("lin"), "body_id")
-    return mask.select("k", "j", "mask", _lin(ny)).join(found, "lin", "left").select("k", "j", F.coalesce("body_id", F.lit(-1)).alias("body_id"))
+    ship(mask.sparkSession)
+    kinds = {c: mask.schema[c].dataType.simpleString() for c in ("k", "j", "mask")}
+    placed = mask.select("k", "j", "mask", F.expr(f"(k - 1) div {tile}").alias("tk"), F.expr(f"(j - 1) div {tile}").alias("tj"))
+    kind = ", ".join(f"{c} {t}" for c, t in kinds.items()) + ", label long"
+    cells = materialise(placed.groupBy("tk", "tj").applyInArrow(lambda table: _tile_labels(table, ny), kind), "tiles")
+    wet = cells.where("label is not null")
+    last = F.lit(wrap) & (F.col("j") == nx)
+    right = wet.where(last | (F.col("j") % tile == 0)).select("k", F.when(last, 1).otherwise(F.col("j") + 1).alias("j"), F.col("label").alias("a"))
+    above = wet.where(F.col("k") % tile == 0).select((F.col("k") + 1).alias("k"), "j", F.col("label").alias("a"))
+    edges = right.unionByName(above).join(wet.where(f"(j - 1) % {tile} = 0 or (k - 1) % {tile} = 0").select("k", "j", F.col("label").alias("b")), ["k", "j"])
+    joined = connected_components(edges.select("a", "b").distinct())
+    labels = wet.select("label").distinct().join(joined.toDF("label", "component"), "label", "left")
+    labels = materialise(labels.select("label", F.coalesce("component", "label").alias("component")), "labels")
+    names = numbered(labels.select("component").distinct(), "component").select("component", (F.col("n") + 1).cast("int").alias("body_id"))
+    found = broadcast_if_small(materialise(labels.join(names, "component").select("label", "body_id"), "bodies"))
+    return cells.join(found, "label", "left").select("k", "j", F.coalesce("body_id", F.lit(-1)).alias("body_id"))
 
 
 def body_sizes(bodies: DataFrame) -> DataFrame:
