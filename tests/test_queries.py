@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidegrid.plans import catalogue
 
@@ -29,3 +30,30 @@ def test_equals_sql(spark, tables, name):
     ours = sorted(tuple(r[c] for c in columns) for r in found.collect())
     theirs = sorted(tuple(dict(zip(wanted.columns, r))[c] for c in columns) for r in wanted.fetchall())
     assert ours == theirs
+
+
+#: Rows that show what a query is for, and how many there are at least.
+CASES = {
+    "poly_cover": ("true", 1),
+    "poly_grazing": ("grazing", 3),
+    "poly_split_tiles": ("true", 20),
+    "poly_clip_rings": ("not whole", 50),
+    "pipeline_regional": ("sx > 0 and sx < 1000000 and sy > 0", 3),
+    "lake_min_size": ("mask = 1", 10),
+    "obstr_ob2": ("sx > 0 or sy > 0", 1),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CASES))
+def test_rows_show_the_case(spark, name):
+    condition, least = CASES[name]
+    assert catalogue.queries()[name](spark, SF_DIR).where(condition).count() >= least
+
+
+def test_boundary_nodes_lie_across_the_seam(spark):
+    """Some nodes of the boundary are between the parent's last column, at 345 degrees, and its first."""
+    bounded = catalogue._bounded(spark, "/root/testdata/sf0.01").where("mask = 2")
+    turn = F.pmod(F.lit(309.6) + 14.4 * (F.col("j") - 1) - 15, F.lit(360.0)) / 30
+    assert bounded.where((turn > 11) & (turn < 12)).count() > 3
+    supported = catalogue.queries()["nested_parent_wrap"](spark, "/root/testdata/sf0.01").where("mask = 2")
+    assert supported.count() > 0

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import total_length
-from tidegrid.operators import bathymetry, grids, masks, nesting, obstruction, polygons
+from tidegrid.operators import bathymetry, grids, masks, nesting, obstruction, polygons, rings
 from tidegrid.plans import fixtures as fx
 from tidegrid.plans.fixtures import with_
 from tidegrid.plans.shared import materialise, new_folder
@@ -301,16 +301,16 @@ def poly_vertex_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polygons.vertex_flags(fx.polygons(spark, sf_dir), fx.BOX)
 
 
-_TOUCHED = "f AS (SELECT poly_id, seq, vx, vy, vx BETWEEN 1.0078125 AND 5.0078125 AND vy BETWEEN 0.26171875 AND 4.01171875 AS w FROM vertex WHERE seq < 8)"
+_TOUCHED = "f AS (SELECT poly_id, seq, vx, vy, vx BETWEEN 1.0078125 AND 5.0078125 AND vy BETWEEN 0.26171875 AND 4.01171875 AS w FROM tip WHERE seq < 8)"
 
 
 @query(
-    with_("vertex", extra=_TOUCHED + ", o AS (SELECT *, w AND (vx IN (1.0078125, 5.0078125) OR vy IN (0.26171875, 4.01171875)) AS e FROM f)")
+    with_("tip", extra=_TOUCHED + ", o AS (SELECT *, w AND (vx IN (1.0078125, 5.0078125) OR vy IN (0.26171875, 4.01171875)) AS e FROM f)")
     + "SELECT o.poly_id, o.seq, o.w AS in_box, o.e AS on_box, o.e AND NOT a.w AND NOT b.w AS grazing FROM o JOIN f a ON a.poly_id = o.poly_id AND a.seq = (o.seq + 7) % 8 JOIN f b ON b.poly_id = o.poly_id AND b.seq = (o.seq + 1) % 8"
 )
 def poly_grazing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A box on whose sides vertices lie, some of them alone."""
-    return polygons.vertex_flags(fx.polygons(spark, sf_dir), fx.TOUCHED)
+    """Stars some of whose points touch a side of the box from outside."""
+    return polygons.vertex_flags(fx.tips(spark, sf_dir), fx.TOUCHED)
 
 
 _CROSSED = _FLAGGED + ", e AS (SELECT a.poly_id, b.seq, a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS by_, a.w AS aw FROM f a JOIN f b ON b.poly_id = a.poly_id AND b.seq = a.seq + 1 WHERE a.w <> b.w)"
@@ -359,9 +359,11 @@ def poly_long_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("poly_id", "seq", "way", micro("x").alias("x"), micro("y").alias("y"))
 
 
-@query(with_("users") + "SELECT poly_id FROM users WHERE abs(2.5 - x) <= r AND abs(2.6 - x) <= r AND abs(0.4 - y) <= r AND abs(0.5 - y) <= r AND greatest(abs(2.5 - x), abs(2.6 - x)) + greatest(abs(0.4 - y), abs(0.5 - y)) <= 1.5 * r")
+@query(with_("users") + "SELECT poly_id FROM users, size WHERE abs(3 - x) + 0.05 <= r AND abs(n * 0.03125 - y) + 0.05 <= r AND abs(3 - x) + abs(n * 0.03125 - y) + 0.1 <= 1.5 * r")
 def poly_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return polygons.covers_box(fx.user_polygons(spark, sf_dir), (2.5, 2.6, 0.4, 0.5)).select("poly_id")
+    """A box of a tenth of a degree in the middle, which some polygons cover."""
+    y = _middle(spark, sf_dir)
+    return polygons.covers_box(fx.user_polygons(spark, sf_dir), (2.95, 3.05, y - 0.05, y + 0.05)).select("poly_id")
 
 
 # Sutherland and Hodgman's half-plane clipping, side by side, as an independent way
@@ -388,7 +390,7 @@ def _clipped_sql(source: str, box: tuple[float, float, float, float]) -> str:
             _half_plane("h1", "h2", "vx", east, "<="),
             _half_plane("h2", "h3", "vy", south, ">="),
             _half_plane("h3", "h4", "vy", north, "<="),
-            "l AS (SELECT poly_id, vx, vy, lead(vx) OVER w AS nx, lead(vy) OVER w AS ny FROM h4 WINDOW w AS (PARTITION BY poly_id ORDER BY seq))",
+            "l AS (SELECT poly_id, seq, vx, vy, lead(vx) OVER w AS nx, lead(vy) OVER w AS ny FROM h4 WINDOW w AS (PARTITION BY poly_id ORDER BY seq))",
         ]
     )
 
@@ -400,9 +402,13 @@ def _areas(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("poly_id").agg(micro(F.sum(polygons.ring_area(F.col("ring")))).alias("area"))
 
 
+def _row_areas(edges: DataFrame) -> DataFrame:
+    return rings.areas(edges, "poly_id").select("poly_id", micro("area").alias("area"))
+
+
 @query(with_("vertex", extra=_clipped_sql("vertex", fx.BOX)) + _AREAS)
 def poly_clip_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _areas(polygons.clip(fx.polygons(spark, sf_dir), fx.BOX))
+    return _row_areas(polygons.clip_rows(fx.polygons(spark, sf_dir), fx.BOX))
 
 
 @query(with_("vertex", extra=_clipped_sql("vertex WHERE poly_id IN (SELECT poly_id FROM vertex WHERE vx BETWEEN 1 AND 5 AND vy BETWEEN 0.2 AND 4)", fx.BOX)) + _AREAS)
@@ -414,26 +420,36 @@ def poly_clip_area_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_("star", extra=_clipped_sql("star", fx.BOX)) + _AREAS)
 def poly_clip_concave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stars: parts without a vertex in the box, and several parts of one polygon."""
-    return _areas(polygons.clip(fx.shores(spark, sf_dir), fx.BOX))
+    return _row_areas(polygons.clip_rows(fx.shores(spark, sf_dir), fx.BOX))
 
 
 @query(with_("star", extra=_clipped_sql("star", fx.BOX)) + _AREAS)
 def poly_two_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts of two halves of a domain, put together."""
     west, east, south, north = fx.BOX
-    halves = [polygons.clip(fx.shores(spark, sf_dir), box) for box in ((west, 3.0, south, north), (3.0, east, south, north))]
-    return _areas(halves[0].unionByName(halves[1]))
+    halves = [polygons.clip_rows(fx.shores(spark, sf_dir), box) for box in ((west, 3.0, south, north), (3.0, east, south, north))]
+    return _row_areas(halves[0].unionByName(halves[1]))
+
+
+# in SQL a ring begins with its least vertex, and vertices that half-planes find twice are one
+_ORDERED = """c AS (SELECT poly_id, seq, floor(vx * 1e6 + 0.5)::BIGINT AS x, floor(vy * 1e6 + 0.5)::BIGINT AS y FROM l
+  WHERE nx IS NOT NULL AND poly_id IN (SELECT poly_id FROM l WHERE nx IS NOT NULL GROUP BY poly_id HAVING abs(sum(vx * ny - nx * vy)) > 1e-9)),
+u AS (SELECT * FROM (SELECT *, lag(ROW(x, y)) OVER w AS z, last_value(ROW(x, y)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS e, row_number() OVER w AS pos FROM c WINDOW w AS (PARTITION BY poly_id ORDER BY seq))
+  WHERE ROW(x, y) <> CASE WHEN pos = 1 THEN e ELSE z END),
+r AS (SELECT poly_id, x, y, row_number() OVER (PARTITION BY poly_id ORDER BY seq) AS pos, count(*) OVER (PARTITION BY poly_id) AS n FROM u),
+s AS (SELECT *, min_by(pos, ROW(x, y)) OVER (PARTITION BY poly_id) AS b FROM r)"""
 
 
 @query(
-    with_("vertex", extra=_clipped_sql("vertex", fx.BOX))
-    + f"SELECT DISTINCT l.poly_id, level, 0::INT AS part, {_WITHIN} AS whole, {m('vx', 'x')}, {m('vy', 'y')} FROM l JOIN poly ON poly.poly_id = l.poly_id WHERE l.poly_id IN (SELECT poly_id FROM l WHERE nx IS NOT NULL GROUP BY poly_id HAVING abs(sum(vx * ny - nx * vy)) > 1e-9)"
+    with_("vertex", extra=f"{_clipped_sql('vertex', fx.BOX)}, {_ORDERED}")
+    + f"SELECT s.poly_id, level, 0::INT AS part, {_WITHIN.replace('x -', 'poly.x -').replace('x +', 'poly.x +').replace('y -', 'poly.y -').replace('y +', 'poly.y +')} AS whole, (pos - b + s.n) % s.n AS seq, s.x, s.y FROM s JOIN poly ON poly.poly_id = s.poly_id"
 )
 def poly_clip_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vertices of clipped rings; no side of these is long enough for more points."""
-    clipped = polygons.densify(polygons.clip(fx.polygons(spark, sf_dir), fx.BOX))
-    points = clipped.select("poly_id", "level", "part", "whole", F.explode("ring").alias("p"))
-    return points.select("poly_id", "level", "part", "whole", micro("p.x").alias("x"), micro("p.y").alias("y")).distinct()
+    """The vertices of clipped rings in their order, from the least one on."""
+    edges = polygons.clip_rows(fx.polygons(spark, sf_dir), fx.BOX)
+    least = edges.groupBy("poly_id", "part").agg(F.min(F.struct(micro("ax").alias("x"), micro("ay").alias("y"), "i")).alias("b"))
+    seq = F.pmod(F.col("i") - F.col("b.i"), F.col("n")).alias("seq")
+    return edges.join(least, ["poly_id", "part"]).select("poly_id", "level", "part", "whole", seq, micro("ax").alias("x"), micro("ay").alias("y"))
 
 
 _DENSE = """e AS (SELECT a.poly_id, a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS by_, sqrt(pow(b.vx - a.vx, 2) + pow(b.vy - a.vy, 2)) AS d FROM uv a JOIN uv b ON b.poly_id = a.poly_id AND b.seq = a.seq + 1),
@@ -446,11 +462,11 @@ def poly_densify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    with_("users", extra="b AS (SELECT poly_id, floor(x - r) AS w, ceil(x + r) AS e, floor(y - r) AS s, ceil(y + r) AS n FROM users WHERE 2 * r > 1), c AS (SELECT *, unnest(range(0, ceil((e - w) / 0.75)::INT)) AS a FROM b), t AS (SELECT *, unnest(range(0, ceil((n - s) / 0.75)::INT)) AS o FROM c)")
+    with_("users", extra="b AS (SELECT poly_id, floor(x - r) AS w, ceil(x + r) AS e, floor(y - r) AS s, ceil(y + r) AS n FROM users WHERE 2 * r > 0.75), c AS (SELECT *, unnest(range(0, ceil((e - w) / 0.75)::INT)) AS a FROM b), t AS (SELECT *, unnest(range(0, ceil((n - s) / 0.75)::INT)) AS o FROM c)")
     + "SELECT poly_id, w + a * 0.75 AS west, least(w + (a + 1) * 0.75, e) AS east, s + o * 0.75 AS south, least(s + (o + 1) * 0.75, n) AS north FROM t"
 )
 def poly_split_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = polygons.measured(fx.user_polygons(spark, sf_dir)).where("width > 1")
+    known = polygons.measured(fx.user_polygons(spark, sf_dir))
     ends = [F.col(c).cast("double").alias(n) for c, n in (("tx.a", "west"), ("tx.b", "east"), ("ty.a", "south"), ("ty.b", "north"))]
     return polygons.split_tiles(known, 0.75).select("poly_id", *ends)
 
@@ -458,7 +474,20 @@ def poly_split_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_("shores") + f"SELECT poly_id, {m('r * r', 'area')} FROM shores")
 def poly_split_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stars cut at tiles, in many of which they have no vertex: the pieces make up the whole."""
-    return _areas(polygons.split(fx.shores(spark, sf_dir), 0.75))
+    return _row_areas(polygons.split_rows(fx.shores(spark, sf_dir), 0.75))
+
+
+@query(
+    with_("coast", extra="e AS (SELECT a.ax, a.ay, b.ax AS bx, b.ay AS by_ FROM coast a JOIN coast b ON b.i = (a.i + 1) % a.n), t AS (SELECT floor(ax / 0.75)::INT AS tx, floor(ay / 0.75)::INT AS ty FROM coast)")
+    + f"SELECT {m('sum(ax * by_ - bx * ay) / 2', 'area')}, (SELECT count(DISTINCT ROW(tx, ty)) FROM t) AS shore_tiles, (SELECT count(*) FROM t) AS vertices FROM e"
+)
+def poly_split_coast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon with as many vertices as there are events: the area of its tiles, the tiles that have vertices, and these."""
+    edges = materialise(fx.coast(spark, sf_dir), "coast")
+    tiles = materialise(rings.split_edges(edges, 0.75), "tiles")
+    own = tiles.join(edges.select("ax", "ay"), ["ax", "ay"], "left_semi")
+    tile = F.struct(F.floor(F.col("ax") / 0.75), F.floor(F.col("ay") / 0.75))
+    return tiles.agg(micro(F.sum(F.expr("ax * by - bx * ay")) / 2).alias("area")).crossJoin(own.agg(F.countDistinct(tile).alias("shore_tiles"), F.countDistinct("ax", "ay").alias("vertices")))
 
 
 @query(with_("users") + "SELECT poly_id, s_name AS label FROM users WHERE poly_id % 2 = 1")
@@ -497,12 +526,10 @@ _LAND = "land AS (SELECT * FROM poly WHERE level = 1)"
 _USED = "used AS (SELECT * FROM users WHERE poly_id % 2 = 1)"
 _CLEAN = f"{_SAMPLES}, {_LAND}, {_clean_sql('mask', 'clean', 'land')}"
 _CLEAN2 = f"{_CLEAN}, {_USED}, {_clean_sql('clean', 'clean2', 'used')}"
-#: Side of the pieces that polygons are cut into before masks are cleaned.
-PIECE = 0.25
 
 
 def _cleaned(spark: SparkSession, sf_dir: str, cells: DataFrame) -> DataFrame:
-    land = polygons.split(polygons.of_level(fx.polygons(spark, sf_dir)), PIECE)
+    land = polygons.of_level(fx.polygons(spark, sf_dir))
     return masks.clean_mask(cells, materialise(_mask(spark, sf_dir), "mask"), land, 0.3, 0.25, TILE)
 
 
@@ -588,9 +615,9 @@ def lake_enable(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- obstruction ----
 
 
-def _extents_sql(mask: str) -> str:
+def _extents_sql(mask: str, shapes: str = "vertex") -> str:
     span = lambda v, c: f"greatest(0, least(1, (min({v}) - ({c} - 0.125)) / 0.25)) AS {{0}}_lo, greatest(0, least(1, (max({v}) - ({c} - 0.125)) / 0.25)) AS {{0}}_hi"
-    return f"ext AS (SELECT g.k, g.j, poly_id, {span('vy', 'lat').format('x')}, {span('vx', 'lon').format('y')} FROM grid g JOIN {mask} m ON m.k = g.k AND m.j = g.j AND m.mask <> 0 JOIN vertex ON vx BETWEEN lon - 0.125 AND lon + 0.125 AND vy BETWEEN lat - 0.125 AND lat + 0.125 GROUP BY g.k, g.j, poly_id, lon, lat)"
+    return f"ext AS (SELECT g.k, g.j, poly_id, {span('vy', 'lat').format('x')}, {span('vx', 'lon').format('y')} FROM grid g JOIN {mask} m ON m.k = g.k AND m.j = g.j AND m.mask <> 0 JOIN {shapes} ON vx BETWEEN lon - 0.125 AND lon + 0.125 AND vy BETWEEN lat - 0.125 AND lat + 0.125 GROUP BY g.k, g.j, poly_id, lon, lat)"
 
 
 def _merge_sql(axis: str) -> str:
@@ -764,8 +791,8 @@ def nested_parent_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _supported(spark, sf_dir).select("k", "j", "mask")
 
 
-# the grid goes round the globe here, and its parent has twelve columns from 15 degrees
-_AROUND = "around AS (SELECT k, j, 1.8::DOUBLE + 14.4::DOUBLE * (j - 1) AS lon, lat, mask FROM bound)"
+# the grid goes round the globe here, and its parent has twelve columns from 15 degrees; the zone lies across the seam
+_AROUND = "around AS (SELECT k, j, (309.6::DOUBLE + 14.4::DOUBLE * (j - 1)) % 360 AS lon, lat, mask FROM bound)"
 
 
 def _around_sql() -> str:
@@ -778,8 +805,8 @@ def _around_sql() -> str:
 
 @query(with_("mask", extra=f"{_ZONE}, {_boundary_sql('zone', 'bound')}, {_PARENT}, {_AROUND}, {_around_sql()}") + "SELECT k, j, mask FROM turned")
 def nested_parent_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A parent that closes in longitude."""
-    around = _bounded(spark, sf_dir).withColumn("lon", F.lit(1.8) + 14.4 * (F.col("j") - 1))
+    """A parent that closes in longitude, between whose last and first column some boundary nodes lie."""
+    around = _bounded(spark, sf_dir).withColumn("lon", F.pmod(F.lit(309.6) + 14.4 * (F.col("j") - 1), F.lit(360.0)))
     return nesting.parent_support(around, _parent(spark, sf_dir), 15.0, 0.25, 30.0, 0.5, 12, fx.rows(spark, sf_dir) // 8, wrap=True).select("k", "j", "mask")
 
 
@@ -899,18 +926,22 @@ def export_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LARGEST = "final AS (SELECT m.k, m.j, (CASE WHEN body_id IN (SELECT body_id FROM body GROUP BY body_id ORDER BY count(*) DESC, body_id LIMIT 1) THEN 1 ELSE 0 END)::INT AS mask FROM clean2 m LEFT JOIN body b ON b.k = m.k AND b.j = m.j)"
 
 
+_SEA = [_SAMPLES, _clean_sql("sea", "clean", "isles"), _clean_sql("clean", "clean2", "reefs"), _bodies_sql("clean2", 25), _LARGEST, _extents_sql("final", "shoal")]
+
+
 @query(
-    with_("mask", "vertex", "users", extra=", ".join([_CLEAN2, _bodies_sql("clean2", 25), _LARGEST, _extents_sql("final"), _merge_sql("x"), _merge_sql("y"), _value_sql("x", "final", 1, 1), _value_sql("y", "final", 1, 1)]), recursive=True)
-    + f"SELECT f.k, f.j, {m('depth', 'depth')}, f.mask, {m('x.v', 'sx')}, {m('y.v', 'sy')} FROM final f JOIN cellavg c ON c.k = f.k AND c.j = f.j JOIN valx x ON x.k = f.k AND x.j = f.j JOIN valy y ON y.k = f.k AND y.j = f.j"
+    with_("sea", "shoal", "reefs", extra=", ".join([*_SEA, _merge_sql("x"), _merge_sql("y"), _value_sql("x", "final", 1, 1), _value_sql("y", "final", 1, 1)]), recursive=True)
+    + f"SELECT f.k, f.j, {m('depth', 'depth')}, f.mask, {m('x.v', 'sx')}, {m('y.v', 'sy')} FROM final f JOIN seaavg c ON c.k = f.k AND c.j = f.j JOIN valx x ON x.k = f.k AND x.j = f.j JOIN valy y ON y.k = f.k AND y.j = f.j"
 )
 def pipeline_regional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Depth, mask and obstruction of a regional grid: average, clean twice, largest body, obstruction."""
+    """Depth, mask and obstruction of a regional grid: average, clean twice, largest body, obstruction by its islands."""
     cells = materialise(fx.grid_cells(spark, sf_dir), "cells")
-    shores = fx.polygons(spark, sf_dir)
-    depth = materialise(bathymetry.cell_average(fx.bathy(spark, sf_dir), cells, 0.0, 0.7, DRY, TILE), "depth")
+    shores = materialise(fx.isles(spark, sf_dir), "shores")
+    depth = materialise(bathymetry.cell_average(fx.bathy(spark, sf_dir), cells, 0.0, 0.5, DRY, TILE), "depth")
     mask = masks.initial_mask(depth, DRY).select("k", "j", "mask")
-    mask = materialise(masks.clean_mask(cells, mask, polygons.split(polygons.of_level(shores), PIECE), 0.3, 0.25, TILE), "mask")
-    mask = materialise(masks.clean_mask(cells, mask, _enabled(spark, sf_dir), 0.3, 0.25, TILE), "mask")
+    mask = materialise(masks.clean_mask(cells, mask, polygons.of_level(shores), 0.3, 0.25, TILE), "mask")
+    reefs = polygons.enabled(fx.reefs(spark, sf_dir), fx.flags(spark, sf_dir)).select("poly_id", "ring")
+    mask = materialise(masks.clean_mask(cells, mask, reefs, 0.3, 0.25, TILE), "mask")
     mask = materialise(masks.keep_bodies(masks.water_bodies(mask, 25, fx.rows(spark, sf_dir) // 4), -1), "mask")
     blocked = obstruction.sub_grid(shores, cells, mask, TILE, 1, 1)
     return depth.join(mask, ["k", "j"]).join(blocked, ["k", "j"]).select("k", "j", micro("depth").alias("depth"), "mask", micro("sx").alias("sx"), micro("sy").alias("sy"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,8 +73,39 @@ def shores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "supplier").select(key.alias("poly_id"), F.lit(1).alias("level"), ring.alias("ring"))
 
 
+def _scaled(table: DataFrame, key: str, r: Column, n: int, shape: list[tuple[float, float]]) -> DataFrame:
+    x, y = (F.col(key) * 37 % 100) * STEP + 1 / 128, (F.col(key) * 7 % n) * STEP + 3 / 256
+    return table.select(F.col(key).alias("poly_id"), F.lit(1).alias("level"), F.array(*[point(x + r * a, y + r * b) for a, b in shape]).alias("ring"))
+
+
+def tips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small stars, some of whose points touch a side of TOUCHED from outside."""
+    return _scaled(_table(spark, sf_dir, "customer"), "c_custkey", (F.col("c_nationkey") % 4 + 1) / 4, rows(spark, sf_dir), STAR)
+
+
+def isles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Islands smaller than a cell."""
+    cents = F.floor(F.abs(F.col("c_acctbal")) * 100 + 0.5).cast("long")
+    return _scaled(_table(spark, sf_dir, "customer"), "c_custkey", (cents % 7 + 1) / 128, rows(spark, sf_dir), OCTAGON)
+
+
+def reefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User polygons of about a cell."""
+    return _scaled(_table(spark, sf_dir, "supplier"), "s_suppkey", (F.col("s_nationkey") % 5 + 2) / 32, rows(spark, sf_dir), OCTAGON)
+
+
+def coast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One polygon with a vertex for each event, as rows of edges."""
+    e = _table(spark, sf_dir, "events").select(F.col("event_id").alias("i"), (2 + F.col("value") % 1).alias("r"))
+    n = rows(spark, sf_dir) * 100
+    at = lambda v, f: (3 + F.col("r") * f(F.col("i") * (2 * math.pi / n))).alias(v)
+    a = e.where(F.col("i") < n).select("i", at("ax", F.cos), at("ay", F.sin))
+    edges = a.join(a.select(F.pmod(F.col("i") - 1, F.lit(n)).alias("i"), F.col("ax").alias("bx"), F.col("ay").alias("by")), "i")
+    return edges.select(F.lit("0").alias("piece"), F.lit(0).alias("poly_id"), F.lit(1).alias("level"), "i", F.lit(n).cast("long").alias("n"), "ax", "ay", "bx", "by")
+
+
 BOX = (1.0, 5.0, 0.2, 4.0)
-#: A box on whose sides some vertices of octagons lie.
+#: A box on whose sides some vertices lie.
 TOUCHED = (1.0078125, 5.0078125, 0.26171875, 4.01171875)
 
 #: The same fixtures for DuckDB, as common table expressions.
@@ -85,11 +118,18 @@ CTE = {
     "corner": "corner AS (SELECT * FROM (VALUES (0, 1.0::DOUBLE, -0.5::DOUBLE), (1, 1, 0.5), (2, 0.5, 1), (3, -0.5, 1), (4, -1, 0.5), (5, -1, -0.5), (6, -0.5, -1), (7, 0.5, -1), (8, 1, -0.5)) t(seq, a, b))",
     "shores": "shores AS (SELECT s_suppkey AS poly_id, (s_suppkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 AS x, (s_suppkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 AS y, (s_nationkey % 3 + 1)::DOUBLE AS r FROM supplier, size)",
     "star": "star AS (SELECT poly_id, seq, x + r * a AS vx, y + r * b AS vy FROM shores, (VALUES (0, 1.0::DOUBLE, 0.0::DOUBLE), (1, 0.25, 0.25), (2, 0, 1), (3, -0.25, 0.25), (4, -1, 0), (5, -0.25, -0.25), (6, 0, -1), (7, 0.25, -0.25), (8, 1, 0)) t(seq, a, b))",
+    "tip": "tip AS (SELECT c_custkey AS poly_id, seq, (c_custkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 + (c_nationkey % 4 + 1) / 4.0::DOUBLE * a AS vx, (c_custkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 + (c_nationkey % 4 + 1) / 4.0::DOUBLE * b AS vy FROM customer, size, (VALUES (0, 1.0::DOUBLE, 0.0::DOUBLE), (1, 0.25, 0.25), (2, 0, 1), (3, -0.25, 0.25), (4, -1, 0), (5, -0.25, -0.25), (6, 0, -1), (7, 0.25, -0.25), (8, 1, 0)) t(seq, a, b))",
+    "isles": "isles AS (SELECT c_custkey AS poly_id, 1 AS level, (c_custkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 AS x, (c_custkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 AS y, (floor(abs(c_acctbal) * 100 + 0.5)::BIGINT % 7 + 1) / 128.0::DOUBLE AS r FROM customer, size)",
+    "shoal": "shoal AS (SELECT poly_id, level, seq, x + r * a AS vx, y + r * b AS vy FROM isles, corner)",
+    "reefs": "reefs AS (SELECT s_suppkey AS poly_id, (s_suppkey * 37 % 100) * 0.0625::DOUBLE + 1.0::DOUBLE / 128 AS x, (s_suppkey * 7 % n) * 0.0625::DOUBLE + 3.0::DOUBLE / 256 AS y, (s_nationkey % 5 + 2) / 32.0::DOUBLE AS r FROM supplier, size WHERE s_suppkey % 2 = 1)",
+    "coast": "coast AS (SELECT event_id AS i, 3 + (2 + value % 1) * cos(event_id * (2 * pi() / (n * 100))) AS ax, 3 + (2 + value % 1) * sin(event_id * (2 * pi() / (n * 100))) AS ay, n * 100 AS n FROM events, size WHERE event_id < n * 100)",
+    "seaavg": "seaavg AS (SELECT k, j, CASE WHEN count(z) FILTER (z <= 0) > 0.5 * count(z) THEN avg(z) FILTER (z <= 0) ELSE 999999 END AS depth FROM grid g LEFT JOIN bathy b ON b.lon BETWEEN g.lon - 0.125 AND g.lon + 0.125 AND b.lat BETWEEN g.lat - 0.125 AND g.lat + 0.125 GROUP BY k, j)",
+    "sea": "sea AS (SELECT k, j, (CASE WHEN depth = 999999 THEN 0 ELSE 1 END)::INT AS mask FROM seaavg)",
     "vertex": "vertex AS (SELECT poly_id, level, seq, x + r * a AS vx, y + r * b AS vy FROM poly, corner)",
     "cellavg": "cellavg AS (SELECT k, j, count(z) AS n, count(z) FILTER (z <= 0) AS n_wet, CASE WHEN count(z) FILTER (z <= 0) > 0.7 * count(z) THEN avg(z) FILTER (z <= 0) ELSE 999999 END AS depth FROM grid g LEFT JOIN bathy b ON b.lon BETWEEN g.lon - 0.125 AND g.lon + 0.125 AND b.lat BETWEEN g.lat - 0.125 AND g.lat + 0.125 GROUP BY k, j)",
     "mask": "mask AS (SELECT k, j, (CASE WHEN depth = 999999 THEN 0 ELSE 1 END)::INT AS mask FROM cellavg)",
 }
-_NEEDS = {"grid": ["size"], "poly": ["size"], "users": ["size"], "shores": ["size"], "star": ["shores"], "vertex": ["poly", "corner"], "cellavg": ["grid", "bathy"], "mask": ["cellavg"]}
+_NEEDS = {"grid": ["size"], "poly": ["size"], "users": ["size"], "shores": ["size"], "tip": ["size"], "isles": ["size"], "shoal": ["isles", "corner"], "reefs": ["size"], "coast": ["size"], "seaavg": ["grid", "bathy"], "sea": ["seaavg"], "star": ["shores"], "vertex": ["poly", "corner"], "cellavg": ["grid", "bathy"], "mask": ["cellavg"]}
 
 
 def with_(*names: str, extra: str = "", recursive: bool = False) -> str:
