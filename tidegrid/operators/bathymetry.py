@@ -8,24 +8,30 @@ from pyspark.sql import functions as F
 from tidegrid.functions.geometry import inside, ring_box, with_tile, with_tiles
 
 
-def window(bathy: DataFrame, lon0: float, lat0: float, dx: float, dy: float, nx: int, ny: int, box: tuple[float, float, float, float], cell: tuple[float, float]) -> DataFrame:
-    """Base points within two cells of ``box`` (lon_start, lon_end, lat_start, lat_end).
+def window_bounds(lon0: float, lat0: float, dx: float, dy: float, nx: int, ny: int, box: tuple[float, float, float, float], cell: tuple[float, float]) -> tuple[int, int, int, int]:
+    """First and last column and row, from 0, within two cells of ``box`` (lon_start, lon_end, lat_start, lat_end).
 
-    A box outside the base raster is an error. Indices count from 0; the filter is on
-    stored columns and reaches the scan. A box whose west lies beyond its east crosses
-    the ends of a raster that goes round: both ends are read (S1c).
+    A box outside the base raster is an error.
     """
     west, east, south, north = box
     if min(west, east) < lon0 or south < lat0 or max(west, east) > lon0 + dx * (nx - 1) or north > lat0 + dy * (ny - 1):
         raise ValueError("the target reaches beyond the base raster")
     low = lambda a, base, d, c: max(0, int((a - 2 * c - base) // d))
     high = lambda a, base, d, c, n: min(n - 1, -int(-(a + 2 * c - base) // d))
-    first, last = low(west, lon0, dx, cell[0]), high(east, lon0, dx, cell[0], nx)
-    across = F.col("ilon").between(first, last) if west <= east else (F.col("ilon") >= first) | (F.col("ilon") <= last)
-    return bathy.where(
-        across
-        & F.col("ilat").between(low(south, lat0, dy, cell[1]), high(north, lat0, dy, cell[1], ny))
-    )
+    return low(west, lon0, dx, cell[0]), high(east, lon0, dx, cell[0], nx), low(south, lat0, dy, cell[1]), high(north, lat0, dy, cell[1], ny)
+
+
+def window(bathy: DataFrame, lon0: float, lat0: float, dx: float, dy: float, nx: int, ny: int, box: tuple[float, float, float, float], cell: tuple[float, float]) -> DataFrame:
+    """Base points within two cells of ``box``.
+
+    The filter is on ``ilon`` and ``ilat``; where these are stored it reaches the scan, and
+    in the layout of ``rasters.write_raster`` only row groups that the window touches are
+    read. A box whose west lies beyond its east crosses the ends of a raster that goes
+    round: both ends are read (S1c).
+    """
+    first, last, low, high = window_bounds(lon0, lat0, dx, dy, nx, ny, box, cell)
+    across = F.col("ilon").between(first, last) if box[0] <= box[1] else (F.col("ilon") >= first) | (F.col("ilon") <= last)
+    return bathy.where(across & F.col("ilat").between(low, high))
 
 
 def unique_longitudes(bathy: DataFrame) -> DataFrame:

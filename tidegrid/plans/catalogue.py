@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidegrid.operators import bathymetry, grids, masks, nesting, obstruction, p
 from tidegrid.plans import fixtures as fx
 from tidegrid.plans.fixtures import with_
 from tidegrid.plans.shared import materialise, new_folder
-from tidegrid.sources import rasters, text
+from tidegrid.sources import netcdf, rasters, text
 
 FLAGSHIP = "pipeline_regional"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -921,6 +922,39 @@ def export_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.ranges(fx.bathy(spark, sf_dir), ["lon", "lat", "z"])
 
 
+_BLOCKED = "blocked AS (SELECT k, j, depth AS z, mask, mask * 0.5 AS sx, mask * 0.25 AS sy FROM cellavg JOIN mask USING (k, j) WHERE (k + j) % 5 > 0)"
+
+
+@query(with_("mask", extra=_BLOCKED) + "SELECT (j - 1)::INT AS ilon, (k - 1)::INT AS ilat, (0.09375 + 0.25::DOUBLE * (j - 1))::FLOAT::DOUBLE AS lon, (0.09375 + 0.25::DOUBLE * (k - 1))::FLOAT::DOUBLE AS lat, v.name, v.z::FLOAT::DOUBLE AS z FROM grid LEFT JOIN blocked USING (k, j), LATERAL (SELECT unnest(['z', 'mask', 'sx', 'sy']) AS name, unnest([blocked.z, blocked.mask, sx, sy]) AS z) v")
+def netcdf_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: depth, mask and obstruction as one NetCDF file, each variable read back; cells that the grid has not are empty."""
+    ny = fx.rows(spark, sf_dir) // 4
+    depth = _average(spark, sf_dir).where("(k + j) % 5 > 0").select("k", "j", F.col("depth").alias("z"))
+    grid = depth.withColumn("mask", F.when(F.col("z") == DRY, 0).otherwise(1)).withColumns({"sx": F.col("mask") * 0.5, "sy": F.col("mask") * 0.25})
+    path = new_folder(spark, "grid") + ".nc"
+    netcdf.write_netcdf(materialise(grid, "grid"), [0.09375 + 0.25 * j for j in range(25)], [0.09375 + 0.25 * k for k in range(ny)], path, 25, ny, -1e30)
+    each = [netcdf.read_netcdf(spark, path, ("lon", "lat", name), slab=4096).withColumn("name", F.lit(name)) for name in ("z", "mask", "sx", "sy")]
+    return reduce(DataFrame.unionByName, each)
+
+
+@query(with_("bathy") + "SELECT ilon, ilat, z::DOUBLE AS z FROM bathy WHERE ilon BETWEEN 12 AND 69 AND ilat BETWEEN 0 AND 16 AND ilat <= 17")
+def netcdf_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same window as bathy_window, of a NetCDF file, of which only its slabs are read."""
+    n = fx.rows(spark, sf_dir)
+    raster = fx.bathy(spark, sf_dir).select((F.col("ilat") + 1).alias("k"), (F.col("ilon") + 1).alias("j"), "z")
+    path = new_folder(spark, "base") + ".nc"
+    netcdf.write_netcdf(raster, [i * fx.STEP for i in range(100)], [i * fx.STEP for i in range(n)], path, 100, n)
+    return netcdf.read_window(spark, path, (1.25, 3.8, 0.2, 0.5), (0.25, 0.25)).select("ilon", "ilat", "z")
+
+
+@query(with_("poly") + "SELECT poly_id, level FROM poly WHERE x + r >= 1 AND x - r <= 2 AND y + r >= 0.25 AND y - r <= 0.5")
+def shoreline_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polygons of the nearest resolution whose boxes touch a box."""
+    path = new_folder(spark, "shoreline")
+    rasters.write_shoreline(fx.polygons(spark, sf_dir), "high", path, rows=200)
+    return rasters.read_shoreline(spark, path, "inter", (1.0, 2.0, 0.25, 0.5), nearest=True).select("poly_id", "level")
+
+
 # ---- whole pipelines ----
 
 _LARGEST = "final AS (SELECT m.k, m.j, (CASE WHEN body_id IN (SELECT body_id FROM body GROUP BY body_id ORDER BY count(*) DESC, body_id LIMIT 1) THEN 1 ELSE 0 END)::INT AS mask FROM clean2 m LEFT JOIN body b ON b.k = m.k AND b.j = m.j)"

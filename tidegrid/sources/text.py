@@ -7,6 +7,10 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidegrid.plans.shared import broadcast_if_small, materialise
+from tidegrid.plans.ship import ship
+from tidegrid.sources.ordered import write_ordered
+
 #: Comment lines of a metadata file before its grid type.
 HEADER_LINES = 45
 
@@ -29,12 +33,30 @@ def obstruction_lines(grid: DataFrame, sx: str = "sx", sy: str = "sy") -> DataFr
 
 
 def write_lines(rows: DataFrame, path: str) -> None:
-    """Write ``block, k, line`` in order, as part files whose names keep it."""
-    rows.repartitionByRange("block", "k").sortWithinPartitions("block", "k").select("line").write.mode("overwrite").text(path)
+    """Write ``block, k, line`` in order as one file.
+
+    Rows are dealt out by ranges; the bytes of the ranges before, one row for each, and of
+    the lines before give each line its place, and tasks write them side by side.
+    """
+    order = ["block", "k"]
+    size = F.octet_length("line") + 1
+    before = F.sum(size).over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.select(*order, "line").repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    placed = materialise(placed.withColumn("at", F.coalesce(before, F.lit(0))), "lines")
+    starts = _before(placed.groupBy("part").agg(F.sum(size).alias("n")), "part")
+    ready = placed.join(starts, "part").select((F.col("start") + F.col("at")).alias("offset"), F.encode(F.concat("line", F.lit("\n")), "UTF-8").alias("data"))
+    ship(rows.sparkSession)
+    write_ordered(ready, path)
+
+
+def _before(sizes: DataFrame, *order: str) -> DataFrame:
+    """``order, start``: sums of ``n`` of the rows before, of which there is one for each part of a file or table."""
+    before = F.sum("n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return broadcast_if_small(materialise(sizes.select(*order, F.coalesce(before, F.lit(0)).alias("start")), "starts"))
 
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files that are not blank, in order: ``n`` from 0, ``line``. Files follow each other by name.
+    """Lines of a text file that are not blank, in order: ``n`` from 0, ``line``. Files of a folder follow each other by name.
 
     Lines are numbered within the blocks they are read in; the lines of the blocks
     before, one row for each block, are added.
@@ -42,10 +64,9 @@ def _numbered(spark: SparkSession, path: str) -> DataFrame:
     read = spark.read.text(path).where(F.trim("value") != "")
     block = ["file", "block"]
     read = read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
-    before = F.sum("lines").over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1))
-    starts = read.groupBy(*block).agg(F.count("*").alias("lines")).select(*block, F.coalesce(before, F.lit(0)).alias("start"))
+    starts = _before(read.groupBy(*block).agg(F.count("*").alias("n")), *block)
     at = F.row_number().over(Window.partitionBy(*block).orderBy("id")) - 1
-    return read.withColumn("at", at).join(F.broadcast(starts), block).select((F.col("start") + F.col("at")).alias("n"), F.col("value").alias("line"))
+    return read.withColumn("at", at).join(starts, block).select((F.col("start") + F.col("at")).alias("n"), F.col("value").alias("line"))
 
 
 def read_block(spark: SparkSession, path: str, nx: int, ny: int) -> DataFrame:
