@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import inside, ring_box, with_tile, with_tiles
+from tidegrid.plans.shared import broadcast_if_small, materialise
+
+#: Rounds in which a tile with many points is quartered; points that a tile has without being looked at.
+DEPTH, MOST = 5, 20_000
 
 
 def window_bounds(lon0: float, lat0: float, dx: float, dy: float, nx: int, ny: int, box: tuple[float, float, float, float], cell: tuple[float, float]) -> tuple[int, int, int, int]:
@@ -41,15 +45,62 @@ def unique_longitudes(bathy: DataFrame) -> DataFrame:
     return first.select(F.col("p.lon").alias("lon"), "lat", F.col("p.z").alias("z"))
 
 
-def points_in_cells(points: DataFrame, cells: DataFrame, tile: float) -> DataFrame:
+def dealt_tiles(points: DataFrame, cells: DataFrame, tile: float, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Points ``lon, lat`` and cells ``west, east, south, north`` with ``key``: a point has one, a cell each where one of its points can be.
+
+    A key is a tile of side ``tile``. A tile with more than ``most`` points (a small part of what a
+    task has on average) is quartered, and its quarters again, as far as they hold more; those
+    that still do after ``DEPTH`` rounds, as many points of one place do, are dealt out by
+    chance, with their cells in each share. The counts come from a histogram of all points.
+    """
+    spark = points.sparkSession
+    tiled = with_tile(points, F.col("lon"), F.col("lat"), tile)
+    counts = materialise(tiled.groupBy("tx", "ty").agg(F.count("*").alias("n")), "histogram")
+    if most is None:
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        most = max(MOST, total // (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = materialise(counts.where(F.col("n") > most).select("tx", "ty"), "hot_tiles")
+    boxed = with_tiles(cells, *(F.col(c) for c in ("west", "east", "south", "north")), tile)
+    plain = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.lit(-1).alias("level"), F.lit(0).alias("share"))
+    if hot.isEmpty():
+        return tiled.withColumn("key", plain).drop("tx", "ty"), boxed.withColumn("key", plain).drop("tx", "ty")
+    hot = broadcast_if_small(hot)
+    fine, side = tile / 2**DEPTH, 2**DEPTH
+    small = lambda c, d: (F.floor(c / d)).cast("int")
+
+    warm = tiled.join(hot, ["tx", "ty"], "left_semi").withColumns({"fx": small(F.col("lon"), fine), "fy": small(F.col("lat"), fine)})
+    level = warm.groupBy("fx", "fy").agg(F.count("*").alias("n"))
+    # of each square of the histogram the largest quarter around it that holds few enough
+    for up in range(DEPTH):
+        around = Window.partitionBy(F.shiftright("fx", up), F.shiftright("fy", up))
+        level = level.withColumn(f"n{up}", F.sum("n").over(around))
+    ups = F.coalesce(*[F.when(F.col(f"n{up}") <= most, up) for up in range(DEPTH - 1, -1, -1)], F.lit(0))
+    leaves = level.select("fx", "fy", ups.alias("up"), F.ceil(F.col("n0") / most).cast("int").alias("shares"))
+    leaves = broadcast_if_small(materialise(leaves, "leaves"))
+    key = lambda share: F.struct(F.expr("shiftright(fx, up)").alias("x"), F.expr("shiftright(fy, up)").alias("y"), F.col("up").alias("level"), share.alias("share"))
+    warm = warm.join(leaves, ["fx", "fy"]).withColumn("key", key(F.pmod(F.xxhash64(*points.columns), F.col("shares")).cast("int")))
+    cold = tiled.join(hot, ["tx", "ty"], "left_anti").withColumn("key", plain)
+
+    # a cell's squares within its hot tiles
+    ends = {"ax": F.greatest(small(F.col("west"), fine), F.col("tx") * side), "bx": F.least(small(F.col("east"), fine), F.col("tx") * side + side - 1)}
+    ends |= {"ay": F.greatest(small(F.col("south"), fine), F.col("ty") * side), "by": F.least(small(F.col("north"), fine), F.col("ty") * side + side - 1)}
+    over = boxed.join(hot, ["tx", "ty"], "left_semi").withColumns(ends)
+    over = over.withColumn("fx", F.explode(F.expr("sequence(ax, bx)"))).withColumn("fy", F.explode(F.expr("sequence(ay, by)"))).join(leaves, ["fx", "fy"])
+    over = over.withColumn("key", F.explode(F.transform(F.sequence(F.lit(0), F.col("shares") - 1), key)))
+    over = over.select(*cells.columns, "key").dropDuplicates(["k", "j", "key"])
+    under = boxed.join(hot, ["tx", "ty"], "left_anti").withColumn("key", plain)
+    return cold.select(*points.columns, "key").unionByName(warm.select(*points.columns, "key")), under.select(*cells.columns, "key").unionByName(over)
+
+
+def points_in_cells(points: DataFrame, cells: DataFrame, tile: float, most: int | None = None) -> DataFrame:
     """Pairs of a point ``lon, lat, ...`` and the cells ``k, j, ring`` that hold it.
 
     Points lie in one tile and cells in every tile they touch, so that an equi-join
-    on tiles finds the pairs and no pair twice.
+    on tiles finds the pairs and no pair twice; see :func:`dealt_tiles` for uneven points, which are read twice.
     """
     boxed = cells.select("k", "j", "ring", *ring_box(F.col("ring")))
-    boxed = with_tiles(boxed, *(F.col(c) for c in ("west", "east", "south", "north")), tile)
-    pairs = with_tile(points, F.col("lon"), F.col("lat"), tile).join(boxed, ["tx", "ty"])
+    placed, held = dealt_tiles(points, boxed, tile, most)
+    pairs = placed.join(held, "key").drop("key")
     near = F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
     return pairs.where(near).where(inside(F.col("ring"), F.col("lon"), F.col("lat")))
 

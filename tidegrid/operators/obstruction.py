@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import total_length
 from tidegrid.operators.bathymetry import points_in_cells
 from tidegrid.plans.shared import materialise
+from tidegrid.plans.ship import ship
 
 _SEGS = "array<struct<lo:double,hi:double>>"
 
@@ -29,33 +33,47 @@ def extents(polygons: DataFrame, cells: DataFrame, mask: DataFrame, tile: float)
     return at.groupBy("k", "j", "poly_id").agg(bound(F.min(up)).alias("x_lo"), bound(F.max(up)).alias("x_hi"), bound(F.min(along)).alias("y_lo"), bound(F.max(along)).alias("y_hi"))
 
 
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``across, poly_id, at, lo, hi`` of sorted rows of these, with adjacent cells of a polygon counted in one.
+
+    One span is open at a time; it goes on over the ends of batches, so a polygon's row may be of any length.
+    """
+    open_: tuple | None = None
+    schema = None
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    for batch in batches:
+        schema, done = batch.schema, []
+        for across, poly, at, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
+            if open_ is not None and open_[:2] == (across, poly) and at == open_[2] + 1:
+                # the place reached goes on with the walk: a widened span stays where it was
+                place = open_[2] if open_[4] - open_[3] >= hi - lo else at
+                open_ = across, poly, place, min(lo, open_[3]), max(hi, open_[4])
+                continue
+            if open_ is not None:
+                done.append(open_)
+            open_ = across, poly, at, lo, hi
+        if done:
+            yield made(done)
+    if open_ is not None:
+        yield made([open_])
+
+
 def merge_neighbours(found: DataFrame, axis: str) -> DataFrame:
     """A polygon in adjacent cells of a row (column) counts in one of them.
 
     From left to right (below to above) the longer span takes in the other, ties
     going to the first; the widened span is what the next cell is compared with.
-    A polygon's cells in one row are one group, as many as it spans cells.
+    Rows are dealt out by row and polygon, sorted, and walked through once.
     """
+    ship(found.sparkSession)
     along, across = ("j", "k") if axis == "x" else ("k", "j")
-    span = F.struct(F.col(along).alias("at"), F.col(f"{axis}_lo").alias("lo"), F.col(f"{axis}_hi").alias("hi"))
-    kind = "array<struct<at:int,lo:double,hi:double>>"
-
-    def step(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        head = F.slice(done, 1, F.size(done) - 1)
-        keep_last = last["hi"] - last["lo"] >= s["hi"] - s["lo"]
-        # the place reached goes on with the walk: a widened span stays where it was
-        low, high = F.least(last["lo"], s["lo"]), F.greatest(last["hi"], s["hi"])
-        winner = F.struct(F.when(keep_last, last["at"]).otherwise(s["at"]).alias("at"), low.alias("lo"), high.alias("hi"))
-        touching = s["at"] == last["at"] + 1
-        return F.when(F.size(done) == 0, F.array(s)).when(touching, F.concat(head, F.array(winner))).otherwise(F.concat(done, F.array(s)))
-
-    def safe(done: Column, s: Column) -> Column:
-        return F.when(F.size(done) == 0, F.array(s)).otherwise(step(done, s))
-
-    folded = F.aggregate(F.array_sort(F.collect_list(span)), F.array().cast(kind), safe)
-    rows = found.groupBy(across, "poly_id").agg(folded.alias("s")).select(across, "poly_id", F.explode("s").alias("s"))
-    return rows.select(across, F.col("s.at").alias(along), "poly_id", F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi")).select("k", "j", "poly_id", "lo", "hi")
+    rows = found.select(across, "poly_id", along, F.col(f"{axis}_lo").alias("lo"), F.col(f"{axis}_hi").alias("hi"))
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    folded = rows.repartition(across, "poly_id").sortWithinPartitions(across, "poly_id", along).mapInArrow(_fold, kind)
+    return folded.select("k", "j", "poly_id", "lo", "hi")
 
 
 def net_segments(merged: DataFrame) -> DataFrame:
