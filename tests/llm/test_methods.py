@@ -141,7 +141,7 @@ def test_evolution_saves_bins():
         bins, loads = people[0]
         assert sorted(i for b in bins for i in b) == list(range(600)) and max(loads) <= 1024 and loads == [sum(sizes[i] for i in b) for b in bins]
         saved += best - len(bins)
-    assert saved >= 8
+    assert saved >= 60
 
 
 def test_index_of_several_batches(spark):

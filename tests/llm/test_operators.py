@@ -198,3 +198,16 @@ def test_surrogates_keep_apart_and_together(spark):
 def test_lines_that_stay(spark):
     docs = _docs(spark, [(1, "a line that is long enough to be compared\nshort"), (2, "A line that is long enough to be compared!\n\nother")])
     assert [r["text"] for r in without_repeated_lines(docs).orderBy("doc_id").collect()] == ["a line that is long enough to be compared\nshort", "\nother"]
+
+
+def test_contamination_beyond_what_is_broadcast(spark, monkeypatch):
+    """A filter of fixed size stands for shingles that are too many to be known everywhere; a small one lets others through."""
+    from tidegrid.llm import decontaminate
+
+    docs, bench = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark"))
+    docs = docs.select("doc_id", "text").unionByName(_docs(spark, ROWS).select("doc_id", "text"))
+    wanted = sorted(map(str, contamination(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "VOCABULARY", 0)
+    for bits in (27, 8):
+        monkeypatch.setattr(decontaminate, "SCREEN", bits)
+        assert sorted(map(str, contamination(docs, bench).collect())) == wanted

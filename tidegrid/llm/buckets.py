@@ -97,18 +97,19 @@ def _round(now: DataFrame, percent: int, k: float) -> tuple[DataFrame, DataFrame
     """
     each = now.select("g", "id", F.explode("e").alias("x"))
     most = each.groupBy("g", "x").agg(F.count("*").alias("k")).join(now.groupBy("g").agg(F.count("*").alias("all")), "g").where("2 * k > all")
-    most = most.groupBy("g").agg(F.collect_list("x").alias("h"))
+    # of each group one row: where these are few, no group is gathered to meet its own
+    most = broadcast_if_small(materialise(most.groupBy("g").agg(F.collect_list("x").alias("h")), "most"))
     turned = now.join(most, "g", "left").withColumn("h", F.coalesce("h", F.expr("cast(array() as array<bigint>)")))
     turned = turned.withColumn("e", F.array_union(F.array_except("e", "h"), F.array_except("h", "e"))).drop("h")
     turned = materialise(turned.withColumn("d", F.size("e")).withColumn("t", F.expr(f"d - {k}D * n")), "turned")
 
     first = turned.groupBy("g").agg(F.min(F.struct("t", "id", "n", "c", "d", "component")).alias("y"))
-    held = materialise(turned.join(first, "g").where("id <> y.id"), "held")
+    held = materialise(turned.join(broadcast_if_small(materialise(first, "first")), "g").where("id <> y.id"), "held")
     against = held.select("y", F.struct("id", "n", "c", "d", "component").alias("x")).where(F.col("x.component") != F.col("y.component"))
     against = against.where(_fits(percent) & F.expr(f"abs(x.d - y.d) <= {k}D * (x.n + y.n) + 1e-9"))
     pairs = against.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
-    least = held.groupBy("g").agg(F.min("t").alias("low"))
+    least = broadcast_if_small(materialise(held.groupBy("g").agg(F.min("t").alias("low")), "least"))
     each = held.select("g", "id", F.explode("e").alias("e"))
     often = each.groupBy("g", "e").agg(F.count("*").alias("often")).where("often > 1")
     # elements of one difference only come first in the order and meet nothing: they need no row

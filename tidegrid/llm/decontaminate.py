@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm.words import alnum_words
-from tidegrid.plans.shared import broadcast_if_small, materialise
+from tidegrid.plans.shared import broadcast_if_small, materialise, scratch
 
 #: Words of the shingles that are ordered by rarity.
 PREFIX = 3
+#: Shingles of the benchmark that are broadcast at most, and bits of the filter that stands for more.
+VOCABULARY, SCREEN = 2_000_000, 27
 
 
 def _windows(benchmark: DataFrame, size: int) -> DataFrame:
@@ -27,6 +29,17 @@ def _grams(words: str, n: str, sizes: list[int]) -> str:
     return "concat(" + ", ".join(f"IF({n} >= {g}, {of(g)}, CAST(array() AS array<bigint>))" for g in sizes) + ")"
 
 
+def _screened(each: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows whose ``gram`` may be known: a filter of 2**SCREEN bits, which all tasks have, keeps others from being moved.
+
+    Its words of 64 bits are at most ``2**(SCREEN - 6)`` rows of two numbers, however many are known.
+    """
+    place, word = f"gram & {2**SCREEN - 1}L", f"(gram & {2**SCREEN - 1}L) div 64"
+    words = known.select(F.expr(word).alias("word"), F.expr(f"shiftleft(1L, cast(({place}) % 64 AS int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    met = each.withColumn("word", F.expr(word)).join(F.broadcast(words), "word")
+    return met.where(F.expr(f"getbit(bits, cast(({place}) % 64 AS int)) = 1")).drop("word", "bits")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
     """Which words of each document lie in a window of ``size`` words of a benchmark item.
 
@@ -44,8 +57,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     the window has all of them, so the rarest alone is the prefix to join on. Where it
     stands bounds the window's place, the length of the text bounds its end, and the
     words there must then equal the window's. Words of other documents are read but
-    neither stored nor moved: only shingles that the benchmark has leave the scan.
+    neither stored nor moved: only shingles that the benchmark has leave the scan, or, where it
+    has too many for every task to know, those that a filter of fixed size lets through.
     """
+    with scratch(docs.sparkSession, "shingle_hits", "covered"):
+        return _contamination(docs, benchmark, size, share)
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, size: int, share: int) -> DataFrame:
     windows = materialise(_windows(benchmark, size), "windows")
     distinct = windows.select("win", "width", "words").dropDuplicates(["win"]).withColumn("g", F.least("width", F.lit(PREFIX)))
     sizes = sorted(r["g"] for r in distinct.select("g").distinct().collect())
@@ -61,12 +80,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
         after = f"{before} + greatest(0, n - {g - 1})"
         place, before = f"{place} WHEN at < {after} THEN at - ({before})", after
     known = materialise(grams.select("gram").distinct(), "vocabulary").withColumn("known", F.lit(True))
-    hits = worded.select("doc_id", "h", "n", F.posexplode_outer(F.expr(_grams("w", "n", sizes or [1]))).alias("at", "gram"))
-    # one row of each text stays for its number of words, so that one scan gives both
-    hits = hits.withColumn("first", F.coalesce(F.col("at") == 0, F.lit(True))).join(broadcast_if_small(known, 2_000_000), "gram", "left").where("known or first")
-    pos = (F.expr(f"{place} END") if sizes else F.col("at")).cast("int")
-    hits = materialise(hits.select("doc_id", "h", "n", "first", "known", "gram", pos.alias("pos")), "shingle_hits")
-    counted, hits = hits.where("first").select("doc_id", "h", F.col("n").cast("long").alias("n_words")), hits.where("known")
+    each = worded.select("doc_id", "h", "n", F.posexplode_outer(F.expr(_grams("w", "n", sizes or [1]))).alias("at", "gram"))
+    pos = (F.expr(f"{place} END") if sizes else F.col("at")).cast("int").alias("pos")
+    few = broadcast_if_small(known, VOCABULARY)
+    if few is not known:
+        # one row of each text stays for its number of words, so that one scan gives both
+        hits = each.withColumn("first", F.coalesce(F.col("at") == 0, F.lit(True))).join(few, "gram", "left").where("known or first")
+        hits = materialise(hits.select("doc_id", "h", "n", "first", "known", "gram", pos), "shingle_hits")
+        counted, hits = hits.where("first").select("doc_id", "h", F.col("n").cast("long").alias("n_words")), hits.where("known")
+    else:
+        counted = materialise(worded.select("doc_id", "h", F.col("n").cast("long").alias("n_words")), "shingle_hits")
+        hits = materialise(_screened(each, known).join(known, "gram").select("doc_id", "h", "n", "gram", pos), "shingle_hits")
 
     rarity = hits.groupBy("gram").agg(F.count("*").alias("k"))
     rarest = grams.join(rarity, "gram", "left").groupBy("win", "width").agg(F.min(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "gram", "offset")).alias("p"))

@@ -6,7 +6,9 @@ import math
 import os
 import random
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from tidegrid.plans.ship import ship
 #: Documents that one island holds at a time, islands for each shard, epochs with
 #: migration between them, individuals and generations of an epoch.
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 24
+#: Loose items of which pairs are tried at a time.
+PAIRED = 48
 
 
 class _Encoder:
@@ -106,22 +110,59 @@ def _worth(individual: tuple[Bins, list[int]]) -> tuple[int, int]:
     return -len(individual[0]), sum(load * load for load in individual[1])
 
 
+def _exchange(bins: Bins, loads: list[int], loose: list[int], sizes: list[int], size: int, rng: random.Random) -> list[int]:
+    """Give bins with room up to two loose items for up to two of theirs, where these fill them better; what is loose then.
+
+    Pairs are looked for among PAIRED loose items at a time. What a bin gives away is
+    smaller than what it takes, so loose items become easier to fit.
+    """
+    loose = sorted(loose, key=lambda i: sizes[i])
+    for b in rng.sample(range(len(bins)), len(bins)):
+        room = size - loads[b]
+        if not room or not loose:
+            continue
+        held = [sizes[i] for i in loose]
+        first = rng.randrange(max(1, len(loose) - PAIRED + 1))
+        gain, out, new = 0, (), ()
+        for given in ((), *((i,) for i in bins[b]), *combinations(bins[b], 2)):
+            own = sum(sizes[i] for i in given)
+            k = bisect_right(held, own + room) - 1
+            if k >= 0 and held[k] - own > gain:
+                gain, out, new = held[k] - own, given, (k,)
+            low, high = first, min(len(loose), first + PAIRED) - 1
+            while low < high:
+                both = held[low] + held[high]
+                if both > own + room:
+                    high -= 1
+                    continue
+                if both - own > gain:
+                    gain, out, new = both - own, given, (low, high)
+                low += 1
+            if gain == room:
+                break
+        if gain:
+            bins[b] = [i for i in bins[b] if i not in out] + [loose[k] for k in new]
+            loads[b] += gain
+            loose = sorted([*(i for k, i in enumerate(loose) if k not in new), *out], key=lambda i: sizes[i])
+    return loose
+
+
 def _cross(a: tuple[Bins, list[int]], b: tuple[Bins, list[int]], sizes: list[int], size: int, rng: random.Random) -> tuple[Bins, list[int]]:
-    """Inject well-filled bins of b into a, drop a's bins that repeat their items, refit the rest."""
+    """Inject well-filled bins of b into a, drop a's bins that repeat their items and a few of its emptiest, fit the rest again."""
     share = rng.uniform(0.2, 0.5)
-    bins = [items for items, load in zip(*b) if load >= size - 1 and rng.random() < share]
+    bins = [list(items) for items, load in zip(*b) if load >= size - 1 and rng.random() < share]
     taken = {i for items in bins for i in items}
     loads = [sum(sizes[i] for i in items) for items in bins]
-    loose = []
-    for items, load in zip(*a):
-        if taken.isdisjoint(items) and (load >= size - 1 or rng.random() < 0.5):
-            bins.append(items)
+    order = sorted(range(len(a[0])), key=lambda k: a[1][k] + size / 16 * rng.random())
+    emptied, loose = set(order[: rng.randint(3, 6)]), []
+    for k, (items, load) in enumerate(zip(*a)):
+        if taken.isdisjoint(items) and k not in emptied:
+            bins.append(list(items))
             loads.append(load)
         else:
             loose += [i for i in items if i not in taken]
-    bins = [list(items) for items in bins]
-    loose.sort(key=lambda i: -sizes[i])
-    _best_fit(loose, sizes, bins, loads, size)
+    loose = _exchange(bins, loads, loose, sizes, size, rng)
+    _best_fit(loose[::-1], sizes, bins, loads, size)
     return bins, loads
 
 
