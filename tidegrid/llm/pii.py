@@ -76,8 +76,8 @@ def pseudonymised(docs: DataFrame, key: bytes = b"tidegrid") -> DataFrame:
     """Texts with surrogates in place of personal data.
 
     Returns ``doc_id, n_entities, text`` for every row of ``docs``. Entities are
-    e-mail addresses, telephone and card numbers, social-security numbers, IBANs,
-    IPv4 addresses, names that follow a title or begin with a known given name,
+    e-mail addresses, telephone and card numbers, social-security numbers, IBANs, IPv4 and
+    IPv6 addresses, names that follow a title or begin with a known given name,
     and bare surnames of names found in the same text. One entity has one surrogate
     in all documents, no two entities of a type share one, and none is itself an
     entity of the corpus. Surrogates depend on ``key`` and on the corpus's entities

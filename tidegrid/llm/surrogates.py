@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 # Titles with their gender, and given names by script and gender.
 TITLES = {
@@ -15,13 +18,24 @@ TITLES = {
     "Dr": "u", "Prof": "u",
 }
 GIVEN = {
-    ("latin", "m"): "James John Robert Michael William David Richard Thomas Charles Daniel Matthew Andrew Hans Peter Klaus Jürgen Pierre Jean Jacques Michel José Carlos Miguel Antonio Mohammed Ahmed".split(),
-    ("latin", "f"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Emily Anna Ursula Helga Monika Marie Sophie Camille Élise María Carmen Lucía Isabel Fatima Aisha".split(),
+    ("latin", "m"): "James John Robert Michael William David Richard Thomas Charles Daniel Matthew Andrew Hans Peter Klaus Jürgen Pierre Jean Jacques Michel José Carlos Miguel Antonio Mohammed Ahmed Wei Jun Raj Arjun Rahul Kenji Hiroshi Omar Yusuf Luca Marco Giovanni Lars Erik Piotr João".split(),
+    ("latin", "f"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Emily Anna Ursula Helga Monika Marie Sophie Camille Élise María Carmen Lucía Isabel Fatima Aisha Priya Anjali Mei Yuki Leila Zainab Giulia Chiara Francesca Ingrid Agnieszka Beatriz".split(),
     ("cyrillic", "m"): "Иван Алексей Дмитрий Сергей Николай Михаил Павел Андрей Владимир Олег".split(),
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана Екатерина Юлия".split(),
     ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας Παναγιώτης Βασίλης".split(),
     ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία Ιωάννα Δήμητρα".split(),
+    ("armenian", "m"): "Արամ Տիգրան Հայկ Գևորգ".split(),
+    ("armenian", "f"): "Անի Նարե Մարիամ Լուսինե".split(),
+    ("georgian", "m"): "გიორგი ლევან დავით".split(),
+    ("georgian", "f"): "ნინო თამარ ქეთევან".split(),
+    ("hebrew", "m"): "דוד יוסף משה אברהם".split(),
+    ("hebrew", "f"): "שרה רחל מרים לאה".split(),
+    ("arabic", "m"): "محمد أحمد علي حسن".split(),
+    ("arabic", "f"): "فاطمة عائشة مريم زينب".split(),
 }
+#: Letters that names of other scripts are made of: first and last of a range; those of a script without a range are of its first letter's block.
+# fixed values
+LETTERS = {"armenian": "աֆ", "georgian": "აჰ", "hebrew": "את", "arabic": "بي", "thai": "กฮ", "hangul": "가힣", "han": "一龥", "hiragana": "あん", "katakana": "アン"}
 SYLLABLES = {
     "latin": "ba be bo da del do fa fer ga gor ha hol ka kel la lin lo ma mer mo na nel no pa per ra rin ro sa sel so ta ten to va ver vo wa wen".split(),
     "cyrillic": "ба бор ва вер га гор да дем ка кол ла лин ма мор на нов па пет ра ром са сор та тим фа фед".split(),
@@ -44,17 +58,23 @@ IBAN_LENGTH = {
 _IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}))")
 _RUN = re.compile(r"(?<![\w.-])\d+(?:[ -]\d+)+(?![\w-])")
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
+_IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{3,39}(?![\w:])")
 _NUMBERS = [
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)")),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
+    # a national number: 0 and an area code, a sign, the rest in one piece or with more signs
+    ("phone", re.compile(r"(?<![\w+./-])(?:\(0\d{1,4}\)[ /-]?|0\d{1,4}(?:[/-]| / | - ))\d{2,8}(?:[ -]\d{2,5}){0,2}(?![\w/:-])")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])")),
 ]
 
 
+@cache
 def script(word: str) -> str:
+    """The script of a word's first letter, by the first word of its Unicode name."""
     c = next((c for c in word if c.isalpha()), "a")
-    return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
+    named = unicodedata.name(c, "LATIN").split()[0].lower()
+    return {"cjk": "han"}.get(named, named)
 
 
 def luhn(digits: str) -> bool:
@@ -70,6 +90,12 @@ def _valid(kind: str, text: str) -> bool:
     digits = re.sub(r"\D", "", text)
     if kind == "ip":
         return all(int(x) <= 255 for x in text.split("."))
+    if kind == "ipv6":
+        try:
+            # names of code have such signs, too; 0 and 1 are no one's address
+            return any(c.isdigit() for c in text) and int(ipaddress.IPv6Address(text)) > 1
+        except ValueError:
+            return False
     if kind == "card":
         return luhn(digits) and len(set(digits)) > 1
     if kind == "iban":
@@ -130,8 +156,10 @@ def _cards(text: str) -> list[tuple[int, int]]:
 
 def normal(kind: str, text: str) -> str:
     """What mentions of one entity have in common."""
-    if kind in ("ip",):
+    if kind == "ip":
         return text
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(text).exploded
     if kind in ("iban", "card", "ssn", "phone"):
         return re.sub(r"[^A-Z0-9+]", "", text)
     return text.casefold()
@@ -141,6 +169,11 @@ def _cased(word: str) -> bool:
     return word[0].isupper()
 
 
+def _uncased(word: str) -> bool:
+    """Whether a word is of a script without capitals."""
+    return word[0].isalpha() and word[0] == word[0].lower() == word[0].title()
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """``start, stop, kind, normal form`` of the entities of a text, in order, without overlaps.
 
@@ -153,11 +186,14 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     if re.search(r"\d", text):
         found += [(a, b, "iban", text[a:b]) for a, b in _ibans(text)]
         found += [(a, b, "card", text[a:b]) for a, b in _cards(text)]
+        found += [(*m.span(), "ipv6", m[0]) for m in _IPV6.finditer(text) if _valid("ipv6", m[0])]
         for kind, pattern in _NUMBERS:
             found += [(*m.span(), kind, m[0]) for m in pattern.finditer(text) if _valid(kind, m[0])]
     for m in _TITLED.finditer(text):
         first, second = m[2], m[3]
-        if not _cased(first):
+        if _uncased(first):
+            second = None  # where names have no capital, the next word may be any
+        elif not _cased(first):
             continue
         if second and _cased(second):
             gender = _GENDER.get(first.casefold(), TITLES[m[1]])
@@ -167,6 +203,8 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         else:
             found.append((*m.span(2), f"surname {TITLES[m[1]]} {script(first)}", first))
     for m in _PAIR.finditer(text):
+        if _uncased(m[1]):
+            found.append((*m.span(1), f"given {_GENDER[m[1].casefold()]} {script(m[1])}", m[1]))
         if _cased(m[1]) and _cased(m[2]):
             gender = _GENDER[m[1].casefold()]
             found += [(*m.span(1), f"given {gender} {script(m[1])}", m[1]), (*m.span(2), f"surname {gender} {script(m[2])}", m[2])]
@@ -177,7 +215,7 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             bare.setdefault(_POSSESSIVE.sub("", value).casefold(), kind)
     if bare:
         words = ((m.start(), _POSSESSIVE.sub("", m[0])) for m in _WORD.finditer(text))
-        found += [(i, i + len(w), bare[w.casefold()], w) for i, w in words if _cased(w) and w.casefold() in bare]
+        found += [(i, i + len(w), bare[w.casefold()], w) for i, w in words if (_cased(w) or _uncased(w)) and w.casefold() in bare]
     out: list[tuple[int, int, str, str]] = []
     starts: list[int] = []
     stops: list[int] = []
@@ -211,6 +249,11 @@ class Draw:
         return "".join(str(self.below(10)) if c.isdigit() else chr(65 + self.below(26)) if c.isalpha() else c for c in like)
 
     def syllables(self, n: int, kind: str) -> str:
+        if kind not in SYLLABLES:
+            first, last = map(ord, LETTERS.get(kind, "az"))
+            made = (chr(first + self.below(last - first + 1)) for _ in range(n if kind in ("han", "hangul") else 2 * n))
+            # places of a block that are no letter give way to its first
+            return "".join(c if c.isalpha() else chr(first) for c in made)
         return "".join(SYLLABLES[kind][self.below(len(SYLLABLES[kind]))] for _ in range(n))
 
 
@@ -230,6 +273,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         private = octets[0] == 10 or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32
         first = 10 if private and attempt < WIDE else (lambda x: x + (x >= 10) + (x >= 126))(1 + draw.below(221))
         return ".".join(map(str, (first, draw.below(256), draw.below(256), 1 + draw.below(254))))
+    if kind == "ipv6":
+        # fixed values: fd00::/8 is for private networks, 2001:db8::/32 for examples
+        own = value[:2] in ("fc", "fd")
+        groups = [f"fd{draw.below(256):02x}"] if own else ["2001", "0db8"]
+        return ":".join([*groups, *(f"{draw.below(65536):04x}" for _ in range(8 - len(groups)))])
     if kind == "card":
         body = value[0] + draw.digits(value[1:-1])
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
@@ -240,13 +288,15 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         body = draw.digits(value[4:])
         return f"{value[:2]}{98 - _mod97(value[:2] + '00' + body):02d}{body}"
     if kind == "phone":
-        if re.fullmatch(r"\+1\d{10}|\d{10}", value) and attempt < 6:  # exchange 555 is kept free
+        if re.fullmatch(r"\+1\d{10}|[1-9]\d{9}", value) and attempt < 6:  # exchange 555 is kept free
             return f"{value[:-10]}{2 + draw.below(8)}{draw.digits('00')}555{draw.digits('0000')}"
-        code = value[:3] if value[0] == "+" else ""
+        code = value[:3] if value[0] == "+" else "0" if value[0] == "0" else ""
         return f"{code}{1 + draw.below(9)}{draw.digits('0' * (len(value) - len(code) - 1))}"
     part, gender, letters = kind.split()
     if part == "given":
-        names = GIVEN[letters, gender] if gender != "u" else GIVEN[letters, "m"] + GIVEN[letters, "f"]
+        names = GIVEN.get((letters, gender), []) if gender != "u" else GIVEN.get((letters, "m"), []) + GIVEN.get((letters, "f"), [])
+        if not names:
+            return draw.syllables(2 + attempt // 3, letters)
         name = names[draw.below(len(names))]
         return (name if attempt < 2 else f"{name}-{draw.syllables(2 + attempt // 3, letters)}").casefold()
     return (draw.syllables(2 + attempt // 3 + draw.below(2), letters) + ENDING.get((letters, gender), "")).casefold()
@@ -257,6 +307,15 @@ def shaped(kind: str, stand_in: str, mention: str) -> str:
     if kind in ("phone", "card", "ssn", "iban"):
         left = iter(stand_in)
         return "".join(next(left, "") if c.isalnum() or c == "+" else c for c in mention)
+    if kind == "ipv6":
+        # as many groups are written as before; the rest becomes the gap
+        groups = stand_in.split(":")
+        if "::" in mention:
+            head, tail = (len(x.split(":")) if x else 0 for x in mention.split("::"))
+            head = max(head, 2)
+            stand_in = ":".join(groups[:head]) + "::" + ":".join(groups[8 - tail :] if tail else [])
+        short = ":".join(g.lstrip("0") or ("0" if g else "") for g in stand_in.split(":")) if mention != ipaddress.IPv6Address(mention).exploded else stand_in
+        return short.upper() if any(c.isupper() for c in mention) else short
     if mention.isupper() and len(mention) > 1:
         return stand_in.upper()
     if kind.startswith(("given", "surname")):
