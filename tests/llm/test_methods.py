@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegrid.llm import buckets, chat, gru, lm_scoring, near_dedup, packing
+from tidegrid.llm import buckets, chat, exact_dedup, gru, lm_scoring, near_dedup, packing
 from tidegrid.llm.chat import repaired
 from tidegrid.llm.decontaminate import contamination
 from tidegrid.llm.exact_dedup import DigestIndex
@@ -144,6 +144,20 @@ def test_evolution_saves_bins():
     assert saved >= 60
 
 
+@pytest.mark.parametrize("bits", [27, 7])
+def test_only_digests_that_a_filter_lets_through_are_merged(spark, monkeypatch, bits):
+    """Two batches of a thousand texts of which ten are common: few are moved, and a filter that is full moves all, with one result."""
+    monkeypatch.setattr(exact_dedup, "FILTER", bits)
+    index = DigestIndex(spark)
+    for start in (0, 990):
+        index.flush(spark.range(start, start + 1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")), 1)
+    runs = [spark.read.schema(kind).parquet(path).groupBy("digest").agg(F.count("*").alias("n")) for path, kind in index.runs]
+    moved = exact_dedup._screened(runs[0], index._filter(runs[1])).where("known").count()
+    assert moved == 10 if bits == 27 else moved > 900
+    level = index.compact()
+    assert level.count() == 1990 and level.where("n = 2").select("first.doc_id").distinct().count() == 10
+
+
 def test_index_of_several_batches(spark):
     index = DigestIndex(spark)
     batches = [[(5, "a b"), (7, "c"), (None, "a  b")], [(3, "a\nb"), (9, "d")], [(1, "e"), (8, "c")]]

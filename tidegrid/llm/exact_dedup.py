@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm.words import SPACES
-from tidegrid.plans.shared import broadcast_if_small, discard, materialise, new_folder
+from tidegrid.plans.shared import broadcast_if_small, discard, materialise, new_folder, scratch
 
 #: Runs that the tasks of one batch are dealt to; parts that a hot digest's rows are split into.
 RUNS, SALTS = 4, 16
+#: A filter has two to this power of bits.
+FILTER = 27
 
 
 def normalised(text: Column) -> Column:
@@ -17,14 +19,27 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPACES, " ")
 
 
+def _bit(level: DataFrame) -> DataFrame:
+    place = F.xxhash64("digest").bitwiseAND(F.lit(2**FILTER - 1))
+    return level.withColumn("bit", (place % 64).cast("int")).withColumn("word", F.floor(place / 64))
+
+
+def _screened(level: DataFrame, filter_: DataFrame) -> DataFrame:
+    """Adds ``known``: whether another level's filter has a digest's bit."""
+    met = _bit(level).join(F.broadcast(filter_), "word", "left")
+    return met.withColumn("known", F.coalesce(F.expr("getbit(bits, bit) = 1"), F.lit(False))).drop("word", "bit", "bits")
+
+
 class DigestIndex:
     """Sorted runs of ``digest, rest, doc_id, text_hash, row`` in a folder, and the level they compact into.
 
     A memtable is what one task holds of a batch: it is sorted by digest and flushed as
     one file of a run, whose column statistics and Bloom filter tell a reader which
-    digests it can hold. :meth:`compact` merges runs and levels two by two, each merge
-    a sort-merge join on the digest, and keeps for each digest the row with the smallest
-    identifier. :meth:`lookup` reads a few digests through statistics and filters.
+    digests it can hold. :meth:`compact` merges runs and levels two by two and keeps for
+    each digest the row with the smallest identifier. Each side is held against a filter
+    of the other's digests, of fixed size: those it lets through go to a sort-merge join,
+    the rest, on most corpora nearly all, need no exchange. :meth:`lookup` reads a few
+    digests through statistics and filters.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, digest_chars: int = 64) -> None:
@@ -68,23 +83,35 @@ class DigestIndex:
             self.spark.read.schema(kind).parquet(path).withColumn("run", F.lit(i)).groupBy("digest").agg(least, F.count("*").alias("n"))
             for i, (path, kind) in enumerate(self.runs)
         ] or [self.rows().groupBy("digest").agg(least, F.count("*").alias("n"))]
-        tier = 0
-        while len(levels) > 1 or not tier:
-            merged = [self._merge(*pair) for pair in zip(levels[::2], levels[1::2])] + levels[len(levels) // 2 * 2 :]
-            kind, tier = merged[0].schema, tier + 1
-            written = [self.spark.read.schema(kind).parquet(self._write(x, f"level-{tier}-{i}")) for i, x in enumerate(merged)]
-            for old in levels:
+        levels, tier = [self._level(x, f"level-0-{i}") for i, x in enumerate(levels)], 0
+        while len(levels) > 1:
+            tier += 1
+            pairs = [*zip(levels[::2], levels[1::2])]
+            merged = [self._level(self._merge(*pair), f"level-{tier}-{i}") for i, pair in enumerate(pairs)]
+            for old in levels[: 2 * len(pairs)]:
                 discard(old)
-            for new, i in zip(written, range(len(written))):
-                new._tidegrid_path = f"{self.folder}/level-{tier}-{i}"
-            levels = written
+            levels = merged + levels[2 * len(pairs) :]
         return levels[0]
 
-    @staticmethod
-    def _merge(a: DataFrame, b: DataFrame) -> DataFrame:
-        both = a.hint("merge").join(b.toDF("digest", "first_b", "n_b"), "digest", "full_outer")
+    def _level(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` stored, each file sorted by digest."""
+        out = self.spark.read.schema(rows.schema).parquet(self._write(rows, name))
+        out._tidegrid_path = f"{self.folder}/{name}"
+        return out
+
+    def _filter(self, level: DataFrame) -> DataFrame:
+        """Which of 2**FILTER bits the digests of a level set, as words of 64: at most ``2**(FILTER - 6)`` rows, however many digests there are."""
+        return materialise(_bit(level).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")), "filter")
+
+    def _merge(self, a: DataFrame, b: DataFrame) -> DataFrame:
+        """Two runs or levels as one: only digests that the other's filter lets through are moved and merged, all others stay where they are."""
+        both = [_screened(x, self._filter(y)) for x, y in ((a, b), (b, a))]
+        kept = [x.where("not known").drop("known") for x in both]
+        left, right = (x.where("known").drop("known") for x in both)
+        met = left.hint("merge").join(right.toDF("digest", "first_b", "n_b"), "digest", "full_outer")
         none = lambda c: F.coalesce(c, F.lit(0))
-        return both.select("digest", F.least("first", "first_b").alias("first"), (none("n") + none("n_b")).alias("n"))
+        met = met.select("digest", F.least("first", "first_b").alias("first"), (none("n") + none("n_b")).alias("n"))
+        return kept[0].unionByName(kept[1]).unionByName(met)
 
     def lookup(self, rows: DataFrame, wanted: DataFrame, batch: int = 1000) -> DataFrame:
         """Of rows or of a level those of the ``wanted`` digests; up to ``batch`` are read through the filters."""
@@ -113,10 +140,16 @@ def exact_duplicates(docs: DataFrame, digest_chars: int = 64) -> DataFrame:
     resolved text by text. Only hits are joined to rows, salted, so that the copies
     of one text are spread over tasks.
     """
+    with scratch(docs.sparkSession, "digests", "digest_hits", "clash_rows", "clashing", "clashes"):
+        return _exact_duplicates(docs, digest_chars)
+
+
+def _exact_duplicates(docs: DataFrame, digest_chars: int) -> DataFrame:
     index = DigestIndex(docs.sparkSession, digest_chars=digest_chars)
     index.flush(docs)
     level = index.compact()
     hits = materialise(level.where("n > 1"), "digest_hits")
+    discard(level)
     text = docs.select("doc_id", normalised(F.col("text")).alias("norm"), F.col("text").cast("string").alias("text"), index.digest(F.col("text")).alias("digest"))
     read = text.join(broadcast_if_small(hits.select("digest")), "digest", "left_semi")
     classes = read.groupBy("digest", "norm").agg(F.lit(1).alias("one"))
