@@ -55,16 +55,15 @@ def dealt_tiles(points: DataFrame, cells: DataFrame, tile: float, most: int | No
     """
     spark = points.sparkSession
     tiled = with_tile(points, F.col("lon"), F.col("lat"), tile)
-    counts = materialise(tiled.groupBy("tx", "ty").agg(F.count("*").alias("n")), "histogram")
+    counts = tiled.groupBy("tx", "ty").agg(F.count("*").alias("n"))
+    total, largest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     if most is None:
-        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         most = max(MOST, total // (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    hot = materialise(counts.where(F.col("n") > most).select("tx", "ty"), "hot_tiles")
     boxed = with_tiles(cells, *(F.col(c) for c in ("west", "east", "south", "north")), tile)
     plain = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.lit(-1).alias("level"), F.lit(0).alias("share"))
-    if hot.isEmpty():
+    if largest <= most:
         return tiled.withColumn("key", plain).drop("tx", "ty"), boxed.withColumn("key", plain).drop("tx", "ty")
-    hot = broadcast_if_small(hot)
+    hot = broadcast_if_small(materialise(counts.where(F.col("n") > most).select("tx", "ty"), "hot_tiles"))
     fine, side = tile / 2**DEPTH, 2**DEPTH
     small = lambda c, d: (F.floor(c / d)).cast("int")
 

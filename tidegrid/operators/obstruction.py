@@ -22,7 +22,7 @@ def extents(polygons: DataFrame, cells: DataFrame, mask: DataFrame, tile: float)
     Spans are along the cell's own axes from its lower left corner, as shares of
     height (``x_``: what blocks motion along x) and width (``y_``).
     """
-    wet = cells.join(mask.where("mask <> 0").select("k", "j"), ["k", "j"])
+    wet = materialise(cells.join(mask.where("mask <> 0").select("k", "j"), ["k", "j"]), "wet")
     vertices = polygons.select("poly_id", F.explode("ring").alias("p")).select("poly_id", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
     met = points_in_cells(vertices, wet, tile).select("k", "j", "poly_id", "lon", "lat")
     at = met.join(wet.select("k", "j", "c4", "width", "height", "angle"), ["k", "j"])

@@ -725,7 +725,7 @@ def obstr_dry_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.grid(spark, sf_dir).join(_mask(spark, sf_dir), ["k", "j"])
+    return materialise(fx.grid(spark, sf_dir).join(_mask(spark, sf_dir), ["k", "j"]), "placed")
 
 
 def _middle(spark: SparkSession, sf_dir: str) -> float:
@@ -836,7 +836,7 @@ def _both(a: DataFrame, b: DataFrame) -> DataFrame:
 @query(with_("mask", extra=f"{_PEER}, n AS (SELECT m.k, m.j, (CASE WHEN m.mask <> p.mask THEN 0 ELSE m.mask END)::INT AS mask FROM mask m JOIN peer p ON p.k = m.k AND p.j = m.j)") + "SELECT s::INT AS side, k, j, mask FROM n, (VALUES (1), (2)) t(s)")
 def reconcile_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     peer = bathymetry.cell_average(fx.bathy(spark, sf_dir), fx.grid_cells(spark, sf_dir), -1500.0, 0.5, DRY, TILE)
-    peer = fx.grid(spark, sf_dir).join(masks.initial_mask(peer, DRY).select("k", "j", "mask"), ["k", "j"])
+    peer = materialise(fx.grid(spark, sf_dir).join(masks.initial_mask(peer, DRY).select("k", "j", "mask"), ["k", "j"]), "peer")
     return _both(*nesting.reconcile(_placed(spark, sf_dir), peer, (0.25, 0.25)))
 
 
