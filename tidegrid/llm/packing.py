@@ -22,8 +22,8 @@ from tidegrid.plans.ship import ship
 #: Documents that one island holds at a time, islands for each shard, epochs with
 #: migration between them, individuals and generations of an epoch.
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 24
-#: Loose items of which pairs are tried at a time.
-PAIRED = 48
+#: Bins of a crossover that exchange items, and loose items of which pairs are tried at a time.
+EXCHANGES, PAIRED = 64, 48
 
 
 class _Encoder:
@@ -113,11 +113,11 @@ def _worth(individual: tuple[Bins, list[int]]) -> tuple[int, int]:
 def _exchange(bins: Bins, loads: list[int], loose: list[int], sizes: list[int], size: int, rng: random.Random) -> list[int]:
     """Give bins with room up to two loose items for up to two of theirs, where these fill them better; what is loose then.
 
-    Pairs are looked for among PAIRED loose items at a time. What a bin gives away is
+    EXCHANGES bins are drawn, and pairs are looked for among PAIRED loose items at a time. What a bin gives away is
     smaller than what it takes, so loose items become easier to fit.
     """
     loose = sorted(loose, key=lambda i: sizes[i])
-    for b in rng.sample(range(len(bins)), len(bins)):
+    for b in rng.sample(range(len(bins)), min(EXCHANGES, len(bins))):
         room = size - loads[b]
         if not room or not loose:
             continue
