@@ -40,6 +40,7 @@ CASES = {
     "poly_clip_rings": ("not whole", 50),
     "pipeline_regional": ("sx > 0 and sx < 1000000 and sy > 0", 3),
     "lake_min_size": ("mask = 1", 10),
+    "bathy_auto_mixed": ("mode = 'average' and depth < 999999000000", 1),
     "obstr_ob2": ("sx > 0 or sy > 0", 1),
 }
 

@@ -230,6 +230,17 @@ def bathy_auto_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", "j", micro("depth").alias("depth"), "mode")
 
 
+_FINE_SQL = f"SELECT k, (j + 100)::INT AS j, depth, 'interpolate' AS mode FROM ({_bilinear_sql('floor({} / 0.0625)::INT')})"
+
+
+@query(f"SELECT * FROM ({with_('cellavg')}SELECT k, j, {m('depth', 'depth')}, 'average' AS mode FROM cellavg) UNION ALL SELECT * FROM ({_FINE_SQL})")
+def bathy_auto_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on a grid with cells of both kinds: coarser than the base raster, and finer."""
+    cells = fx.grid_cells(spark, sf_dir).unionByName(grids.cells(_fine(spark, sf_dir)).withColumn("j", F.col("j") + 100))
+    out = bathymetry.resample(fx.bathy(spark, sf_dir), cells, 0.0, 0.0, fx.STEP, fx.STEP, 0.0, 0.7, DRY, TILE)
+    return out.select("k", "j", micro("depth").alias("depth"), "mode")
+
+
 _TURN = "nodes AS (SELECT k::INT AS k, j::INT AS j, 1.2::DOUBLE + 5.76::DOUBLE * (j - 1) AS lon, 0.140625 + 0.25 * (k - 1) AS lat FROM (SELECT unnest(range(1, n // 4)) AS k FROM size), (SELECT unnest(range(1, 63)) AS j)), located AS (SELECT k, j, floor(lon / 3.6)::INT AS a, floor(lat / 0.0625)::INT AS b, lon / 3.6 AS u, lat / 0.0625 AS v FROM nodes)"
 _TURNED = ", ".join(f"z{a}{b}.z AS z{a}{b}" for a in (0, 1) for b in (0, 1))
 _TURNS = " ".join(f"JOIN bathy z{a}{b} ON z{a}{b}.ilon = (l.a + {a}) % 100 AND z{a}{b}.ilat = l.b + {b}" for a in (0, 1) for b in (0, 1))
@@ -457,9 +468,14 @@ _DENSE = """e AS (SELECT a.poly_id, a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS
 s AS (SELECT *, CASE WHEN d > 0.5 THEN floor(d / 0.25)::INT - 1 ELSE 0 END AS ns FROM e)"""
 
 
-@query(with_("users", "corner", extra="uv AS (SELECT poly_id, seq, x + r * a AS vx, y + r * b AS vy FROM users, corner), " + _DENSE) + "SELECT poly_id, (1 + sum(ns + 1))::INT AS points FROM s GROUP BY poly_id")
+_DENSE_SUM = ", ".join(m(f"sum(b{v} + ns * a{v.rstrip('_')} + 0.25 * (b{v} - a{v.rstrip('_')}) / d * ns * (ns + 1) / 2)", f"sum_{v.rstrip('_')}") for v in ("x", "y_"))
+
+
+@query(with_("users", "corner", extra="uv AS (SELECT poly_id, seq, x + r * a AS vx, y + r * b AS vy FROM users, corner), " + _DENSE) + f"SELECT poly_id, (1 + sum(ns + 1))::INT AS points, {_DENSE_SUM} FROM s GROUP BY poly_id")
 def poly_densify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return polygons.densify(fx.user_polygons(spark, sf_dir)).select("poly_id", F.size("ring").alias("points"))
+    """How many points, and where they are on the whole."""
+    total = lambda v: micro(F.aggregate(F.slice("ring", 2, F.size("ring") - 1), F.lit(0.0), lambda s, p: s + p[v])).alias(f"sum_{v}")
+    return polygons.densify(fx.user_polygons(spark, sf_dir)).select("poly_id", F.size("ring").alias("points"), total("x"), total("y"))
 
 
 @query(
