@@ -95,8 +95,10 @@ class DigestIndex:
 
     def _level(self, rows: DataFrame, name: str) -> DataFrame:
         """``rows`` stored, each file sorted by digest."""
-        out = self.spark.read.schema(rows.schema).parquet(self._write(rows, name))
-        out._tidegrid_path = f"{self.folder}/{name}"
+        path = f"{self.folder}/{name}"
+        rows.sortWithinPartitions("digest").write.parquet(path)
+        out = self.spark.read.schema(rows.schema).parquet(path)
+        out._tidegrid_path = path
         return out
 
     def _filter(self, level: DataFrame) -> DataFrame:
@@ -114,7 +116,7 @@ class DigestIndex:
         return kept[0].unionByName(kept[1]).unionByName(met)
 
     def lookup(self, rows: DataFrame, wanted: DataFrame, batch: int = 1000) -> DataFrame:
-        """Of rows or of a level those of the ``wanted`` digests; up to ``batch`` are read through the filters."""
+        """Of rows those of the ``wanted`` digests; up to ``batch`` are read through the filters."""
         wanted = wanted.select("digest").distinct()
         first = [bytes(r[0]) for r in wanted.limit(batch + 1).collect()]
         if len(first) <= batch:
