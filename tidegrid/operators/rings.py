@@ -121,9 +121,9 @@ def _stretched(parts: DataFrame, block: int) -> DataFrame:
     rows = rows.withColumn("top", F.max("head").over(Window.partitionBy(*KEY, "block"))).withColumn("head", F.last("head", True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.where("not ghost")
     small = rows.where(F.col("n") <= block).withColumn("head", F.coalesce("head", "top"))
-    large = materialise(rows.where(F.col("n") > block), "blocks")
-    if large.isEmpty():
+    if parts.where(F.col("n") > block).isEmpty():
         return small.drop("block", "o", "ghost", "top")
+    large = materialise(rows.where(F.col("n") > block), "blocks")
     tops = large.groupBy(*KEY, "block").agg(F.max("top").alias("top"))
     ring = Window.partitionBy(*KEY)
     before = F.last("top", True).over(ring.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
@@ -154,7 +154,7 @@ def clip_edges(edges: DataFrame, block: int = BLOCK, around: bool = True) -> Dat
     full = held.where("not some and over % 2 = 1").select(*KEY, *carry, F.lit(0).alias("part"), F.lit(4).cast("long").alias("n"), F.explode(F.array(*sides)).alias("e")).select(*KEY, *carry, "part", "n", "e.*")
 
     parts = short.where("passes").select(*KEY, *BOX, *carry, "i", "n", "sub", p.alias("p"), q.alias("q"), own_start.alias("own_start"), own_stop.alias("own_stop"))
-    parts = materialise(_stretched(parts, block), "parts")
+    parts = materialise(_stretched(materialise(parts, "passes"), block), "parts")
     ends = {"ax": "p.x", "ay": "p.y", "bx": "q.x", "by": "q.y"}
     whole = parts.where("head is null").select(*KEY, *carry, F.lit(0).alias("part"), "n", "i", *[F.col(c).alias(e) for e, c in ends.items()])
     cut = parts.where("head is not null").withColumn("place", F.expr("pmod(i - head div 2, n)"))
