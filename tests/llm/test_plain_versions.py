@@ -14,6 +14,7 @@ import pytest
 from tidegrid.llm import language_id
 from tidegrid.llm.language_id import languages
 from tidegrid.llm.pii import pseudonymised
+from tidegrid.llm.secret_scan import secrets
 from tidegrid.llm.surrogates import mentions, splice, surrogate
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -174,3 +175,72 @@ def test_surrogates_are_of_the_script_of_the_name():
         for attempt in range(12):
             kind = mentions(f"Dr {name}")[0][2]
             assert re.fullmatch(f"[{letters}]+(-[{letters}]+)*", surrogate(b"key", kind, name, attempt), re.IGNORECASE), (name, attempt)
+
+
+def _upper_tail(z):
+    """A bound from above of a normal variable's chance to exceed z."""
+    return 1.0 if z <= 0 else 4 * math.exp(-min(700, z * z / 2)) / math.sqrt(2 * math.pi) / (3 * z + math.sqrt(z * z + 8))
+
+
+def _plain_battery(token):
+    """Chance under even draws, and how unlike text the token is: sums over characters and pairs, straight from the definitions."""
+    body = token.rstrip("=")
+    if len(body) < 16:
+        return None
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    orders = [[digits + "abcdef", digits + "ABCDEF"], [lower, upper], [lower + "234567", upper + "234567"], [digits + lower, digits + upper]]
+    orders += [[upper + lower], [upper + lower + digits], [upper + lower + digits + "+/", upper + lower + digits + "-_"]]
+    order = next((o for several in orders for o in several if set(body) <= set(o)), None)
+    n = len(body)
+    if order is None:  # both of the last alphabet's spellings in one token
+        order = upper + lower + digits + "+/"
+        places = [order.find({"-": "+", "_": "/"}.get(c, c)) for c in body]
+    else:
+        places = [order.index(c) for c in body]
+    k = len(order)
+    squares = sum(v * v for v in Counter(body).values())
+    chi = (k * squares / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    high = [2 * p >= k for p in places]
+    one, two = sum(high), n - sum(high)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    spread = 2 * one * two * (2 * one * two - n) / (n * n * (n - 1))
+    mean = sum(places) / n
+    around = sum((p - mean) ** 2 for p in places)
+    if spread <= 0 or not around:
+        chance = 0.0
+    else:
+        z_runs = (runs - 1 - 2 * one * two / n) / math.sqrt(spread)
+        z_serial = (sum((a - mean) * (b - mean) for a, b in zip(places, places[1:])) / around + 1 / n) * math.sqrt(n)
+        chance = min(1.0, 3 * min(_upper_tail(chi), 2 * _upper_tail(abs(z_runs)), 2 * _upper_tail(abs(z_serial))))
+    same, three, change = 0.066, 0.0056, 0.08
+    text = (n + n * (n - 1) * same - squares) / math.sqrt(4 * n * (n - 1) * (n - 2) * (three - same**2) + 2 * n * (n - 1) * same)
+    kind = ["a" if c in lower else "A" if c in upper else "0" if c in digits else c for c in body]
+    changes = (sum(a != b for a, b in zip(kind, kind[1:])) - (n - 1) * change) / math.sqrt((n - 1) * change * (1 - change))
+    return chance, (text + changes) / math.sqrt(2)
+
+
+def test_random_spans_equal_a_plain_battery_and_discovery_control(spark):
+    import random
+    import string
+
+    draw, texts = random.Random(12), []
+    alphabets = [string.hexdigits[:16], string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase + "234567", string.ascii_lowercase]
+    for i in range(500):
+        n = draw.choice([20, 24, 33, 47, 64, 90])
+        token = "".join(draw.choices(draw.choice(alphabets), k=n)) if i % 2 else "".join(draw.choices(["the", "and", "Under", "standing", "-", "_", "over", "2024", "/"], k=n // 4))
+        texts.append(f"see {token} and {'x' * draw.randint(0, 3)} {token[::-1]}== there")
+    found = {r["doc_id"]: r["spans"] for r in secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    tokens = []
+    for i, text in enumerate(texts):
+        taken = [m.span() for m in re.finditer("[0-9a-f]{32,}|AKIA[A-Z0-9]{12,}", text)]
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+            if not any(a < m.end() and m.start() < b for a, b in taken) and (scored := _plain_battery(m[0])):
+                tokens.append((i, *m.span(), *scored))
+    chosen = set()
+    for length in range(4, 24):
+        group = [(a, s, e, -200 if p < 0.003 else math.floor(max(-20, min(100, z)) * 10)) for a, s, e, p, z in tokens if int(math.log2(e - s)) == length]
+        steps = sorted({g[3] for g in group})
+        fits = [x for x in steps if _upper_tail(x / 10) <= 0.01 * sum(g[3] >= x for g in group) / len(group)]
+        chosen |= {(a, s, e) for a, s, e, x in group if fits and x >= min(fits)}
+    shown = {(i, int(s), int(e)) for i, spans in found.items() for kind, s, e in (x.split(":") for x in spans.split(",") if x) if kind == "random"}
+    assert len(chosen) > 100 and shown == chosen
