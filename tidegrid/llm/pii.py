@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.blocks import blocks
 from tidegrid.llm.surrogates import LAST, mentions, splice, surrogate
-from tidegrid.plans.shared import broadcast_if_small, materialise
+from tidegrid.plans.shared import broadcast_if_small, materialise, scratch
 from tidegrid.plans.ship import ship
 
 
@@ -87,6 +87,11 @@ def pseudonymised(docs: DataFrame, key: bytes = b"tidegrid") -> DataFrame:
     empty; repeated rows get equal results; an empty table gives an empty result;
     other columns are not read.
     """
+    with scratch(docs.sparkSession, "edits"):
+        return _pseudonymised(docs, key)
+
+
+def _pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     ship(docs.sparkSession)
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
