@@ -46,7 +46,7 @@ def _components(n, links):
     return [find(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("hot", [256, 6, 2])
+@pytest.mark.parametrize("hot", [256, 2])
 def test_items_of_a_bucket_are_linked_as_by_all_pairs(spark, monkeypatch, hot):
     """One bucket for all: copies with changes of their own, with shared changes, around the threshold."""
     monkeypatch.setattr(buckets, "HOT", hot)
