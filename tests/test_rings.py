@@ -47,7 +47,7 @@ def _turned(ring):
     return tuple(points[k:] + points[:k])
 
 
-@pytest.mark.parametrize("block", [4096, 7, 1])
+@pytest.mark.parametrize("block", [4096, 7])
 def test_clipped_rows_are_the_rings_of_a_walk_in_order(spark, block):
     shapes = _shapes()
     edges = edges_of(_table(spark, shapes)).withColumns({"tile": F.lit(0), **{n: F.lit(v) for n, v in zip(BOX, BOUNDS)}})
