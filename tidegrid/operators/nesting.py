@@ -91,12 +91,14 @@ def reconcile(first: DataFrame, second: DataFrame, spacing: tuple[float, float])
         near = mine.join(theirs, "t").withColumn("d", F.abs(F.col(axis) - F.col("b"))).where(F.col("d") <= d)
         axes[axis] = near.groupBy(axis).agg(F.min_by("i", F.struct("d", "i")).alias(f"b{index}"))
     asked = inner.select("k", "j", "lon", "lat", F.col("mask").alias("v")).join(axes["lon"], "lon", "left").join(axes["lat"], "lat", "left")
+    asked = materialise(asked, "asked")
     if not asked.where("bj is null or bk is null").isEmpty():
         raise ValueError("a node has no neighbour in the other grid within its spacing")
     met = asked.join(base.select(F.col("k").alias("bk"), F.col("j").alias("bj"), F.col("mask").alias("b")), ["bk", "bj"])
     conflict = (F.col("v") != F.col("b")) & (F.col("v") != 2) & (F.col("b") != 2)
     earlier = Window.partitionBy("bk", "bj").orderBy("j", "k").rowsBetween(Window.unboundedPreceding, -1)
     met = met.withColumn("conflict", conflict).withColumn("spoilt", F.coalesce(F.max("conflict").over(earlier), F.lit(False)))
+    met = materialise(met, "met")
     new = F.when(F.col("conflict") | (F.col("spoilt") & (F.col("v") != 2)), 0).otherwise(F.col("v"))
     changed = met.select("k", "j", new.alias("new"))
     zeroed = met.where("conflict").select(F.col("bk").alias("k"), F.col("bj").alias("j"), F.lit(0).alias("new")).distinct()
