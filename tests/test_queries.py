@@ -51,10 +51,8 @@ def test_rows_show_the_case(spark, name):
     assert catalogue.queries()[name](spark, SF_DIR).where(condition).count() >= least
 
 
-def test_boundary_nodes_lie_across_the_seam(spark):
-    """Some nodes of the boundary are between the parent's last column, at 345 degrees, and its first."""
-    bounded = catalogue._bounded(spark, "/root/testdata/sf0.01").where("mask = 2")
-    turn = F.pmod(F.lit(309.6) + 14.4 * (F.col("j") - 1) - 15, F.lit(360.0)) / 30
-    assert bounded.where((turn > 11) & (turn < 12)).count() > 3
-    supported = catalogue.queries()["nested_parent_wrap"](spark, "/root/testdata/sf0.01").where("mask = 2")
-    assert supported.count() > 0
+def test_boundary_nodes_are_supported_across_the_seam(spark):
+    """Some boundary nodes are between the parent's last column, at 345 degrees, and its first, and only so have their parents."""
+    turn = F.pmod(F.col("lon") - 15, F.lit(360.0)) / 30
+    kept = {wrap: {(r.k, r.j) for r in catalogue._around(spark, "/root/testdata/sf0.01", wrap).where((F.col("mask") == 2) & (turn > 11)).collect()} for wrap in (True, False)}
+    assert kept[False] < kept[True]

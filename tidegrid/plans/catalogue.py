@@ -789,10 +789,10 @@ def _support_sql(src: str, dst: str) -> str:
 {dst} AS (SELECT k, j, lon, lat, (CASE WHEN mask = 2 AND (px IS NULL OR py IS NULL OR {bad}) THEN 3 ELSE mask END)::INT AS mask FROM {dst}p)"""
 
 
-def _parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A coarse parent grid: its nodes are every eighth of the raster's."""
+def _parent(spark: SparkSession, sf_dir: str, wet: int = 0) -> DataFrame:
+    """A coarse parent grid: its nodes are every eighth of the raster's, wet up to a depth."""
     at = fx.bathy(spark, sf_dir).where("ilat >= 4 and ilon >= 4 and (ilat - 4) % 8 = 0 and (ilon - 4) % 8 = 0")
-    parent = at.select(F.expr("cast((ilat - 4) div 8 + 1 as int)").alias("k"), F.expr("cast((ilon - 4) div 8 + 1 as int)").alias("j"), F.when(F.col("z") <= 0, 1).otherwise(0).alias("mask"))
+    parent = at.select(F.expr("cast((ilat - 4) div 8 + 1 as int)").alias("k"), F.expr("cast((ilon - 4) div 8 + 1 as int)").alias("j"), F.when(F.col("z") <= wet, 1).otherwise(0).alias("mask"))
     return parent.where((F.col("k") <= fx.rows(spark, sf_dir) // 8) & (F.col("j") <= 12))
 
 
@@ -820,11 +820,15 @@ def _around_sql() -> str:
     return _support_sql("around", "unused").split("unused AS")[0].replace("(lon - 0.25) / 0.5 AS rx", "(lon - 15) / 30 AS rx") + f"turned AS (SELECT k, j, (CASE WHEN mask = 2 AND (py IS NULL OR {bad}) THEN 3 ELSE mask END)::INT AS mask FROM unusedp)"
 
 
-@query(with_("mask", extra=f"{_ZONE}, {_boundary_sql('zone', 'bound')}, {_PARENT}, {_AROUND}, {_around_sql()}") + "SELECT k, j, mask FROM turned")
+@query(with_("mask", extra=f"{_ZONE}, {_boundary_sql('zone', 'bound')}, {_PARENT.replace('z <= 0', 'z <= 1500')}, {_AROUND}, {_around_sql()}") + "SELECT k, j, mask FROM turned")
 def nested_parent_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A parent that closes in longitude, between whose last and first column some boundary nodes lie."""
+    return _around(spark, sf_dir, wrap=True).select("k", "j", "mask")
+
+
+def _around(spark: SparkSession, sf_dir: str, wrap: bool) -> DataFrame:
     around = _bounded(spark, sf_dir).withColumn("lon", F.pmod(F.lit(309.6) + 14.4 * (F.col("j") - 1), F.lit(360.0)))
-    return nesting.parent_support(around, _parent(spark, sf_dir), 15.0, 0.25, 30.0, 0.5, 12, fx.rows(spark, sf_dir) // 8, wrap=True).select("k", "j", "mask")
+    return nesting.parent_support(around, _parent(spark, sf_dir, 1500), 15.0, 0.25, 30.0, 0.5, 12, fx.rows(spark, sf_dir) // 8, wrap=wrap)
 
 
 _ZONE2 = "zone2 AS (SELECT g.k, g.j, lon, lat, (CASE WHEN lon BETWEEN 4 AND 6 AND lat BETWEEN 0 AND 1.5 THEN mask ELSE 3 END)::INT AS mask FROM grid g JOIN mask USING (k, j))"
