@@ -48,7 +48,10 @@ _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 _WORD = re.compile(rf"\b{_NAME}\b")
 _POSSESSIVE = re.compile("(?<=.)['’][sS]$")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.?[ \t]+({_NAME})(?:[ \t]+({_NAME}))?")
-_PAIR = re.compile(rf"\b({'|'.join(n for names in GIVEN.values() for n in names)})[ \t]+({_NAME})", re.IGNORECASE)
+# a word that does not begin in lower case, before another; which ones are given names is looked up
+_NO_SMALL = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώա-և]"
+_FIRST = re.compile(rf"\b({_NO_SMALL}[^\W\d_]*)[ \t]+(?={_NO_SMALL})")
+_SECOND = re.compile(_NAME)
 #: Length of an IBAN by country.
 IBAN_LENGTH = {
     c: int(n)
@@ -59,12 +62,12 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}))")
 _RUN = re.compile(r"(?<![\w.-])\d+(?:[ -]\d+)+(?![\w-])")
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{3,39}(?![\w:])")
+# a national number: 0 and an area code, a sign, the rest in one piece or with more signs
+_NATIONAL = re.compile(r"(?<![\w+./-])(?:\(0\d{1,4}\)[ /-]?|0\d{1,4}(?:[/-]| / | - ))\d{2,8}(?:[ -]\d{2,5}){0,2}(?![\w/:-])")
 _NUMBERS = [
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)")),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
-    # a national number: 0 and an area code, a sign, the rest in one piece or with more signs
-    ("phone", re.compile(r"(?<![\w+./-])(?:\(0\d{1,4}\)[ /-]?|0\d{1,4}(?:[/-]| / | - ))\d{2,8}(?:[ -]\d{2,5}){0,2}(?![\w/:-])")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])")),
 ]
 
@@ -154,6 +157,16 @@ def _cards(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def _nationals(text: str) -> Iterator[tuple[int, int]]:
+    """National numbers: only where a 0 stands they can begin."""
+    i = text.find("0")
+    while i >= 0:
+        m = _NATIONAL.match(text, i - 1 if i and text[i - 1] == "(" else i)
+        if m:
+            yield m.span()
+        i = text.find("0", m.end() if m else i + 1)
+
+
 def normal(kind: str, text: str) -> str:
     """What mentions of one entity have in common."""
     if kind == "ip":
@@ -186,8 +199,11 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     if re.search(r"\d", text):
         found += [(a, b, "iban", text[a:b]) for a, b in _ibans(text)]
         found += [(a, b, "card", text[a:b]) for a, b in _cards(text)]
-        found += [(*m.span(), "ipv6", m[0]) for m in _IPV6.finditer(text) if _valid("ipv6", m[0])]
+        if "::" in text or text.count(":") >= 7:
+            found += [(*m.span(), "ipv6", m[0]) for m in _IPV6.finditer(text) if _valid("ipv6", m[0])]
         for kind, pattern in _NUMBERS:
+            if kind == "phone":
+                found += [(a, b, kind, text[a:b]) for a, b in _nationals(text) if _valid(kind, text[a:b])]
             found += [(*m.span(), kind, m[0]) for m in pattern.finditer(text) if _valid(kind, m[0])]
     for m in _TITLED.finditer(text):
         first, second = m[2], m[3]
@@ -202,12 +218,16 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             found.append((*m.span(2), f"given {g} {script(first)}", first))
         else:
             found.append((*m.span(2), f"surname {TITLES[m[1]]} {script(first)}", first))
-    for m in _PAIR.finditer(text):
+    after = 0
+    for m in _FIRST.finditer(text):
+        gender = _GENDER.get(m[1].casefold())
+        if gender is None or m.start() < after or not (second := _SECOND.match(text, m.end())):
+            continue
+        after = second.end()
         if _uncased(m[1]):
-            found.append((*m.span(1), f"given {_GENDER[m[1].casefold()]} {script(m[1])}", m[1]))
-        if _cased(m[1]) and _cased(m[2]):
-            gender = _GENDER[m[1].casefold()]
-            found += [(*m.span(1), f"given {gender} {script(m[1])}", m[1]), (*m.span(2), f"surname {gender} {script(m[2])}", m[2])]
+            found.append((*m.span(1), f"given {gender} {script(m[1])}", m[1]))
+        elif _cased(m[1]) and _cased(second[0]):
+            found += [(*m.span(1), f"given {gender} {script(m[1])}", m[1]), (*second.span(), f"surname {gender} {script(second[0])}", second[0])]
     # a surname that was found stands for its person wherever it is a word of its own
     bare: dict[str, str] = {}
     for _, _, kind, value in found:
