@@ -84,10 +84,13 @@ def cells(grid: DataFrame, compat: bool = False) -> DataFrame:
     node; at the four corners of the grid the one known corner is mirrored in x and
     in y, or with ``compat`` turned by right angles as older grids have it.
     """
-    sent = F.array(*[F.struct(F.lit(role).alias("role"), (F.col("k") + dk).alias("k"), (F.col("j") + dj).alias("j")) for role, dk, dj in (("o", 0, 0), ("m1", 1, -1), ("m2", -1, -1), ("m3", -1, 1), ("m4", 1, 1))])
-    near = grid.select(F.explode(sent).alias("s"), point(F.col("lon"), F.col("lat")).alias("p"))
-    roles = [F.max(F.when(F.col("s.role") == r, F.col("p"))).alias(r) for r in ("o", "m1", "m2", "m3", "m4")]
-    found = near.groupBy(F.col("s.k").alias("k"), F.col("s.j").alias("j")).agg(*roles).where("o is not null")
+    sent = F.array(*[F.struct(F.lit(role).alias("role"), (F.col("k") + dk).alias("k"), (F.col("j") + dj).alias("j")) for role, (dk, dj) in enumerate(((0, 0), (1, -1), (-1, -1), (-1, 1), (1, 1)))])
+    near = grid.select(F.explode(sent).alias("s"), "lon", "lat").select("s.role", "s.k", "s.j", "lon", "lat")
+    # greatest values of numbers, not of structs, which Spark would sort all rows for
+    roles = [F.max(F.when(F.col("role") == r, F.col(v))).alias(f"{a}{r}") for r in range(5) for a, v in (("x", "lon"), ("y", "lat"))]
+    found = near.groupBy("k", "j").agg(*roles, F.count_if(F.col("role") == 0).alias("own")).where("own > 0")
+    sides = [F.when(F.col(f"x{i}").isNotNull(), point(F.col(f"x{i}"), F.col(f"y{i}"))).alias(f"m{i}") for i in range(1, 5)]
+    found = found.select("k", "j", point(F.col("x0"), F.col("y0")).alias("o"), *sides)
     x0, y0 = F.col("o.x"), F.col("o.y")
     found = found.select("k", "j", "o", *[_mid(F.col(f"m{i}"), x0, y0).alias(f"m{i}") for i in range(1, 5)])
     c = {i: F.col(f"m{i}") for i in range(1, 5)}

@@ -2,33 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from tidegrid.functions.geometry import inside, ring_box, with_tile, with_tiles
+from tidegrid.functions.geometry import held_points, ring_box, with_tile, with_tiles
 from tidegrid.operators.components import connected_components
 from tidegrid.operators.ordering import numbered
 from tidegrid.plans.shared import broadcast_if_small, materialise
 from tidegrid.plans.ship import ship
 
+_POINTS = ArrayType(StructType([StructField("pt", IntegerType()), StructField("x", DoubleType()), StructField("y", DoubleType())]))
+
 
 def initial_mask(depth: DataFrame, dry: float) -> DataFrame:
     """M1: wet wherever the depth is not the dry value."""
     return depth.withColumn("mask", F.when(F.col("depth") == dry, 0).otherwise(1))
 
 
-def _sample_points(ring: Column, n: int) -> Column:
-    """``pt, x, y`` of ``n`` x ``n`` points over the box of a ring, those within it."""
-    west, east, south, north = ("b.west", "b.east", "b.south", "b.north")
-    at = lambda low, high, i: F.col(low) + (F.col(high) - F.col(low)) * i / (n - 1)
-    all_ = F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: F.struct(i.alias("pt"), at(west, east, i % n).alias("x"), at(south, north, F.floor(i / n)).alias("y")))
-    return F.filter(all_, lambda p: inside(ring, p["x"], p["y"]))
-
-
 def _sampled(cells: DataFrame, n: int) -> DataFrame:
-    return cells.withColumn("b", F.struct(*ring_box(F.col("ring")))).withColumn("points", _sample_points(F.col("ring"), n)).drop("b", "ring")
+    """``cells`` with ``points`` in place of ``ring``: ``pt, x, y`` of ``n`` x ``n`` points over the box of the ring, those within it."""
+    ship(cells.sparkSession)
+    kind = StructType([*(f for f in cells.schema if f.name != "ring"), StructField("points", _POINTS)])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pt = np.arange(n * n)
+        # a batch has n * n points for each of its rows
+        for batch in (b.slice(o, 1000) for b in batches for o in range(0, b.num_rows, 1000)):
+            rings = batch.column("ring")
+            full = np.flatnonzero(np.nan_to_num(rings.value_lengths().to_numpy(zero_copy_only=False)) > 0)
+            x, y = np.full((batch.num_rows, n * n), np.nan), np.full((batch.num_rows, n * n), np.nan)
+            if len(full):
+                first = rings.take(pa.array(full)).offsets.to_numpy()[:-1]
+                for at, v, i in ((x, 0, pt % n), (y, 1, pt // n)):
+                    c = rings.flatten().field(v).to_numpy(zero_copy_only=False)
+                    low, high = (f.reduceat(c, first)[:, None] for f in (np.minimum, np.maximum))
+                    at[full] = low + (high - low) * i / (n - 1)
+            held = held_points(rings, x, y)
+            row, number = np.nonzero(held)
+            offsets = pa.array(np.concatenate(([0], np.cumsum(held.sum(axis=1)))), pa.int32())
+            points = pa.StructArray.from_arrays([pa.array(number, pa.int32()), pa.array(x[row, number]), pa.array(y[row, number])], ["pt", "x", "y"])
+            rest = batch.drop_columns(["ring"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.ListArray.from_arrays(offsets, points)], [*rest.schema.names, "points"])
+
+    return cells.mapInArrow(placed, kind)
 
 
 def samples(cells: DataFrame, n: int = 6) -> DataFrame:
