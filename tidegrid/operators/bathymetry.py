@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.geometry import inside, ring_box, with_tile, with_tiles
+from tidegrid.functions.geometry import ring_box, where_inside, with_tile, with_tiles
 from tidegrid.plans.shared import broadcast_if_small, materialise
 
 #: Rounds in which a tile with many points is quartered; points that a tile has without being looked at.
@@ -92,16 +92,17 @@ def dealt_tiles(points: DataFrame, cells: DataFrame, tile: float, most: int | No
 
 
 def points_in_cells(points: DataFrame, cells: DataFrame, tile: float, most: int | None = None) -> DataFrame:
-    """Pairs of a point ``lon, lat, ...`` and the cells ``k, j, ring`` that hold it.
+    """Pairs of a point ``lon, lat, ...`` and the ``k, j`` of cells ``k, j, ring`` that hold it.
 
     Points lie in one tile and cells in every tile they touch, so that an equi-join
     on tiles finds the pairs and no pair twice; see :func:`dealt_tiles` for uneven points, which are read twice.
     """
     boxed = cells.select("k", "j", "ring", *ring_box(F.col("ring")))
     placed, held = dealt_tiles(points, boxed, tile, most)
-    pairs = placed.join(held, "key").drop("key")
+    # a small file is one partition, however much there is to do for its points
+    pairs = placed.repartition("key").join(held, "key")
     near = F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
-    return pairs.where(near).where(inside(F.col("ring"), F.col("lon"), F.col("lat")))
+    return where_inside(pairs.where(near).select(*points.columns, "k", "j", "ring"), "lon", "lat")
 
 
 def cell_average(bathy: DataFrame, cells: DataFrame, cut_off: float, limit: float, dry: float, tile: float, wrap: bool = False) -> DataFrame:
@@ -137,17 +138,26 @@ def bilinear(bathy: DataFrame, grid: DataFrame, lon0: float, lat0: float, dx: fl
     index = lambda t: (F.round(t) - 1 if compat else F.floor(t)).cast("int")
     u, v = part("lon", lon0, dx), part("lat", lat0, dy)
     at = grid.select("k", "j", index(u).alias("a"), index(v).alias("b"), u.alias("u"), v.alias("v"))
-    at = at.withColumn("fx", F.col("u") - F.col("a")).withColumn("fy", F.col("v") - F.col("b"))
-    column = lambda i: F.pmod(F.col("a") + i, F.lit(wrap)) if wrap else F.col("a") + i
-    four = [F.struct(column(i).alias("ilon"), (F.col("b") + n).alias("ilat"), ((F.col("fx") if i else 1 - F.col("fx")) * (F.col("fy") if n else 1 - F.col("fy"))).alias("w")) for i in (0, 1) for n in (0, 1)]
-    needed = at.select("k", "j", F.explode(F.array(*four)).alias("p")).where("p.w <> 0")
-    needed = needed.select("k", "j", F.col("p.ilon").alias("ilon"), F.col("p.ilat").alias("ilat"), F.col("p.w").alias("w"))
-    met = needed.join(bathy.select("ilon", "ilat", "z"), ["ilon", "ilat"], "left").groupBy("k", "j")
-    return met.agg(F.sum(F.col("w") * F.col("z")).alias("sum"), F.count_if(F.col("z").isNull()).alias("gaps")).select("k", "j", F.when(F.col("gaps") == 0, F.col("sum")).alias("depth"))
+    at = at.withColumn("fx", F.col("u") - F.col("a")).withColumn("fy", F.col("v") - F.col("b")).drop("u", "v")
+    if wrap:
+        at, bathy = at.withColumn("a", F.pmod("a", F.lit(wrap))), bathy.where(F.col("ilon").between(0, wrap - 1))
+    # every base point goes to the four squares it is a corner of, so that a node needs one row, that of its square
+    corners = [(i, n) for i in (0, 1) for n in (0, 1)]
+    column = lambda i: F.pmod(F.col("ilon") - i, F.lit(wrap)) if wrap else F.col("ilon") - i
+    sent = F.array(*[F.struct(column(i).alias("a"), (F.col("ilat") - n).alias("b"), F.lit(2 * i + n).alias("c")) for i, n in corners])
+    squares = bathy.select("z", F.explode(sent).alias("s")).select("z", "s.a", "s.b", "s.c").groupBy("a", "b")
+    squares = squares.agg(*[F.max(F.when(F.col("c") == c, F.col("z"))).alias(f"z{c}") for c in range(4)])
+    weight = lambda i, n: (F.col("fx") if i else 1 - F.col("fx")) * (F.col("fy") if n else 1 - F.col("fy"))
+    terms = [F.when(weight(i, n) != 0, weight(i, n) * F.col(f"z{2 * i + n}")).otherwise(0.0) for i, n in corners]
+    # as many tasks as were asked for: put together to Spark's size of a partition, the rows that a task sorts take far more memory
+    at = at.repartition(int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    return at.join(squares, ["a", "b"], "left").select("k", "j", (terms[0] + terms[1] + terms[2] + terms[3]).alias("depth"))
 
 
 def resample(bathy: DataFrame, cells: DataFrame, lon0: float, lat0: float, dx: float, dy: float, cut_off: float, limit: float, dry: float, tile: float) -> DataFrame:
     """G1: average where a cell is coarser than the base raster, interpolate elsewhere."""
     fine = (F.round(F.col("width") / dx) <= 1) & (F.round(F.col("height") / dy) <= 1)
-    coarse = cell_average(bathy, cells.where(~fine), cut_off, limit, dry, tile).select("k", "j", "depth", F.lit("average").alias("mode"))
-    return coarse.unionByName(bilinear(bathy, cells.where(fine), lon0, lat0, dx, dy).select("k", "j", "depth", F.lit("interpolate").alias("mode")))
+    # the corners of all cells are found once; only coarse ones need their rings
+    placed = materialise(cells.select("k", "j", "lon", "lat", fine.alias("fine"), F.when(~fine, F.col("ring")).alias("ring")), "resampled")
+    coarse = cell_average(bathy, placed.where("not fine"), cut_off, limit, dry, tile).select("k", "j", "depth", F.lit("average").alias("mode"))
+    return coarse.unionByName(bilinear(bathy, placed.where("fine"), lon0, lat0, dx, dy).select("k", "j", "depth", F.lit("interpolate").alias("mode")))
