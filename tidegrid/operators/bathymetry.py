@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.geometry import ring_box, where_inside, with_tile, with_tiles
+from tidegrid.functions.geometry import ring_box, upright, where_inside, with_tile, with_tiles
 from tidegrid.plans.shared import broadcast_if_small, materialise
 
 #: Rounds in which a tile with many points is quartered; points that a tile has without being looked at.
@@ -96,13 +96,17 @@ def points_in_cells(points: DataFrame, cells: DataFrame, tile: float, most: int
 
     Points lie in one tile and cells in every tile they touch, so that an equi-join
     on tiles finds the pairs and no pair twice; see :func:`dealt_tiles` for uneven points, which are read twice.
+    Rings that are their own boxes need no other test, and only others go with their pairs.
     """
-    boxed = cells.select("k", "j", "ring", *ring_box(F.col("ring")))
-    placed, held = dealt_tiles(points, boxed, tile, most)
+    boxed = cells.where("size(ring) > 0").select("k", "j", F.when(~upright(F.col("ring")), F.col("ring")).alias("ring"), *ring_box(F.col("ring")))
+    boxed = materialise(boxed, "boxes")
+    slanted = not boxed.where("ring is not null").isEmpty()
+    placed, held = dealt_tiles(points, boxed if slanted else boxed.drop("ring"), tile, most)
     # a small file is one partition, however much there is to do for its points
     pairs = placed.repartition("key").join(held, "key")
     near = F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
-    return where_inside(pairs.where(near).select(*points.columns, "k", "j", "ring"), "lon", "lat")
+    found = pairs.where(near).select(*points.columns, "k", "j", *["ring"] * slanted)
+    return where_inside(found, "lon", "lat") if slanted else found
 
 
 def cell_average(bathy: DataFrame, cells: DataFrame, cut_off: float, limit: float, dry: float, tile: float, wrap: bool = False) -> DataFrame:

@@ -23,8 +23,10 @@ def extents(polygons: DataFrame, cells: DataFrame, mask: DataFrame, tile: float)
     height (``x_``: what blocks motion along x) and width (``y_``).
     """
     wet = materialise(cells.join(mask.where("mask <> 0").select("k", "j"), ["k", "j"]), "wet")
-    # dealt out first: a small file of polygons is one partition, and many vertices
-    vertices = polygons.select("poly_id", "ring").repartition("poly_id").select("poly_id", F.explode("ring").alias("p")).select("poly_id", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
+    # dealt out first: a small file of polygons is one partition, and many vertices; the outer explode, as Spark
+    # would compute rings that are expressions once more, uncompiled, to drop the empty ones before it
+    vertices = polygons.select("poly_id", "ring").repartition("poly_id").select("poly_id", F.explode_outer("ring").alias("p"))
+    vertices = vertices.where("p is not null").select("poly_id", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
     met = points_in_cells(vertices, wet, tile).select("k", "j", "poly_id", "lon", "lat")
     at = met.join(wet.select("k", "j", "c4", "width", "height", "angle"), ["k", "j"])
     dx, dy, a = F.col("lon") - F.col("c4.x"), F.col("lat") - F.col("c4.y"), F.col("angle")
