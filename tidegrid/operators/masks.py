@@ -71,7 +71,9 @@ def clean_mask(cells: DataFrame, mask: DataFrame, polygons: DataFrame, limit: fl
     from how many edges it has on its right: a long ring is as many rows as it has edges.
     """
     wet = materialise(_sampled(cells.join(mask.where("mask = 1").select("k", "j"), ["k", "j"]), n), "sampled")
-    rings = materialise(polygons.select(F.monotonically_increasing_id().alias("piece"), "ring"), "rings")
+    # dealt out: a small file of polygons is one partition, and many edges
+    dealt = polygons.select("ring").repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rings = materialise(dealt.select(F.monotonically_increasing_id().alias("piece"), "ring"), "rings")
     boxed = rings.select("piece", *ring_box(F.col("ring")))
     wide = with_tiles(boxed, F.col("west") - offset, F.col("east") + offset, F.col("south") - offset, F.col("north") + offset, tile)
     near = with_tile(wet, F.col("lon"), F.col("lat"), tile).join(wide, ["tx", "ty"]).where(
