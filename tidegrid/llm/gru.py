@@ -12,6 +12,8 @@ VOCABULARY = CLASSES * WIDTH
 OUT = CLASSES + RARE
 #: Streams trained side by side, and steps that gradients flow back over.
 LANES, WINDOW = 512, 16
+#: Steps that scoring looks at at once, at most.
+WIDE = 256
 SHAPES = {
     "x": (VOCABULARY + RARE, 3 * HIDDEN),  # what a token adds to the update and reset gates and to the candidate
     "u": (HIDDEN, 3 * HIDDEN),
@@ -142,8 +144,11 @@ def train_window(p: Weights, seen: Weights, lr: float, previous: np.ndarray, tar
         seen[k] += g * g
         p[k] -= np.float32(lr) * g / (np.sqrt(seen[k]) + np.float32(1e-6))
     read = previous.reshape(-1)
-    order = np.argsort(read, kind="stable")
-    rows, starts = np.unique(read[order], return_index=True)
+    # 16 bits, which numpy sorts by radix
+    order = np.argsort(read.astype(np.int16), kind="stable")
+    listed = read[order]
+    starts = np.append(0, np.flatnonzero(np.diff(listed)) + 1)
+    rows = listed[starts]
     g = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], starts, axis=0) * scale
     seen["x"][rows] += g * g
     p["x"][rows] -= np.float32(lr) * g / (np.sqrt(seen["x"][rows]) + np.float32(1e-6))
@@ -194,9 +199,11 @@ def score(p: Weights, texts: list[np.ndarray], end: int, together: int = 1024) -
         group = order[a : a + together]
         lengths = np.array([len(texts[i]) for i in group])
         h, last = np.zeros((len(group), HIDDEN), np.float32), np.full(len(group), end)
-        for t in range(0, lengths[0], WINDOW):
+        t = 0
+        while t < lengths[0]:
             active = int(np.searchsorted(-lengths, -t))
-            width = min(WINDOW, int(lengths[0]) - t)
+            # few long documents are looked at over more steps at once: a call costs about the same for them
+            width = min(max(WINDOW, min(WIDE, together * WINDOW // 4 // active)), int(lengths[0]) - t)
             block = np.full((active, width), -1)
             for row, i in enumerate(group[:active]):
                 part = texts[i][t : t + width]
@@ -210,4 +217,5 @@ def score(p: Weights, texts: list[np.ndarray], end: int, together: int = 1024) -
             logs = np.zeros(real.shape)
             logs[real] = outputs(p, states[real], block.T[real])[0]
             out[group[:active]] += logs.sum(axis=0)
+            t += width
     return out
