@@ -5,9 +5,13 @@ from __future__ import annotations
 import math
 import os
 import random
+import re
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
+from heapq import nsmallest
 from itertools import combinations
 
 import numpy as np
@@ -24,6 +28,11 @@ from tidegrid.plans.ship import ship
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 24
 #: Bins of a crossover that exchange items, and loose items of which pairs are tried at a time.
 EXCHANGES, PAIRED = 64, 48
+#: White space of the pattern by which the tokenizer cuts text, and where such a cut always is
+#: in wider white space: before its last character, if something follows.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WIDE = re.compile(f"[{_SPACE}]{{2}}")
+_CUT = re.compile(f"(?<=[{_SPACE}])(?=[{_SPACE}][^{_SPACE}])")
 
 
 class _Encoder:
@@ -31,32 +40,49 @@ class _Encoder:
 
     Ids of a byte-level tokenizer are the ranks of its merges, so its vocabulary gives
     the same ids to an encoder by ranks, which is several times as fast. Texts that
-    hold the string of a special token go to the tokenizer itself.
+    hold the string of a special token go to the tokenizer itself. The pattern by which
+    text is cut looks ahead only to leave the last of several white-space characters to
+    what follows. Texts are cut there first, so the pattern goes without and is matched
+    by an automaton.
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from public_tokenizers import PATTERN
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # bytes that print stand for themselves in the vocabulary, the others for what follows 255
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        del self.tokenizer  # few texts need it, and workers keep their encoder
         ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in self.special}
-        self.ranked = tiktoken.Encoding("byte_level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranked = tiktoken.Encoding("byte_level", pat_str=PATTERN.replace(r"\s+(?!\S)|", ""), mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        elif _WIDE.search(text):
+            ids = [i for part in _CUT.split(text) for i in self.ranked.encode_ordinary(part)]
+        else:
+            ids = self.ranked.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+#: A worker makes its encoder once.
+_encoder = lru_cache(maxsize=1)(_Encoder)
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], path: str, size: int, end: int) -> Iterator[pa.RecordBatch]:
-    encoder, last = _Encoder(path), np.array([end], "<u4").tobytes()
+    encoder, last = _encoder(path), np.array([end], "<u4").tobytes()
     for batch in batches:
         out: dict[str, list] = {"doc": [], "piece": [], "start": [], "length": [], "crc": []}
         for i, text in enumerate(batch.column(1)):
@@ -85,8 +111,9 @@ def _best_fit(items: list[int], sizes: list[int], bins: Bins, loads: list[int],
     by_room: list[list[int]] = [[] for _ in range(size + 1)]
     mask = 0
     for b, load in enumerate(loads):
-        by_room[size - load].append(b)
-        mask |= 1 << (size - load)
+        if load < size:
+            by_room[size - load].append(b)
+            mask |= 1 << (size - load)
     for i in items:
         s = sizes[i]
         fits = mask >> s
@@ -150,13 +177,14 @@ def _exchange(bins: Bins, loads: list[int], loose: list[int], sizes: list[int],
 def _cross(a: tuple[Bins, list[int]], b: tuple[Bins, list[int]], sizes: list[int], size: int, rng: random.Random) -> tuple[Bins, list[int]]:
     """Inject well-filled bins of b into a, drop a's bins that repeat their items and a few of its emptiest, fit the rest again."""
     share = rng.uniform(0.2, 0.5)
-    bins = [list(items) for items, load in zip(*b) if load >= size - 1 and rng.random() < share]
+    chosen = [(items, load) for items, load in zip(*b) if load >= size - 1 and rng.random() < share]
+    bins, loads = [list(items) for items, _ in chosen], [load for _, load in chosen]
     taken = {i for items in bins for i in items}
-    loads = [sum(sizes[i] for i in items) for items in bins]
-    order = sorted(range(len(a[0])), key=lambda k: a[1][k] + size / 16 * rng.random())
+    blurred = [load + size / 16 * rng.random() for load in a[1]]
+    order = nsmallest(6, range(len(blurred)), key=blurred.__getitem__)
     emptied, loose = set(order[: rng.randint(3, 6)]), []
     for k, (items, load) in enumerate(zip(*a)):
-        if taken.isdisjoint(items) and k not in emptied:
+        if k not in emptied and taken.isdisjoint(items):
             bins.append(list(items))
             loads.append(load)
         else:
@@ -189,13 +217,15 @@ def evolved(sizes: list[int], size: int, people: list[tuple[Bins, list[int]]], r
         loads: list[int] = []
         _best_fit(order, sizes, bins, loads, size)
         people.append((bins, loads))
+    ranked = [(_worth(x), x) for x in people]
     for _ in range(GENERATIONS):
-        people.sort(key=_worth, reverse=True)
-        if len(people[0][0]) == least:
+        ranked.sort(key=lambda x: x[0], reverse=True)
+        if len(ranked[0][1][0]) == least:
             break
-        a, b = rng.sample(people[: POPULATION // 2 + 1], 2)
-        people[-1] = _cross(a, b, sizes, size, rng)
-    return sorted(people, key=_worth, reverse=True)
+        (_, a), (_, b) = rng.sample(ranked[: POPULATION // 2 + 1], 2)
+        child = _cross(a, b, sizes, size, rng)
+        ranked[-1] = _worth(child), child
+    return [x for _, x in sorted(ranked, key=lambda x: x[0], reverse=True)]
 
 
 def _evolve(rows: pd.DataFrame, size: int, epoch: int) -> pd.DataFrame:
@@ -209,16 +239,16 @@ def _evolve(rows: pd.DataFrame, size: int, epoch: int) -> pd.DataFrame:
             bins: Bins = [[] for _ in range(int(places.max()) + 1)]
             for i, b in enumerate(places.tolist()):
                 bins[b].append(i)
-            known.append((bins, [sum(sizes[i] for i in g) for g in bins]))
+            known.append((bins, np.bincount(places, rows["length"]).astype(np.int64).tolist()))
     people = evolved(sizes, size, known, rng)
     places = np.zeros((len(rows), len(people)), np.int32)
     for k, (bins, _) in enumerate(people):
-        for n, items in enumerate(bins):
-            places[items, k] = n
-    offset, load = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    for items, full in zip(*people[0]):
-        load[items] = full
-        offset[items] = np.cumsum([0, *[sizes[i] for i in items]])[:-1]
+        places[[i for items in bins for i in items], k] = np.repeat(np.arange(len(bins)), [len(items) for items in bins])
+    offset, load = np.zeros(len(rows), np.int64), np.array(people[0][1])[places[:, 0]]
+    for items in people[0][0]:
+        at = 0
+        for i in items:
+            offset[i], at = at, at + sizes[i]
     out = rows.assign(people=list(places), bin=places[:, 0].astype(np.int64), offset=offset, load=load, bins=len(people[0][0]))
     return out[["row", "shard", "island", "length", "people", "bin", "offset", "load", "bins"]]
 
