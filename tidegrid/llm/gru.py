@@ -12,27 +12,31 @@ VOCABULARY = CLASSES * WIDTH
 OUT = CLASSES + RARE
 #: Streams trained side by side, and steps that gradients flow back over.
 LANES, WINDOW = 512, 16
-#: Steps that scoring looks at at once, at most.
-WIDE = 256
+#: Steps that scoring looks at at once, at most, and rows of the outer softmax.
+WIDE, ROWS = 256, 1024
 SHAPES = {
     "x": (VOCABULARY + RARE, 3 * HIDDEN),  # what a token adds to the update and reset gates and to the candidate
     "u": (HIDDEN, 3 * HIDDEN),
-    "c": (HIDDEN, OUT),
-    "cb": (OUT,),
-    "w": (CLASSES, HIDDEN, WIDTH),
-    "wb": (CLASSES, WIDTH),
+    "outer": (HIDDEN + 1, OUT),  # the last row is the bias
+    "inner": (CLASSES, HIDDEN + 1, WIDTH),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 Weights = dict[str, np.ndarray]
 
 
 def views(flat: np.ndarray) -> Weights:
-    """The named arrays inside one flat array."""
+    """The named arrays inside one flat array, and the weights and biases of both softmaxes."""
     out, at = {}, 0
     for name, shape in SHAPES.items():
         n = int(np.prod(shape))
         out[name], at = flat[at : at + n].reshape(shape), at + n
-    return out
+    outer, inner = out["outer"], out["inner"]
+    return out | {"c": outer[:-1], "cb": outer[-1], "w": inner[:, :-1], "wb": inner[:, -1]}
+
+
+def _gates(w: np.ndarray) -> np.ndarray:
+    """The three gates' columns, one table behind the other."""
+    return w.reshape(-1, 3, HIDDEN).transpose(1, 0, 2)
 
 
 def initial(words: np.ndarray, rare: np.ndarray) -> np.ndarray:
@@ -56,57 +60,76 @@ def initial(words: np.ndarray, rare: np.ndarray) -> np.ndarray:
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
-
-
 def step(p: Weights, token: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The state after one token, and what its gradient needs."""
-    x, u = p["x"][token], h @ p["u"]
-    zr = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-    z, r, un = zr[:, :HIDDEN], zr[:, HIDDEN:], u[:, 2 * HIDDEN :]
-    n = np.tanh(x[:, 2 * HIDDEN :] + r * un)
-    return n + z * (h - n), z, r, n, un
+    """The state after one token, and what its gradient needs.
+
+    Gates lie behind each other, so each is one stretch of memory.
+    """
+    x, u = _gates(np.take(p["x"], token, axis=0)), h @ _gates(p["u"])
+    gates, half = u[:2], np.float32(0.5)
+    gates += x[:2]
+    gates *= half
+    np.tanh(gates, out=gates)
+    gates *= half
+    gates += half
+    z, r = gates
+    n = r * u[2]
+    n += x[2]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, z, r, n, u[2]
 
 
 def outputs(p: Weights, h: np.ndarray, target: np.ndarray, grads: Weights | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Log-probability of each target after its state; with ``grads``, also adds to them."""
+    """Log-probability of each target after its state; with ``grads``, also adds to them.
+
+    The narrow side of each product is scaled by the sums of exponentials, not the wide one.
+    """
     at = np.arange(len(target))
     known = target < VOCABULARY
     kind = np.where(known, target % CLASSES, CLASSES + target - VOCABULARY)
-    e = h @ p["c"] + p["cb"]
-    chosen = e[at, kind]
-    total = np.exp(e, out=e).sum(axis=1)
-    logs = chosen - np.log(total)
-    dh = None
-    if grads is not None:
-        e *= (1 / total)[:, None]
-        e[at, kind] -= 1
-        grads["c"] += h.T @ e
-        grads["cb"] += e.sum(axis=0)
-        dh = e @ p["c"].T
+    # rows of a class follow each other
     order = np.argsort(np.where(known, kind, CLASSES).astype(np.int16), kind="stable")
-    ends = np.cumsum(np.bincount(kind[known], minlength=CLASSES))
-    hs, slot = h[order[: ends[-1]]], target[order[: ends[-1]]] // CLASSES
-    inner = np.empty(len(hs), np.float32)
-    dhs = np.empty_like(hs)
-    for k, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends)):
-        if a == b:
-            continue
-        q, i = hs[a:b] @ p["w"][k] + p["wb"][k], at[: b - a]
-        chosen = q[i, slot[a:b]]
-        total = np.exp(q, out=q).sum(axis=1)
-        inner[a:b] = chosen - np.log(total)
+    kind, target = kind[order], target[order]
+    ends = np.cumsum(np.bincount(kind[kind < CLASSES], minlength=CLASSES)).tolist()
+    hs = np.ones((len(target), HIDDEN + 1), np.float32)
+    hs[:, :HIDDEN] = h[order]
+    logs, ones = np.empty(len(target), np.float32), np.ones(OUT, np.float32)
+    dh = None if grads is None else np.empty((len(target), HIDDEN), np.float32)
+    for a in range(0, len(target), ROWS):
+        part, k, i = hs[a : a + ROWS], kind[a : a + ROWS], at[: len(target) - a][:ROWS]
+        e = part @ p["outer"]
+        chosen = e[i, k]
+        total = np.exp(e, out=e) @ ones
+        logs[a : a + ROWS] = chosen - np.log(total)
         if grads is not None:
-            q *= (1 / total)[:, None]
-            q[i, slot[a:b]] -= 1
-            grads["w"][k] += hs[a:b].T @ q
-            grads["wb"][k] += q.sum(axis=0)
-            dhs[a:b] = q @ p["w"][k].T
-    logs[order[: ends[-1]]] += inner
-    if dh is not None:
-        dh[order[: ends[-1]]] += dhs
-    return logs, dh
+            e[i, k] -= total
+            total = (1 / total)[:, None]
+            grads["outer"] += (part * total).T @ e
+            np.multiply(e @ p["c"].T, total, out=dh[a : a + ROWS])
+    slot, ones, a = target // CLASSES, np.ones(WIDTH, np.float32), 0
+    for k, b in enumerate(ends):
+        if a < b:
+            part, i = hs[a:b], (at[: b - a], slot[a:b])
+            q = part @ p["inner"][k]
+            chosen = q[i]
+            total = np.exp(q, out=q) @ ones
+            logs[a:b] += chosen - np.log(total)
+            if grads is not None:
+                q[i] -= total
+                total = (1 / total)[:, None]
+                grads["inner"][k] += (part * total).T @ q
+                dh[a:b] += (q @ p["w"][k].T) * total
+        a = b
+    back = np.empty_like(logs)
+    back[order] = logs
+    if dh is None:
+        return back, None
+    moved = np.empty_like(dh)
+    moved[order] = dh
+    return back, moved
 
 
 def train_window(p: Weights, seen: Weights, lr: float, previous: np.ndarray, target: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -115,29 +138,46 @@ def train_window(p: Weights, seen: Weights, lr: float, previous: np.ndarray, tar
     ``previous`` is what each step reads, ``fresh`` where a document starts.
     """
     steps, lanes = target.shape
-    kept, states = [], np.empty((steps, lanes, HIDDEN), np.float32)
+    kept, befores, states = [], np.empty((steps, lanes, HIDDEN), np.float32), np.empty((steps, lanes, HIDDEN), np.float32)
+    starts = fresh.any(axis=1).tolist()
     for t in range(steps):
-        h = np.where(fresh[t][:, None], np.float32(0), h)
-        after, *rest = step(p, previous[t], h)
-        kept.append((h, *rest))
-        states[t] = h = after
-    grads = {k: np.zeros_like(v) for k, v in p.items() if k != "x"}
+        befores[t] = h
+        if starts[t]:
+            befores[t, fresh[t]] = 0
+        h, *rest = step(p, previous[t], befores[t])
+        kept.append(rest)
+        states[t] = h
+    grads = {k: np.zeros_like(p[k]) for k in SHAPES if k != "x"}
     _, dout = outputs(p, states.reshape(-1, HIDDEN), target.reshape(-1), grads)
     dout = dout.reshape(states.shape)
-    dx = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+    dx, reset = np.empty((3, steps, lanes, HIDDEN), np.float32), np.empty((steps, lanes, HIDDEN), np.float32)
     dh = np.zeros((lanes, HIDDEN), np.float32)
+    back = [np.ascontiguousarray(u.T) for u in _gates(p["u"])]
     for t in range(steps - 1, -1, -1):
-        before, z, r, n, un = kept[t]
-        dh = dh + dout[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        d = dx[t]
-        d[:, :HIDDEN] = dh * (before - n) * z * (1 - z)
-        d[:, HIDDEN : 2 * HIDDEN] = dn * un * r * (1 - r)
-        d[:, 2 * HIDDEN :] = dn
-        du = d.copy()
-        du[:, 2 * HIDDEN :] *= r
-        grads["u"] += before.T @ du
-        dh = np.where(fresh[t][:, None], np.float32(0), dh * z + du @ p["u"].T)
+        z, r, n, un = kept[t]
+        dh += dout[t]
+        dz, dr, dn = dx[:, t]
+        stay = dh * z
+        np.subtract(befores[t], n, out=dz)
+        dz *= stay
+        # dh * (1 - z)
+        dh -= stay
+        dz *= 1 - z
+        np.multiply(n, n, out=dn)
+        np.subtract(1, dn, out=dn)
+        dn *= dh
+        np.multiply(dn, r, out=reset[t])
+        np.multiply(reset[t], un, out=dr)
+        dr *= 1 - r
+        dh = stay
+        dh += dz @ back[0]
+        dh += dr @ back[1]
+        dh += reset[t] @ back[2]
+        if starts[t]:
+            dh[fresh[t]] = 0
+    read = befores.reshape(-1, HIDDEN).T
+    for k, d in enumerate((dx[0], dx[1], reset)):
+        _gates(grads["u"])[k] = read @ d.reshape(-1, HIDDEN)
     scale = np.float32(1 / target.size)
     for k, g in grads.items():
         g *= scale
@@ -149,9 +189,12 @@ def train_window(p: Weights, seen: Weights, lr: float, previous: np.ndarray, tar
     listed = read[order]
     starts = np.append(0, np.flatnonzero(np.diff(listed)) + 1)
     rows = listed[starts]
-    g = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], starts, axis=0) * scale
-    seen["x"][rows] += g * g
-    p["x"][rows] -= np.float32(lr) * g / (np.sqrt(seen["x"][rows]) + np.float32(1e-6))
+    for k, d in enumerate(dx):
+        g = np.add.reduceat(d.reshape(-1, HIDDEN)[order], starts, axis=0) * scale
+        at = rows, slice(k * HIDDEN, (k + 1) * HIDDEN)
+        was = seen["x"][at] + g * g
+        seen["x"][at] = was
+        p["x"][at] -= np.float32(lr) * g / (np.sqrt(was) + np.float32(1e-6))
     return h
 
 
